@@ -12,8 +12,9 @@ def stable_hash(*cols: Column) -> Column:
     return F.md5(F.concat_ws("||", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols]))
 
 
-def batch_key(source: str, file_name: str, checksum: str) -> Column:
-    return F.md5(F.lit(f"{source}|{file_name}|{checksum}"))
+def batch_key(source: Column, file_name: Column, checksum: Column) -> Column:
+    """Identity of a batch: the same bytes under the same name are the same batch."""
+    return F.md5(F.concat_ws("|", source, file_name, checksum))
 
 
 def email_hash(col: Column) -> Column:

@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
+
+from hireflow.session import path_exists
 
 _COMMITS = T.StructType(
     [
@@ -43,17 +45,21 @@ class KeyedTable:
         self.keys = keys
         self.bucket_by = bucket_by or keys
         self.buckets = buckets
+        self._log: list | None = None
 
     # -- state ---------------------------------------------------------------------------------
 
     def _commits(self) -> list:
-        """All commit rows; at most one per write, bucket and part."""
-        try:
-            return self.spark.read.schema(_COMMITS).json(f"{self.path}/commits").collect()
-        except Exception as error:
-            if "PATH_NOT_FOUND" in str(error):
-                return []
-            raise
+        """All commit rows; at most one per write, bucket and part. Read once per object."""
+        if self._log is None:
+            log = f"{self.path}/commits"
+            found = path_exists(self.spark, log)
+            self._log = self.spark.read.schema(_COMMITS).json(log).collect() if found else []
+        return self._log
+
+    def refresh(self) -> None:
+        """Look at the folder again, after another session wrote to it."""
+        self._log = None
 
     @staticmethod
     def _live(commits: list) -> dict[int, list[str]]:
@@ -105,17 +111,16 @@ class KeyedTable:
         df.hint("rebalance", "_bucket").write.partitionBy("_bucket").mode("overwrite").parquet(
             target
         )
-        # Only folder names are read here.
-        schema = T.StructType([*df.drop("_bucket").schema.fields,
-                               T.StructField("_bucket", T.IntegerType())])
-        written = self.spark.read.schema(schema).parquet(target).select("_bucket").distinct()
+        # Folder names only, no column is read. Some input may be empty, so ask what was written.
+        schema = T.StructType([T.StructField("_bucket", T.IntegerType())])
+        written = self.spark.read.schema(schema).parquet(target).distinct()
         return [row["_bucket"] for row in written.collect()]
 
     def _commit(self, rows: list[tuple]) -> None:
         """One task writes one file, which appears as a whole."""
-        self.spark.createDataFrame(rows, _COMMITS).coalesce(1).write.mode("append").json(
-            f"{self.path}/commits"
-        )
+        frame = self.spark.createDataFrame(rows, _COMMITS).coalesce(1)
+        frame.write.mode("append").json(f"{self.path}/commits")
+        self._log = [*self._commits(), *(Row(*_COMMITS.names)(*row) for row in rows)]
 
     def overwrite(self, df: DataFrame) -> None:
         """Replace everything."""

@@ -47,16 +47,19 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.raw = raw
         self.buckets = buckets
+        self._tables: dict[str, KeyedTable] = {}
 
     def table(self, name: str) -> KeyedTable:
-        model = MODELS[name]
-        return KeyedTable(
-            self.spark,
-            f"{self.root}/{model.layer}/{name}",
-            [model.key],
-            [model.bucket_by or model.key],
-            self.buckets,
-        )
+        if name not in self._tables:
+            model = MODELS[name]
+            self._tables[name] = KeyedTable(
+                self.spark,
+                f"{self.root}/{model.layer}/{name}",
+                [model.key],
+                [model.bucket_by or model.key],
+                self.buckets,
+            )
+        return self._tables[name]
 
     def read(self, name: str) -> DataFrame:
         return self.table(name).read()

@@ -41,14 +41,15 @@ def lineage(spec: SourceSpec, batch_id: str, checksum: str, now: datetime) -> di
     }
 
 
-def to_contract(df: DataFrame, source: str) -> DataFrame:
-    """Exactly the contract's columns, by name and with its types."""
+def to_contract(df: DataFrame, source: str, *more: str) -> DataFrame:
+    """Exactly the contract's columns, by name and with its types, and any asked for besides."""
     have = {f.name: f.dataType for f in df.schema}
     return df.select(
         *[
             f.name if have.get(f.name) == f.dataType else F.col(f.name).cast(f.dataType)
             for f in RAW[source]
-        ]
+        ],
+        *more,
     )
 
 
@@ -74,7 +75,7 @@ def with_identity(df: DataFrame, source: str) -> DataFrame:
 
 
 def enrich(
-    df: DataFrame, spec: SourceSpec, batch_id: str, checksum: str, now: datetime
+    df: DataFrame, spec: SourceSpec, batch_id: str, checksum: str, now: datetime, *more: str
 ) -> DataFrame:
     with_lineage = df.withColumns(lineage(spec, batch_id, checksum, now))
-    return to_contract(with_identity(with_lineage, spec.name), spec.name)
+    return to_contract(with_identity(with_lineage, spec.name), spec.name, *more)

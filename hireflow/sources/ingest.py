@@ -10,14 +10,15 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from hireflow.functions.hashing import batch_key
+from hireflow.session import path_exists
 from hireflow.sources.checksums import drop_checksum
 from hireflow.sources.enrich import enrich
-from hireflow.sources.ledger import Ledger, _exists
-from hireflow.sources.quarantine import split_malformed
-from hireflow.sources.readers import read_source, source_path
+from hireflow.sources.ledger import Ledger
+from hireflow.sources.quarantine import tag_malformed
+from hireflow.sources.readers import CORRUPT, read_source, source_path
 from hireflow.sources.schemas import RAW, SOURCES, SourceSpec
 
 LOADED, SKIPPED, EMPTY = "loaded", "skipped", "empty"
@@ -39,23 +40,36 @@ class RawStore:
         return f"{self.root}/{source}"
 
     def read(self, source: str) -> DataFrame:
-        """Rows of the visible batches. The ledger join prunes partitions."""
+        """Good rows of the visible batches. The ledger join prunes partitions."""
         schema = RAW[source]
+        return self._visible(source).filter(~F.col("_quarantined")).select(*schema.names)
+
+    def quarantined(self, source: str) -> DataFrame:
+        """Lines of the visible batches that could not be read, with their text."""
+        return (
+            self._visible(source)
+            .filter("_quarantined")
+            .select(CORRUPT, "_file_name", "_ingestion_ts", "_ingestion_date", "_batch_id")
+        )
+
+    def _visible(self, source: str) -> DataFrame:
+        schema = T.StructType(
+            [
+                *RAW[source].fields,
+                T.StructField(CORRUPT, T.StringType()),
+                T.StructField("_quarantined", T.BooleanType()),
+            ]
+        )
         path = self.table_path(source)
-        if not _exists(self.spark, path):
+        if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
-        visible = self.ledger.visible().filter(F.col("source_name") == source)
+        batches = self.ledger.visible().filter(F.col("source_name") == source)
         return (
             self.spark.read.schema(schema)
             .parquet(path)
-            .join(visible, ["_batch_id", "_ingestion_date"], "left_semi")
-            .select(*schema.names)
+            .join(batches, ["_batch_id", "_ingestion_date"], "left_semi")
         )
 
-    def quarantined(self, source: str) -> DataFrame | None:
-        path = f"{self.root}/quarantine/{source}"
-        return self.spark.read.parquet(path) if _exists(self.spark, path) else None
-
     def load(self, spec: SourceSpec, path: str, now: datetime | None = None) -> dict:
         """Load one drop. Returns the batch, what happened and the row counts."""
         now = now or utc_now()
@@ -71,20 +85,12 @@ class RawStore:
 
         started = self.ledger.start(spec, batch_id, checksum, now)
         try:
-            good, bad = split_malformed(scanned)
-            rows = self._write(
-                enrich(good, spec, batch_id, checksum, now),
+            rows, rejected = self._write(
+                enrich(
+                    tag_malformed(scanned), spec, batch_id, checksum, now, CORRUPT, "_quarantined"
+                ),
                 f"{self.table_path(spec.name)}/_ingestion_date={now.date()}/_batch_id={batch_id}",
             )
-            rejected = 0
-            if not bad.isEmpty():
-                rejected = self._write(
-                    bad.select("_corrupt_record", "_file_name").withColumn(
-                        "_ingestion_ts", F.lit(now).cast("timestamp_ntz")
-                    ),
-                    f"{self.root}/quarantine/{spec.name}/_ingestion_date={now.date()}"
-                    f"/_batch_id={batch_id}",
-                )
             self.ledger.succeed(started, utc_now(), rows)
         except Exception as error:
             self.ledger.fail(started, utc_now(), str(error)[:4000])
@@ -93,16 +99,18 @@ class RawStore:
                 "rejected": rejected}
 
     def _batch_id(self, spec: SourceSpec, checksum: str) -> str:
-        key = batch_key(spec.name, spec.file_name, checksum)
+        key = batch_key(F.lit(spec.name), F.lit(spec.file_name), F.lit(checksum))
         return self.spark.range(1).select(key.alias("k")).first()["k"]
 
-    def _write(self, df: DataFrame, path: str) -> int:
-        """Overwrite one partition folder and count its rows in the same pass."""
+    def _write(self, tagged: DataFrame, path: str) -> tuple[int, int]:
+        """Overwrite one batch folder; good and unreadable rows are counted in the same pass."""
         counted = Observation()
-        df.drop("_ingestion_date", "_batch_id").observe(
-            counted, F.count(F.lit(1)).alias("rows")
-        ).write.mode("overwrite").parquet(path)
-        return counted.get["rows"]
+        tagged.drop("_ingestion_date", "_batch_id").observe(
+            counted,
+            F.count_if(~F.col("_quarantined")).alias("rows"),
+            F.count_if("_quarantined").alias("rejected"),
+        ).write.partitionBy("_quarantined").mode("overwrite").parquet(path)
+        return counted.get["rows"], counted.get["rejected"]
 
 
 def load_all_sources(

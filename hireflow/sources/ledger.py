@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hireflow.operators.latest import latest_by
+from hireflow.session import path_exists
 from hireflow.sources.schemas import LEDGER, SourceSpec
 
 _STORED = T.StructType(
@@ -35,8 +36,7 @@ class Ledger:
         )
 
     def _states(self) -> DataFrame:
-        # An empty frame first, so that a ledger without rows can be read as well.
-        if not _exists(self.spark, self.path):
+        if not path_exists(self.spark, self.path):
             return self.spark.createDataFrame([], _STORED)
         return self.spark.read.schema(_STORED).parquet(self.path)
 
@@ -103,9 +103,3 @@ class Ledger:
                 "recorded_at": time.time_ns(),
             }
         )
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)

@@ -7,12 +7,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from hireflow.sources.readers import CORRUPT
 
 
-def split_malformed(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(readable rows, rows the parser could not read with their text)."""
-    return (
-        scanned.filter(F.col(CORRUPT).isNull()).drop(CORRUPT),
-        scanned.filter(F.col(CORRUPT).isNotNull()),
-    )
+def tag_malformed(scanned: DataFrame) -> DataFrame:
+    """Mark lines the parser could not read; they keep their text in ``_corrupt_record``."""
+    return scanned.withColumn("_quarantined", F.col(CORRUPT).isNotNull())
 
 
 def tag_rejects(df: DataFrame, reasons: dict[str, Column]) -> DataFrame:

@@ -118,8 +118,11 @@ class KeyedTable:
 
     def _commit(self, rows: list[tuple]) -> None:
         """One task writes one file, which appears as a whole."""
-        frame = self.spark.createDataFrame(rows, _COMMITS).coalesce(1)
-        frame.write.mode("append").json(f"{self.path}/commits")
+        text = json.dumps([dict(zip(_COMMITS.names, row)) for row in rows])
+        parsed = F.from_json(F.lit(text), T.ArrayType(_COMMITS))
+        self.spark.range(0, 1, 1, 1).select(F.inline(parsed)).write.mode("append").json(
+            f"{self.path}/commits"
+        )
         self._log = [*self._commits(), *(Row(*_COMMITS.names)(*row) for row in rows)]
 
     def overwrite(self, df: DataFrame) -> None:

@@ -26,11 +26,23 @@ def source_inventory(sources: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+# Texts longer than this are compared by a digest of the whole text.
+DIGEST_ABOVE = 64
+
+
 def _as_text(field: T.StructField) -> Column:
     nested = isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType))
     return F.to_json(field.name) if nested else F.col(field.name).cast("string")
 
 
+def _identity(field: T.StructField) -> Column:
+    """A value to compare by: short ones as they are, so that long texts do not get shuffled."""
+    text = _as_text(field)
+    if not isinstance(field.dataType, (T.StringType, T.ArrayType, T.StructType, T.MapType)):
+        return text
+    return F.when(F.length(text) > DIGEST_ABOVE, F.sha2(text, 256)).otherwise(text)
+
+
 def column_profile(df: DataFrame, file: str) -> DataFrame:
     """(file, column, dtype, null_count, distinct_count) per column; NULL is one distinct value.
 
@@ -41,7 +53,7 @@ def column_profile(df: DataFrame, file: str) -> DataFrame:
     cells = F.inline(
         F.array(
             *[
-                F.struct(F.lit(i).alias("position"), _as_text(f).alias("value"))
+                F.struct(F.lit(i).alias("position"), _identity(f).alias("value"))
                 for i, f in enumerate(fields)
             ]
         )
@@ -89,7 +101,10 @@ def _describe(counted: DataFrame, df: DataFrame, file: str) -> DataFrame:
 
 def full_duplicate_rows(df: DataFrame, file: str) -> DataFrame:
     """Rows beyond the first of each set of identical rows; NULL equals NULL."""
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    cells = [_identity(f).alias(f"c{i}") for i, f in enumerate(df.schema)]
+    copies = df.select(*cells).groupBy(*[f"c{i}" for i in range(len(cells))]).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
     return copies.agg(
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("full_duplicate_rows")
     ).select(F.lit(file).alias("file"), "full_duplicate_rows")

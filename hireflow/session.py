@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def local_session(cores: int | str = "*", app: str = "hireflow", **conf: str) -> SparkSession:
@@ -56,3 +56,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few bookkeeping rows as one partition, built from literals without Python workers."""
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema)])
+        for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))

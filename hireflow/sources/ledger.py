@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hireflow.operators.latest import latest_by
-from hireflow.session import path_exists
+from hireflow.session import path_exists, small_frame
 from hireflow.sources.schemas import LEDGER, SourceSpec
 
 _STORED = T.StructType(
@@ -31,9 +31,7 @@ class Ledger:
 
     def _append(self, row: dict) -> None:
         values = [tuple(row.get(name) for name in _STORED.names)]
-        self.spark.createDataFrame(values, _STORED).coalesce(1).write.mode("append").parquet(
-            self.path
-        )
+        small_frame(self.spark, values, _STORED).write.mode("append").parquet(self.path)
 
     def _states(self) -> DataFrame:
         if not path_exists(self.spark, self.path):

@@ -542,7 +542,8 @@ _HISTORY_SQL = """
 
 @query("l08_scd2_history", _HISTORY_SQL)
 def _(spark, sf):
-    return scd2(_repeated(c.raw(spark, sf, "jobs")), "job_id").select(
+    snapshots = _repeated(c.raw(spark, sf, "jobs"))
+    return scd2(snapshots, "job_id", hot_keys(snapshots, "job_id")).select(
         "job_id", "status", "valid_from", "valid_to", "is_current"
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
 from typing import Callable
@@ -64,26 +65,35 @@ class Warehouse:
     def read(self, name: str) -> DataFrame:
         return self.table(name).read()
 
-    def build(self, run: Run, layers: list[str] | None = None) -> list[str]:
-        """Update the datasets of the given layers, in layer order."""
+    def build(
+        self, run: Run, layers: list[str] | None = None, concurrent: int = 4
+    ) -> list[str]:
+        """Update the datasets of the given layers, in layer order.
+
+        Datasets of one layer do not read each other, so their Spark jobs may overlap.
+        """
         wanted = LAYERS if layers is None else layers
         unknown = set(wanted) - set(LAYERS)
         if unknown:
             raise ValueError(f"unknown layers {sorted(unknown)}")
         built = []
-        for name, model in MODELS.items():
-            if model.layer not in wanted:
-                continue
-            table = self.table(name)
-            first = run.full_refresh or not model.incremental or not table.exists()
-            rows = model.rows(self, run, first)
-            if first:
-                table.overwrite(rows)
-            else:
-                table.upsert(rows)
-            built.append(name)
+        with ThreadPoolExecutor(concurrent) as pool:
+            for layer in LAYERS:
+                if layer in wanted:
+                    names = [name for name, model in MODELS.items() if model.layer == layer]
+                    list(pool.map(lambda name: self._update(name, run), names))
+                    built += names
         return built
 
+    def _update(self, name: str, run: Run) -> None:
+        model, table = MODELS[name], self.table(name)
+        first = run.full_refresh or not model.incremental or not table.exists()
+        rows = model.rows(self, run, first)
+        if first:
+            table.overwrite(rows)
+        else:
+            table.upsert(rows)
+
 
 @dataclass(frozen=True)
 class Model:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from hireflow.operators.skew import number_across_ranges, split_hot
+from hireflow.operators.skew import HotKeys, number_across_ranges, split_hot
 
 
-def scd2(snapshots: DataFrame, key: str, hot: DataFrame | None = None) -> DataFrame:
+def scd2(snapshots: DataFrame, key: str, hot: HotKeys | None = None) -> DataFrame:
     """One row per state of a key with ``valid_from``, ``valid_to`` (open: NULL), ``is_current``.
 
     Snapshots that repeat the state before them by ``_record_hash`` add nothing. Keys listed in

@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from hireflow.operators.skew import HotKeys, split_hot
+
 
 def ingested_on(df: DataFrame, run_date) -> DataFrame:
     """Rows received on one day; a partition filter on raw tables."""
@@ -17,9 +19,20 @@ def distinct_keys(key: str, *frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, [f.select(key) for f in frames]).distinct()
 
 
-def history_of(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """All rows of the given keys; a key listed twice does not double its rows."""
-    return df.join(keys, key, "left_semi")
+def history_of(
+    df: DataFrame, keys: DataFrame, key: str, hot: HotKeys | None = None
+) -> DataFrame:
+    """All rows of the given keys; a key listed twice does not double its rows.
+
+    Rows of hot keys are taken out before the shuffle and matched by a small side of their own.
+    """
+    if hot is None:
+        return df.join(keys, key, "left_semi")
+    ordinary, big = split_hot(df, key, hot)
+    few = split_hot(keys, key, hot)[1].distinct()
+    return ordinary.join(keys, key, "left_semi").unionByName(
+        big.join(hot.few(few), key, "left_semi")
+    )
 
 
 def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) -> DataFrame:

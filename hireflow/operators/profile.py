@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from hireflow.functions.dates import date_class, parse_mixed_date, try_timestamp
+from hireflow.functions.dates import date_class, parse_mixed_date
 from hireflow.operators.impacted import orphans
 
 
@@ -159,10 +159,8 @@ def anomaly_probe(events: DataFrame, applications: DataFrame) -> DataFrame:
     applied = applications.select(
         "application_id", "apply_date", parse_mixed_date(F.col("apply_date")).alias("applied_on")
     )
-    event_time = F.col("event_timestamp")
     hired = events.filter(F.col("new_status") == "Hired").withColumn(
-        "hired_on",
-        F.coalesce(try_timestamp(event_time).cast("date"), parse_mixed_date(event_time)),
+        "hired_on", parse_mixed_date(F.col("event_timestamp"))
     )
     return (
         hired.join(applied, "application_id", "left")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hireflow.session import ensure_checkpoint_dir
@@ -13,8 +15,20 @@ HOT_ROWS = 5_000_000
 BROADCAST_ROWS = 500_000
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows as column ``_hot``, or None. NULL can be hot too.
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys too big for one task, as column ``_hot``. NULL can be one of them."""
+
+    frame: DataFrame
+    count: int
+
+    def few(self, df: DataFrame) -> DataFrame:
+        """Broadcast a frame that holds at most one row per hot key, if its count allows."""
+        return F.broadcast(df) if self.count <= BROADCAST_ROWS else df
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> HotKeys | None:
+    """Keys with more than ``hot_rows`` rows, or None.
 
     Counts are combined before the shuffle and only the key column is read. At most
     ``rows / hot_rows`` keys can come back; they are written out once, not recomputed.
@@ -29,18 +43,18 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | N
     if found == 0:
         return None
     ensure_checkpoint_dir(df.sparkSession)
-    hot = hot.checkpoint()
-    return F.broadcast(hot) if found <= BROADCAST_ROWS else hot
+    return HotKeys(hot.checkpoint(), found)
 
 
-def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_hot(df: DataFrame, key: str, hot: HotKeys) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary keys, rows of hot keys)."""
+    keys = hot.few(hot.frame)
     matches = F.col(key).eqNullSafe(F.col("_hot"))
-    return df.join(hot, matches, "left_anti"), df.join(hot, matches, "left_semi")
+    return df.join(keys, matches, "left_anti"), df.join(keys, matches, "left_semi")
 
 
 def number_rows(
-    df: DataFrame, key: str, order: list[Column], out: str, hot: DataFrame | None = None
+    df: DataFrame, key: str, order: list[Column], out: str, hot: HotKeys | None = None
 ) -> DataFrame:
     """Row number of each row within its key. ``order`` must be total."""
     if hot is None:

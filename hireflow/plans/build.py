@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hireflow.operators.impacted import distinct_keys, history_of, ingested_on
 from hireflow.operators.keyed_table import KeyedTable
-from hireflow.operators.skew import HOT_ROWS, hot_keys
+from hireflow.operators.skew import HOT_ROWS, HotKeys, hot_keys
 from hireflow.plans import audit, intermediate, marts, staging
 
 LAYERS = ["stg", "int", "dim", "fact", "metric", "dq"]
@@ -49,6 +49,7 @@ class Warehouse:
         self.raw = raw
         self.buckets = buckets
         self._tables: dict[str, KeyedTable] = {}
+        self._hot: dict[tuple[int, int], HotKeys | None] = {}
 
     def table(self, name: str) -> KeyedTable:
         if name not in self._tables:
@@ -65,6 +66,14 @@ class Warehouse:
     def read(self, name: str) -> DataFrame:
         return self.table(name).read()
 
+    def hot_applications(self, hot_rows: int) -> HotKeys | None:
+        """Applications with very many events, looked up once per state of the events."""
+        state = (self.table("stg_workflow_events").version(), hot_rows)
+        if state not in self._hot:
+            events = self.read("stg_workflow_events")
+            self._hot = {state: hot_keys(events, "application_id", hot_rows)}
+        return self._hot[state]
+
     def build(
         self, run: Run, layers: list[str] | None = None, concurrent: int = 4
     ) -> list[str]:
@@ -123,14 +132,14 @@ def _touched_applications(w: Warehouse, run: Run, with_applications: bool) -> Da
 
 def _enriched(w: Warehouse, run: Run, everything: bool) -> DataFrame:
     """Whole timelines of touched applications, so that late events fall into place."""
-    events = w.read("stg_workflow_events")
+    touched = None
     if not everything:
-        keys = _touched_applications(w, run, with_applications=not run.strict)
-        events = history_of(events, keys, "application_id")
+        touched = _touched_applications(w, run, with_applications=not run.strict)
     return intermediate.int_workflow_events_enriched(
-        events,
+        w.read("stg_workflow_events"),
         w.read("stg_applications"),
-        hot_keys(w.read("stg_workflow_events"), "application_id", run.hot_rows),
+        w.hot_applications(run.hot_rows),
+        touched,
     )
 
 
@@ -155,7 +164,9 @@ def _fct_applications(w: Warehouse, run: Run, everything: bool) -> DataFrame:
     if not everything:
         keys = _touched_applications(w, run, with_applications=True)
         applications = history_of(applications, keys, "application_id")
-        events = history_of(events, keys, "application_id")
+        events = history_of(
+            events, keys, "application_id", w.hot_applications(run.hot_rows)
+        )
     return marts.fct_applications(applications, events, run.now)
 
 

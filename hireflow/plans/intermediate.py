@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hireflow.operators.impacted import with_flag
-from hireflow.operators.skew import number_across_ranges, number_rows, split_hot
+from hireflow.operators.impacted import history_of, with_flag
+from hireflow.operators.skew import HotKeys, number_across_ranges, number_rows, split_hot
 
 
 def timeline() -> list[Column]:
@@ -26,28 +26,38 @@ def with_apply_date(events: DataFrame, applications: DataFrame) -> DataFrame:
 
 
 def int_workflow_events_enriched(
-    events: DataFrame, applications: DataFrame, hot: DataFrame | None = None
+    events: DataFrame,
+    applications: DataFrame,
+    hot: HotKeys | None = None,
+    touched: DataFrame | None = None,
 ) -> DataFrame:
     """Staged events plus apply date, anomaly flag and place in their application's timeline.
 
-    Join and numbering share one shuffle on ``application_id``. Applications listed in ``hot``
-    (see ``skew.hot_keys``) are joined and numbered apart, spread over many tasks.
+    Join and numbering share one shuffle on ``application_id``. Applications in ``hot`` are
+    joined and numbered apart, spread over many tasks. With ``touched`` only the timelines of
+    those applications are made.
     """
-    known = events.filter(F.col("application_id").isNotNull())
+    key, place = "application_id", "event_sequence"
+    known = events.filter(F.col(key).isNotNull())
+
+    def wanted(part: DataFrame, keys: DataFrame | None) -> DataFrame:
+        return part if keys is None else history_of(part, keys, key)
+
     if hot is None:
         enriched = number_rows(
-            with_apply_date(known, applications), "application_id", timeline(), "event_sequence"
+            with_apply_date(wanted(known, touched), applications), key, timeline(), place
         )
     else:
-        ordinary, big = split_hot(known, "application_id", hot)
-        few = split_hot(applications, "application_id", hot)[1]
+        ordinary, big = split_hot(known, key, hot)
+        few = hot.few(split_hot(applications, key, hot)[1])
+        few_touched = touched
+        if touched is not None:
+            few_touched = hot.few(split_hot(touched, key, hot)[1].distinct())
         enriched = number_rows(
-            with_apply_date(ordinary, applications),
-            "application_id", timeline(), "event_sequence",
+            with_apply_date(wanted(ordinary, touched), applications), key, timeline(), place
         ).unionByName(
             number_across_ranges(
-                with_apply_date(big, few),
-                "application_id", timeline(), "event_sequence",
+                with_apply_date(wanted(big, few_touched), few), key, timeline(), place
             )
         )
     return enriched.select(

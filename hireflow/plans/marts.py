@@ -68,18 +68,12 @@ def fct_workflow_events(enriched_events: DataFrame, now: datetime | None = None)
     )
 
 
-def agg_time_to_hire_by_job_department(
-    facts: DataFrame, jobs: DataFrame, now: datetime | None = None
-) -> DataFrame:
-    """Time-to-hire figures of hired applications per job.
-
-    Facts are summed up per job before the dimension is joined, so the join sees one row per job
-    however many applications a job has. Jobs missing from the dimension form one NULL group.
-    """
+def hires_per_job(facts: DataFrame) -> DataFrame:
+    """Counts and sums of hired applications, one row per job of the facts."""
     days = F.col("time_to_hire_days")
-    per_job = (
+    return (
         facts.filter("is_hired")
-        .groupBy("job_id")
+        .groupBy(F.col("job_id").alias("fact_job_id"))
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.count(days).alias("n_days"),
@@ -87,8 +81,13 @@ def agg_time_to_hire_by_job_department(
             F.min(days).alias("lo"),
             F.max(days).alias("hi"),
         )
-        .withColumnRenamed("job_id", "fact_job_id")
     )
+
+
+def describe_hires(
+    per_job: DataFrame, jobs: DataFrame, now: datetime | None = None
+) -> DataFrame:
+    """Figures per known job; jobs missing from the dimension form one NULL group."""
     described = jobs.select("job_id", "title", "department")
     return (
         per_job.join(described, F.col("fact_job_id") == F.col("job_id"), "left")
@@ -96,7 +95,7 @@ def agg_time_to_hire_by_job_department(
         .agg(
             F.sum("n").alias("applications_count"),
             F.sum("n").alias("hired_applications_count"),
-            (F.sum("days") / F.sum("n_days")).alias("avg_time_to_hire_days"),
+            F.try_divide(F.sum("days"), F.sum("n_days")).alias("avg_time_to_hire_days"),
             F.min("lo").alias("min_time_to_hire_days"),
             F.max("hi").alias("max_time_to_hire_days"),
         )
@@ -104,6 +103,17 @@ def agg_time_to_hire_by_job_department(
     )
 
 
+def agg_time_to_hire_by_job_department(
+    facts: DataFrame, jobs: DataFrame, now: datetime | None = None
+) -> DataFrame:
+    """Time-to-hire figures of hired applications per job.
+
+    Facts are summed up per job before the dimension is joined, so the join sees one row per job
+    however many applications a job has.
+    """
+    return describe_hires(hires_per_job(facts), jobs, now)
+
+
 # -- incremental aggregate -------------------------------------------------------------------------
 
 
@@ -130,13 +140,18 @@ def refresh_time_to_hire(
 ) -> DataFrame:
     """The aggregate with only impacted jobs recomputed.
 
-    The NULL group collects hires of unknown jobs, so it is recomputed from those every time; a
-    job that no longer has hires disappears.
+    Facts are summed up per job first, then impacted jobs are picked, so a job with very many
+    applications is one row in every join. The NULL group collects hires of unknown jobs and is
+    made anew every time; a job that no longer has hires disappears.
     """
-    known = jobs.select("job_id")
-    redo = facts.join(impacted_jobs, "job_id", "left_semi").join(known, "job_id", "left_semi")
-    unknown = facts.join(known, "job_id", "left_anti")
-    fresh = agg_time_to_hire_by_job_department(redo.unionByName(unknown), jobs, now)
+    per_job = hires_per_job(facts)
+    known = jobs.select(F.col("job_id").alias("fact_job_id"))
+    impacted = impacted_jobs.select(F.col("job_id").alias("fact_job_id"))
+    redo = per_job.join(impacted, "fact_job_id", "left_semi").join(
+        known, "fact_job_id", "left_semi"
+    )
+    unknown = per_job.join(known, "fact_job_id", "left_anti")
+    fresh = describe_hires(redo.unionByName(unknown), jobs, now)
     untouched = previous.filter(F.col("job_id").isNotNull()).join(
         impacted_jobs, "job_id", "left_anti"
     )

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hireflow.functions.hashing import stable_hash
-from hireflow.operators.skew import hot_keys
+from hireflow.operators.skew import HotKeys, hot_keys
 from hireflow.plans import intermediate, marts, staging
 from hireflow.session import scratch_path
 from hireflow.sources.enrich import to_contract, with_identity
@@ -219,7 +219,7 @@ def staged(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     return transform(raw(spark, sf_dir, source), NOW)
 
 
-def hot_applications(spark: SparkSession, sf_dir: str) -> DataFrame | None:
+def hot_applications(spark: SparkSession, sf_dir: str) -> HotKeys | None:
     """Counted before deduplication, which can only list too many."""
     return hot_keys(raw(spark, sf_dir, "workflow_events"), "application_id")
 

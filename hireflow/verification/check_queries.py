@@ -16,7 +16,7 @@ from hireflow.plans import marts, metrics, sharing, staging
 from hireflow.plans.build import Run, Warehouse
 from hireflow.plans.run import run_all
 from hireflow.plans.suite import checks, summarize
-from hireflow.session import scratch_path
+from hireflow.session import ensure_checkpoint_dir, scratch_path
 from hireflow.sources.schemas import SOURCES
 from hireflow.verification import canonical as c
 from hireflow.verification.model_queries import (
@@ -464,7 +464,9 @@ def _(spark, sf):
         enriched = c.intermediate.int_workflow_events_enriched(
             events, applications, hot_keys(received["workflow_events"], "application_id")
         )
-        return marts.fct_applications(applications, enriched, c.NOW)
+        # Both states are used twice, as a stored table would be.
+        ensure_checkpoint_dir(spark)
+        return marts.fct_applications(applications, enriched, c.NOW).checkpoint()
 
     before, after = facts_until(c.DAYS[1]), facts_until(c.DAYS[2])
     previous = marts.agg_time_to_hire_by_job_department(before, jobs, c.NOW)

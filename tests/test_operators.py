@@ -43,7 +43,7 @@ def test_hot_keys_are_numbered_like_others(spark):
     )
     assert hot_keys(df, "k", 10_000) is None
     hot = hot_keys(df, "k", 100)
-    assert rows(hot.select("_hot")) == [("hot",), (None,)]
+    assert rows(hot.frame) == [("hot",), (None,)] and hot.count == 2
     assert numbered(df, hot) == numbered(df, None)
 
 
@@ -71,6 +71,15 @@ def test_key_operators(spark):
     assert rows(orphans(child, "f", a, "k")) == [("q", 3)]
 
 
+def test_history_of_hot_keys(spark):
+    df = spark.range(300).selectExpr("case when id % 3 = 0 then 'hot' else cast(id as string) end k",
+                                     "id")
+    hot = hot_keys(df, "k", 50)
+    for wanted in (["hot", "1", "hot"], ["1", "2"], ["none"]):
+        keys = spark.createDataFrame([(k,) for k in wanted], "k string")
+        assert rows(history_of(df, keys, "k", hot)) == rows(history_of(df, keys, "k"))
+
+
 # -- keyed tables --------------------------------------------------------------------------------
 
 

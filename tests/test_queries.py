@@ -75,5 +75,6 @@ def test_run_day_prunes_raw_partitions(spark, sf):
 
     store, _ = loaded_twice(spark, sf)
     run_day = ingested_on(store.read("workflow_events"), SECOND.date())
-    plan = run_day._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^\]]*_ingestion_date#\d+ = ", plan)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = run_day._jdf.queryExecution().explainString(mode)
+    assert re.search(r"PartitionFilters: .*_ingestion_date#\d+ = .*dynamicpruning", plan)

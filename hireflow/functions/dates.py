@@ -41,6 +41,12 @@ DATE_CLASSES = [
 ]
 
 
+def _plain_date(col: Column) -> Column:
+    """The common yyyy-mm-dd without any pattern: a date that is written exactly like the text."""
+    day = col.try_cast("date")
+    return F.when(day.cast("string") == col, day)
+
+
 def _from_iso(text: Column) -> Column:
     return F.regexp_replace(text, _ISO_HEAD, "$1-$3-$4").try_cast("timestamp_ntz")
 
@@ -51,7 +57,9 @@ def try_timestamp(col: Column) -> Column:
     A zone suffix is allowed and ignored: the clock time as written counts.
     """
     text = clean(col)
-    return F.when(text.rlike(_ISO), _from_iso(text))
+    return F.coalesce(
+        _plain_date(col).cast("timestamp_ntz"), F.when(text.rlike(_ISO), _from_iso(text))
+    )
 
 
 def parse_mixed_date(col: Column) -> Column:
@@ -64,7 +72,7 @@ def parse_mixed_date(col: Column) -> Column:
         )
     for pattern, layout in _NAMED:
         parsed = parsed.when(text.rlike(pattern), F.try_to_date(text, layout))
-    return parsed
+    return F.coalesce(_plain_date(col), parsed)
 
 
 def date_class(col: Column) -> Column:

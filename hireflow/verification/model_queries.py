@@ -100,23 +100,40 @@ def _(spark, sf):
     )
 
 
-@query("b06_b10_skill_lists", """
-    SELECT candidate_id,
-           CASE WHEN segment IS NOT NULL THEN segment || '| spark|sql ' END AS split,
-           CASE WHEN segment IS NOT NULL THEN segment || '|spark|sql' END AS trimmed,
-           CASE WHEN segment IS NOT NULL THEN segment || '|spark|sql' END AS sorted,
-           CASE WHEN segment IS NOT NULL THEN segment || ',spark,sql' END AS joined,
-           CAST(CASE WHEN segment IS NULL THEN 0 ELSE 3 END AS BIGINT) AS n
-    FROM people""")
-def _(spark, sf):
-    skills = F.col("skills")
-    return c.raw(spark, sf, "candidates").select(
-        "candidate_id",
-        F.split(skills, ",").alias("split"),
-        F.transform(F.split(skills, ","), text.clean).alias("trimmed"),
-        lists.sorted_items(skills).alias("sorted"),
-        F.array_join(lists.sorted_items(skills), ",").alias("joined"),
-        lists.item_count(lists.sorted_items(skills)).alias("n"),
+def _skills(spark, sf, out, expr):
+    return c.raw(spark, sf, "candidates").select("candidate_id", expr(F.col("skills")).alias(out))
+
+
+@query("b06_split", "SELECT candidate_id, segment || '| spark|sql ' AS items FROM people")
+def _(spark, sf):
+    return _skills(spark, sf, "items", lambda s: F.split(s, ","))
+
+
+@query("b07_list_transform", "SELECT candidate_id, segment || '|spark|sql' AS items FROM people")
+def _(spark, sf):
+    return _skills(spark, sf, "items", lambda s: F.transform(F.split(s, ","), text.clean))
+
+
+@query("b08_list_sort", "SELECT candidate_id, segment || '|spark|sql' AS items FROM people")
+def _(spark, sf):
+    """The items come in reversed, so that sorting has work to do."""
+    return _skills(
+        spark, sf, "items",
+        lambda s: lists.sorted_items(F.array_join(F.reverse(F.split(s, ",")), ",")),
+    )
+
+
+@query("b09_array_to_string", "SELECT candidate_id, skills_normalized FROM stg_candidates")
+def _(spark, sf):
+    return _skills(
+        spark, sf, "skills_normalized", lambda s: F.array_join(lists.sorted_items(s), ",")
+    )
+
+
+@query("b10_array_length", "SELECT candidate_id, skills_count FROM stg_candidates")
+def _(spark, sf):
+    return _skills(
+        spark, sf, "skills_count", lambda s: lists.item_count(lists.sorted_items(s))
     )
 
 

@@ -307,7 +307,14 @@ _LEDGER_SQL = """
                      '2024-02-02 06:00:00', count(*) FROM lineitem"""
 
 
-@query("a19_a20_batch_ledger", _LEDGER_SQL)
+@query("a20_load_strategies", f"""
+    SELECT source_name, load_strategy, rows_loaded FROM ({_LEDGER_SQL})""")
+def _(spark, sf):
+    store, _ = loaded_twice(spark, sf)
+    return store.ledger.batches().select("source_name", "load_strategy", "rows_loaded")
+
+
+@query("a19_batch_ledger", _LEDGER_SQL)
 def _(spark, sf):
     store, _ = loaded_twice(spark, sf)
     return store.ledger.batches().select(

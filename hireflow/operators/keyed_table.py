@@ -5,8 +5,9 @@ key, each write goes to a folder of its own and a small commit row makes it coun
 the state before or after a write, never a mix, and a write that dies is simply not committed.
 One writer at a time.
 
-An upsert looks only at buckets the batch falls into, and rewrites only those in which a key is
-really replaced; buckets that just gain keys get an extra folder. ``compact`` joins the folders.
+An upsert looks only at buckets the batch falls into. Rows that are stored already as they are do
+nothing, new keys get an extra folder in their bucket, and only buckets in which a row really changes
+are rewritten. ``compact`` joins the folders.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ _COMMITS = T.StructType(
     ]
 )
 _WHOLE = -1
-_NEW, _KEPT = "new", "kept"
+_INCOMING, _NEW, _KEPT = "incoming", "new", "kept"
 
 
 class KeyedTable:
@@ -135,37 +136,52 @@ class KeyedTable:
             + [(version, bucket, _NEW, False, None) for bucket in buckets]
         )
 
-    def upsert(self, batch: DataFrame) -> None:
-        """Rows whose key is in the batch are replaced, other keys stay, new keys are added."""
+    def upsert(self, batch: DataFrame, ignore: tuple[str, ...] = ()) -> None:
+        """Rows whose key is in the batch are replaced, other keys stay, new keys are added.
+
+        A stored row is kept when it differs in nothing but the columns to ignore. Keys must be
+        unique in the batch; a NULL key matches nothing. The batch is computed once.
+        """
         commits = self._commits()
         if not commits:
             return self.overwrite(batch)
         version = max(c.version for c in commits) + 1
         schema = _nullable(batch.schema)
-        arrived = self._write(batch.withColumn("_bucket", self._bucket()), version, _NEW)
+        arrived = self._write(batch.withColumn("_bucket", self._bucket()), version, _INCOMING)
         live = self._live(commits)
-        new = self._read_folders([_folder(version, _NEW, b) for b in arrived], schema)
-        old = self._read_folders([f for b in arrived for f in live.get(b, [])], schema)
-
-        touched = (
-            old.select(*self.keys, "_bucket")
-            .join(new.select(*self.keys), self.keys, "left_semi")
-            .select("_bucket")
-            .distinct()
+        incoming = self._read_folders([_folder(version, _INCOMING, b) for b in arrived], schema)
+        stored = self._read_folders([f for b in arrived for f in live.get(b, [])], schema)
+
+        state = self._state([n for n in schema.names if n not in (*self.keys, *ignore)])
+        known = stored.select(*self.keys, state.alias("_was"))
+        changed = (
+            incoming.join(known, self.keys, "left")
+            .filter(F.col("_was").isNull() | (F.col("_was") != state))
+            .select(*schema.names, "_bucket", F.col("_was").isNotNull().alias("_replaces"))
         )
-        rewritten = [row["_bucket"] for row in touched.collect()]
+        gained = self._write(changed, version, _NEW)
+        marked = T.StructType([*schema.fields, T.StructField("_replaces", T.BooleanType())])
+        new = self._read_folders([_folder(version, _NEW, b) for b in gained], marked)
+        touched = new.filter("_replaces").select("_bucket").distinct()
+        rewritten = {row["_bucket"] for row in touched.collect()}
         kept: list[int] = []
         if rewritten:
             stale = self._read_folders([f for b in rewritten for f in live.get(b, [])], schema)
             keep = stale.join(new.select(*self.keys), self.keys, "left_anti")
             kept = self._write(keep.select(*schema.names, "_bucket"), version, _KEPT)
-        replaced = set(rewritten)
         self._commit(
             [(version, _WHOLE, None, False, schema.json())]
-            + [(version, b, _NEW, b in replaced, None) for b in arrived]
+            + [(version, b, _NEW, b in rewritten, None) for b in gained]
             + [(version, b, _KEPT, True, None) for b in kept]
         )
 
+    @staticmethod
+    def _state(columns: list[str]) -> Column:
+        """Digest of the given columns; NULLs keep their place."""
+        if not columns:
+            return F.lit("")
+        return F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+
     def compact(self, max_folders: int = 1) -> int:
         """Rewrite buckets spread over more than ``max_folders`` folders; returns how many."""
         commits = self._commits()

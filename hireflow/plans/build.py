@@ -14,6 +14,8 @@ from hireflow.operators.keyed_table import KeyedTable
 from hireflow.operators.skew import HOT_ROWS, HotKeys, hot_keys
 from hireflow.plans import audit, intermediate, marts, staging
 
+RUN_STAMPS = ("_processed_ts", "_updated_at")
+
 LAYERS = ["stg", "int", "dim", "fact", "metric", "dq"]
 
 
@@ -24,7 +26,7 @@ class Run:
     A run takes the rows received on ``run_date``. With ``full_refresh`` it rebuilds from all raw
     rows. ``strict`` follows two narrower rules instead: a full refresh still reads only the run
     date, and changes of applications or education alone do not reach datasets that are driven by
-    events or candidates.
+    events or candidates. It also stamps every row of a run anew, which rewrites their buckets.
     """
 
     run_date: date
@@ -101,7 +103,8 @@ class Warehouse:
         if first:
             table.overwrite(rows)
         else:
-            table.upsert(rows)
+            # A row whose content stays the same keeps the time it was last updated.
+            table.upsert(rows, () if run.strict else RUN_STAMPS)
 
 
 @dataclass(frozen=True)

@@ -117,6 +117,22 @@ def test_new_keys_rewrite_nothing(spark):
     assert dict(rows(t.read())) == {1: "c", 2: "b"}
 
 
+def test_rows_that_stay_the_same_rewrite_nothing(spark):
+    t = KeyedTable(spark, scratch_path(spark, "t"), ["k"], buckets=1)
+
+    def stamped(data, at):
+        return frame(spark, data).withColumn("at", F.lit(at))
+
+    t.upsert(stamped({1: "a", 2: None}, 1), ("at",))
+    t.upsert(stamped({1: "a", 2: None, 3: "c"}, 2), ("at",))
+    assert rows(t.read()) == [(1, "a", 1), (2, None, 1), (3, "c", 2)]
+    assert [c.replaces for c in t._commits() if c.bucket == 0] == [False, False]
+    t.upsert(stamped({2: "b", 3: "c"}, 3), ("at",))
+    assert rows(t.read()) == [(1, "a", 1), (2, "b", 3), (3, "c", 2)]
+    t.upsert(stamped({3: "c"}, 4))
+    assert rows(t.read()) == [(1, "a", 1), (2, "b", 3), (3, "c", 4)]
+
+
 def test_untouched_buckets_stay(spark):
     t = table(spark, buckets=8)
     t.overwrite(frame(spark, {i: "a" for i in range(40)}))

@@ -41,10 +41,14 @@ DATE_CLASSES = [
 ]
 
 
-def _plain_date(col: Column) -> Column:
-    """The common yyyy-mm-dd without any pattern: a date that is written exactly like the text."""
-    day = col.try_cast("date")
-    return F.when(day.cast("string") == col, day)
+def _plain_date(text: Column) -> Column:
+    """The common yyyy-mm-dd without any pattern; other year-first texts may come out wrong."""
+    return F.when(F.substring(text, 5, 1) == "-", text.try_cast("date"))
+
+
+def _is_plain(text: Column) -> Column:
+    """Whether that date is written exactly like the text."""
+    return _plain_date(text).cast("string") == text
 
 
 def _from_iso(text: Column) -> Column:
@@ -57,22 +61,24 @@ def try_timestamp(col: Column) -> Column:
     A zone suffix is allowed and ignored: the clock time as written counts.
     """
     text = clean(col)
-    return F.coalesce(
-        _plain_date(col).cast("timestamp_ntz"), F.when(text.rlike(_ISO), _from_iso(text))
+    return F.when(_is_plain(text), _plain_date(text).cast("timestamp_ntz")).when(
+        text.rlike(_ISO), _from_iso(text)
     )
 
 
 def parse_mixed_date(col: Column) -> Column:
     """Text in any accepted layout to DATE, NULL when none fits."""
     text = clean(col)
-    parsed = F.when(text.rlike(_ISO), _from_iso(text).cast("date"))
+    parsed = F.when(_is_plain(text), _plain_date(text)).when(
+        text.rlike(_ISO), _from_iso(text).cast("date")
+    )
     for pattern, order in _NUMERIC:
         parsed = parsed.when(
             text.rlike(pattern), F.regexp_replace(text, pattern, order).try_cast("date")
         )
     for pattern, layout in _NAMED:
         parsed = parsed.when(text.rlike(pattern), F.try_to_date(text, layout))
-    return F.coalesce(_plain_date(col), parsed)
+    return parsed
 
 
 def date_class(col: Column) -> Column:

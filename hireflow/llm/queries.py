@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hireflow.llm import packing, token_cache
+from hireflow.llm import contamination, divergence, packing, token_cache, url_markov
 from hireflow.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,3 +48,39 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, tokenizer_path("word_bpe_49k.json")).drop("ids")
+
+
+@query("op3_divergence")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return divergence.judged(docs, ["doc_id"]).drop("char_distance", "word_distance")
+
+
+@query("op4_contamination")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"]
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+URL_RULES = [
+    url_markov.Rule("allow", "org", "/"),
+    url_markov.Rule("block", "example.org", "/es/"),
+    url_markov.Rule("block", "example.org", "/en/1"),
+    url_markov.Rule("allow", "com", "/fr/"),
+    url_markov.Rule("block", "com", "/de/"),
+]
+
+
+@query("op7_url_markov")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_markov.judged(pages, URL_RULES, ["page_id"]).drop("score")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hireflow.session import scratch_path
@@ -35,6 +37,11 @@ def words_of(col: Column, separators: str = SPACES) -> Column:
     return F.filter(F.split(col, separators), lambda w: w != "")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write a table below the shared folder and read it back.
 

@@ -8,7 +8,6 @@ the ids of those it has seen (at most ``MEMO_WORDS``, then it starts anew).
 from __future__ import annotations
 
 import os
-import re
 from typing import Iterable
 
 import numpy as np
@@ -16,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words whose ids a worker keeps.
-MEMO_WORDS = 700_000
+MEMO_WORDS = 1_200_000
 
 #: Longer words are encoded when they come and not kept.
 MEMO_CHARS = 48
@@ -27,9 +26,6 @@ JOINED = 4000
 #: Characters of a batch that are handled at once.
 SLICE_CHARS = 8 << 20
 
-_LETTERS = re.compile("[a-zA-Z]")
-
-
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices of the runs ``starts[i] .. starts[i] + lengths[i]``, one after the other."""
     total = int(lengths.sum())
@@ -62,7 +58,11 @@ class Memo:
 
 
 class WordEncoder:
-    """Ids of words for one tokenizer file; subclasses say how a text falls into words."""
+    """Ids of words for one tokenizer file; subclasses say how a text falls into words.
+
+    A full stop or comma after a letter is always a word of its own, so it is split off here: words
+    then repeat more often.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -70,136 +70,105 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo = Memo()
-        self.edge = self._edge_ids()
-        self.signs = {"": -1}
-
-    def _edge_ids(self) -> np.ndarray:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        edge = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        edge[[i for token, i in vocabulary.items() if self.is_edge(token)]] = True
-        return edge
+        self.edge = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.edge[[i for token, i in vocabulary.items() if self.is_edge(token)]] = True
 
     def is_edge(self, token: str) -> bool:
+        """Whether the token begins or ends a word."""
         raise NotImplementedError
 
-    def split_plain(self, flat: np.ndarray) -> np.ndarray:
-        """Number of ids of each of the plain words that were encoded together."""
+    def run_lengths(self, flat: np.ndarray) -> np.ndarray:
+        """Number of ids of each of the words that were encoded as one text."""
         raise NotImplementedError
 
-    def spelled(self, word: str) -> str:
+    def spelled(self, key: str) -> str:
         """The text that a key stands for."""
         raise NotImplementedError
 
-    def base(self, word: str) -> tuple[str, str]:
-        """The key whose ids begin those of ``word``, and the closing sign that follows."""
-        if len(word) > 2 and word[-1] in ".," and _LETTERS.match(word[-2]):
-            return word[:-1], word[-1]
-        return word, ""
-
-    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts by the library, and the number of ids of each."""
         got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         lengths = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
-        flat = np.fromiter((i for ids in got for i in ids), dtype=np.uint32, count=lengths.sum())
+        flat = np.empty(int(lengths.sum()), dtype=np.uint32)
+        at = 0
+        for ids in got:
+            flat[at : at + len(ids)] = ids
+            at += len(ids)
         return flat, lengths
 
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if w.isalpha() and max(w) <= "ÿ"]
-        rest = [w for w in words if not (w.isalpha() and max(w) <= "ÿ")]
+    def _learn(self, keys: list[str]) -> None:
+        """Plain words are encoded many at a time, as one text; the rest one by one."""
+        plain = [k for k in keys if k.isalpha() and max(k) <= "ÿ"]
+        rest = [k for k in keys if not (k.isalpha() and max(k) <= "ÿ")]
         for i in range(0, len(plain), JOINED):
             some = plain[i : i + JOINED]
-            flat, _ = self._encode([self.joined(some)])
-            lengths = self.split_plain(flat)
-            if len(lengths) != len(some):  # a word fell into several; then one by one
-                flat, lengths = self._encode([self.spelled(w) for w in some])
+            flat, _ = self.encode(["".join(map(self.separate, some))])
+            lengths = self.run_lengths(flat)
+            if len(lengths) != len(some):
+                flat, lengths = self.encode([self.spelled(k) for k in some])
             self.memo.add(some, flat, lengths)
         for i in range(0, len(rest), JOINED):
             some = rest[i : i + JOINED]
-            self.memo.add(some, *self._encode([self.spelled(w) for w in some]))
+            self.memo.add(some, *self.encode([self.spelled(k) for k in some]))
 
-    def joined(self, words: list[str]) -> str:
-        raise NotImplementedError
+    def separate(self, key: str) -> str:
+        """A plain word with the blank that keeps it apart."""
+        return " " + key
 
-    def places(self, words: list[str]) -> np.ndarray:
-        """Places in the memo of all the words, which are encoded if they are new."""
+    def places(self, keys: list[str]) -> np.ndarray:
+        """Places in the memo of all the keys, which are encoded if they are new."""
         if len(self.memo.place) > MEMO_WORDS:
             self.memo = Memo()
         place = self.memo.place
-        parts = [(w, *self.base(w)) for w in words if w not in place]
-        self._learn(list({b for _, b, _ in parts} - place.keys()))
-        derived = [(w, b, s) for w, b, s in parts if w not in place]
-        if derived:
-            first = np.fromiter((place[b] for _, b, _ in derived), np.int64, len(derived))
-            signs = np.fromiter((self.sign(s) for *_, s in derived), np.int64, len(derived))
-            own, closed = self.memo.lengths(first), signs >= 0
-            lengths = own + closed
-            ends = np.cumsum(lengths)
-            flat = np.empty(int(ends[-1]), dtype=np.uint32)
-            flat[ragged(ends - lengths, own)] = self.memo.flat[
-                ragged(self.memo.ends[first], own)
-            ]
-            flat[ends[closed] - 1] = signs[closed]
-            self.memo.add([w for w, *_ in derived], flat, lengths)
-        return np.fromiter((place[w] for w in words), dtype=np.int64, count=len(words))
-
-    def sign(self, sign: str) -> int:
-        """Id of a closing sign, -1 for none."""
-        if sign not in self.signs:
-            (self.signs[sign],) = self.tokenizer.encode(sign, add_special_tokens=False).ids
-        return self.signs[sign]
+        self._learn([k for k in keys if k not in place])
+        return np.fromiter((place[k] for k in keys), dtype=np.int64, count=len(keys))
 
 
 class WordEnds(WordEncoder):
-    """Tokenizers that drop white space and mark the end of a word."""
+    """Tokenizers that lower-case, drop white space and mark the end of a word."""
 
     def is_edge(self, token: str) -> bool:
         return token.endswith("</w>")
 
-    def split_plain(self, flat: np.ndarray) -> np.ndarray:
-        ends = np.flatnonzero(self.edge[flat]) + 1
-        return np.diff(ends, prepend=0)
-
-    def spelled(self, word: str) -> str:
-        return word
-
-    def base(self, word: str) -> tuple[str, str]:
-        # the tokenizer lower-cases all but its special tokens, which hold "<|"
-        word, sign = super().base(word)
-        return (word.lower() if word.isascii() and "<|" not in word else word), sign
+    def run_lengths(self, flat: np.ndarray) -> np.ndarray:
+        return np.diff(np.flatnonzero(self.edge[flat]) + 1, prepend=0)
 
-    def joined(self, words: list[str]) -> str:
-        return " ".join(words)
+    def spelled(self, key: str) -> str:
+        return key
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and the number of ids of each."""
-        words = pc.ascii_split_whitespace(texts)
+        # special tokens keep their case, and a mark may combine with one case of a letter only
+        as_is = pc.match_substring_regex(texts, r"<\||\p{M}")
+        lower = pc.if_else(as_is, texts, pc.ascii_lower(texts))
+        words = pc.ascii_split_whitespace(
+            pc.replace_substring_regex(lower, "([a-z])([.,])", r"\1 \2")
+        )
         coded = pc.dictionary_encode(words.flatten())
-        spots = np.diff(words.offsets.to_numpy())
-        keys = coded.dictionary.to_pylist()
         index = coded.indices.to_numpy(zero_copy_only=False)
-        ids, lengths = self._of(keys)
-        starts = np.concatenate([[0], np.cumsum(lengths)])[:-1]
+        ids, lengths = self._of(coded.dictionary.to_pylist())
+        starts = np.cumsum(lengths) - lengths
         per_word = lengths[index]
         flat = ids[ragged(starts[index], per_word)] if index.size else ids[:0]
         sums = np.concatenate([[0], np.cumsum(per_word)])
-        ends = np.cumsum(spots)
-        return flat, sums[ends] - sums[ends - spots]
+        edges = words.offsets.to_numpy() - words.offsets[0].as_py()
+        return flat, np.diff(sums[edges])
 
     def _of(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
         lengths = np.zeros(len(keys), dtype=np.int64)
         short = [i for i, k in enumerate(keys) if k and len(k) <= MEMO_CHARS]
         at = self.places([keys[i] for i in short])
         lengths[short] = self.memo.lengths(at)
-        direct = {}
-        for i, k in enumerate(keys):
-            if len(k) > MEMO_CHARS:
-                direct[i] = self._encode([k])[0]
-                lengths[i] = direct[i].size
+        long = {i: self.encode([k])[0] for i, k in enumerate(keys) if len(k) > MEMO_CHARS}
+        for i, ids in long.items():
+            lengths[i] = ids.size
         flat = np.empty(int(lengths.sum()), dtype=np.uint32)
         starts = np.cumsum(lengths) - lengths
         flat[ragged(starts[short], lengths[short])] = self.memo.flat[
             ragged(self.memo.ends[at], lengths[short])
         ]
-        for i, ids in direct.items():
+        for i, ids in long.items():
             flat[starts[i] : starts[i] + ids.size] = ids
         return flat, lengths
 
@@ -209,56 +178,58 @@ class SpacedWords(WordEncoder):
 
     Of a run of white space before a word, the last character is split off; so a text may be cut
     before each blank or line feed that a word follows. A key is such a piece, without its blank;
-    keys that start with a line feed have none.
+    keys that start with a line feed or ``BARE`` have none.
     """
 
+    #: Starts the key of a sign that was split off a word. Texts that hold it are not cut.
+    BARE = "\x00"
+
     def is_edge(self, token: str) -> bool:
         return token.startswith("Ġ")
 
-    def split_plain(self, flat: np.ndarray) -> np.ndarray:
-        starts = np.flatnonzero(self.edge[flat])
-        return np.diff(starts, append=flat.size)
+    def run_lengths(self, flat: np.ndarray) -> np.ndarray:
+        return np.diff(np.flatnonzero(self.edge[flat]), append=flat.size)
 
-    def spelled(self, word: str) -> str:
-        return word if word.startswith("\n") else " " + word
+    def spelled(self, key: str) -> str:
+        if key.startswith(self.BARE):
+            return key[1:]
+        return key if key.startswith("\n") else " " + key
 
-    def joined(self, words: list[str]) -> str:
-        return " " + " ".join(words)
-
-    @staticmethod
-    def is_piece(key: str) -> bool:
-        if key.startswith("\n"):
-            key = key[1:]
-        return bool(key) and not key[0].isspace()
+    def is_piece(self, key: str) -> bool:
+        word = key[1:] if key.startswith(("\n", self.BARE)) else key
+        return bool(word) and not word[0].isspace()
 
     def counts(self, texts: pa.Array) -> np.ndarray:
         """Number of ids of each text."""
-        pieces = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        uncut = pc.match_substring(texts, self.BARE).to_numpy(zero_copy_only=False)
+        marked = pc.replace_substring_regex(texts, "([A-Za-z])([.,])", "\\1 \x00\\2")
+        pieces = pc.split_pattern(pc.replace_substring(marked, "\n", " \n"), " ")
         coded = pc.dictionary_encode(pieces.flatten())
-        offsets = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
+        edges = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
         keys = coded.dictionary.to_pylist()
         index = coded.indices.to_numpy(zero_copy_only=False)
+        lengths = self._of(keys)[index]
+        firsts = edges[:-1]
+        heads = [keys[i] for i in index[firsts]]  # the first piece has no blank before it
+        lengths[firsts] = self.encode(heads)[1]
+        odd = np.add.reduceat(lengths < 0, firsts) > 0 if firsts.size else np.zeros(0, dtype=bool)
+        sums = np.concatenate([[0], np.cumsum(lengths)])
+        out = np.diff(sums[edges])
+        for i in np.flatnonzero(odd & ~uncut):
+            out[i] = self._glued([keys[j] for j in index[edges[i] : edges[i + 1]]])
+        for i in np.flatnonzero(uncut):
+            out[i] = self.encode([texts[int(i)].as_py()])[1][0]
+        return out
+
+    def _of(self, keys: list[str]) -> np.ndarray:
+        """Ids of each key, -1 for keys that are no pieces."""
         good = np.fromiter(map(self.is_piece, keys), dtype=bool, count=len(keys))
         lengths = np.full(len(keys), -1, dtype=np.int64)
         short = [i for i, k in enumerate(keys) if good[i] and len(k) <= MEMO_CHARS]
-        at = self.places([keys[i] for i in short])
-        lengths[short] = self.memo.lengths(at)
+        lengths[short] = self.memo.lengths(self.places([keys[i] for i in short]))
         for i in np.flatnonzero(good & (lengths < 0)):
-            lengths[i] = self._encode([self.spelled(keys[i])])[0].size
-        per_piece = lengths[index]
-        firsts = offsets[:-1]
-        whole = np.ones(index.size, dtype=bool)
-        whole[firsts] = False  # the first piece has no blank before it
-        bad = np.concatenate([[0], np.cumsum((per_piece < 0) & whole)])
-        sums = np.concatenate([[0], np.cumsum(np.where(whole, per_piece, 0))])
-        out = sums[offsets[1:]] - sums[offsets[:-1]]
-        odd = bad[offsets[1:]] > bad[offsets[:-1]]
-        heads = [keys[i] for i in index[firsts]]
-        plain = [i for i in range(len(heads)) if not odd[i]]
-        out[plain] += self._encode([heads[i] for i in plain])[1]
-        for i in np.flatnonzero(odd):
-            out[i] = self._glued([keys[j] for j in index[offsets[i] : offsets[i + 1]]])
-        return out
+            lengths[i] = self.encode([self.spelled(keys[i])])[1][0]
+        return lengths
 
     def _glued(self, keys: list[str]) -> int:
         """Ids of a text some of whose pieces are no words and stay with the piece before."""
@@ -269,7 +240,7 @@ class SpacedWords(WordEncoder):
                 cut.append(self.spelled(key))
             else:
                 cut[-1] += key if key.startswith("\n") else " " + key
-        return int(self._encode(cut)[1].sum())
+        return int(self.encode(cut)[1].sum())
 
 
 _ENCODERS: dict[tuple[type, str], WordEncoder] = {}

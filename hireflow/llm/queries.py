@@ -6,7 +6,20 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hireflow.llm import contamination, divergence, packing, token_cache, url_markov
+from hireflow.llm import (
+    contamination,
+    divergence,
+    jaccard_join,
+    kd_shards,
+    packing,
+    page_model,
+    reference_sql,
+    secret_links,
+    suffix_dedup,
+    token_cache,
+    url_markov,
+)
+from hireflow.llm.shared import whole_text
 from hireflow.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,13 +63,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path("word_bpe_49k.json")).drop("ids")
 
 
-@query("op3_divergence")
+@query("op3_divergence", reference_sql.DIVERGENCE)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return divergence.judged(docs, ["doc_id"]).drop("char_distance", "word_distance")
 
 
-@query("op4_contamination")
+@query("op4_contamination", reference_sql.CONTAMINATION)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.contaminated(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"]
@@ -80,7 +93,48 @@ URL_RULES = [
 ]
 
 
-@query("op7_url_markov")
+@query("op7_url_markov", reference_sql.url_markov_sql(URL_RULES))
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return url_markov.judged(pages, URL_RULES, ["page_id"]).drop("score")
+
+
+SHARDS = 40
+
+
+@query("op1_kd_shards")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    dims = kd_shards.documents_dimensions()
+    rows = docs.select(
+        "doc_id",
+        kd_shards.size_of(F.col("text")).alias("size"),
+        F.crc32(whole_text("text").cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        *[col.alias(name) for name, col in dims.items()],
+    )
+    return kd_shards.shards(rows, "size", list(dims), SHARDS).select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@query("op5_page_model")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_model.extracted(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
+@query("op6_suffix_dedup", reference_sql.SUFFIX_DEDUP)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
+@query("op8_jaccard_join", reference_sql.JACCARD_JOIN)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked(table(spark, sf_dir, "documents")).drop("node")
+
+
+@query("op9_secret_links")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_links.scanned(table(spark, sf_dir, "documents"), ["doc_id"])

@@ -195,7 +195,8 @@ def url_markov_sql(rules: list[url_markov.Rule]) -> str:
     scored AS (SELECT * FROM ruled JOIN scores USING (id)),
     steps AS (SELECT floor(score / {u.STEP}) AS step, count(*) FILTER (verdict = 'allow') AS allow,
                 count(*) FILTER (verdict = 'block') AS block FROM scored WHERE held AND verdict IS NOT NULL GROUP BY 1),
-    errors AS (SELECT step, coalesce(sum(allow) OVER b, 0) / sum(allow) OVER ()
+    errors AS (SELECT least(step, greatest(0, coalesce(lag(step) OVER (ORDER BY step) + 1, least(step, 0)))) AS step,
+                 coalesce(sum(allow) OVER b, 0) / sum(allow) OVER ()
                  + 1 - coalesce(sum(block) OVER b, 0) / sum(block) OVER () AS error,
                  sum(allow) OVER () > 0 AND sum(block) OVER () > 0 AS both_kinds FROM steps
         WINDOW b AS (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),

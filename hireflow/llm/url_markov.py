@@ -114,7 +114,10 @@ def _mixed(label: str) -> Column:
 
 
 def threshold(scored: DataFrame) -> float:
-    """The step with the least balanced error on held-out addresses; 0 without both kinds."""
+    """Threshold with the least balanced error on held-out addresses; 0 without both kinds.
+
+    All thresholds between two scores have one error; the one nearest to 0 is taken.
+    """
     steps = scored.groupBy(F.floor(F.col("score") / STEP).alias("step")).agg(
         F.count_if(F.col("verdict") == "allow").alias("allow"),
         F.count_if(F.col("verdict") == "block").alias("block"),
@@ -126,7 +129,11 @@ def threshold(scored: DataFrame) -> float:
         + F.lit(1) - F.coalesce(F.sum("block").over(below), F.lit(0)) / F.sum("block").over(whole)
     )
     both = (F.sum("allow").over(whole) > 0) & (F.sum("block").over(whole) > 0)
-    tried = steps.select("step", F.when(both, error).alias("error")).where("error is not null")
+    lowest = F.coalesce(F.lag("step").over(Window.orderBy("step")) + 1, F.least("step", F.lit(0)))
+    tried = steps.select(
+        F.least("step", F.greatest(F.lit(0), lowest)).alias("step"),
+        F.when(both, error).alias("error"),
+    ).where("error is not null")
     best = tried.orderBy(F.round("error", 9), F.abs("step"), "step").limit(1).collect()
     return best[0]["step"] * STEP if best else 0.0
 

@@ -136,11 +136,14 @@ class KeyedTable:
             + [(version, bucket, _NEW, False, None) for bucket in buckets]
         )
 
-    def upsert(self, batch: DataFrame, ignore: tuple[str, ...] = ()) -> None:
+    def upsert(
+        self, batch: DataFrame, ignore: tuple[str, ...] = (), newer_by: str | None = None
+    ) -> None:
         """Rows whose key is in the batch are replaced, other keys stay, new keys are added.
 
-        A stored row is kept when it differs in nothing but the columns to ignore. Keys must be
-        unique in the batch; a NULL key matches nothing. The batch is computed once.
+        A stored row is kept when it differs in nothing but the columns to ignore, and when its
+        ``newer_by`` is above that of the batch's row. Keys must be unique in the batch; a NULL key
+        matches nothing. The batch is computed once.
         """
         commits = self._commits()
         if not commits:
@@ -152,12 +155,16 @@ class KeyedTable:
         incoming = self._read_folders([_folder(version, _INCOMING, b) for b in arrived], schema)
         stored = self._read_folders([f for b in arrived for f in live.get(b, [])], schema)
 
-        state = self._state([n for n in schema.names if n not in (*self.keys, *ignore)])
-        known = stored.select(*self.keys, state.alias("_was"))
-        changed = (
-            incoming.join(known, self.keys, "left")
-            .filter(F.col("_was").isNull() | (F.col("_was") != state))
-            .select(*schema.names, "_bucket", F.col("_was").isNotNull().alias("_replaces"))
+        compared = [n for n in schema.names if n not in (*self.keys, *ignore)]
+        known = stored.select(*self.keys, F.struct(F.lit(1), *compared).alias("_was"))
+        changed = incoming.join(known, self.keys, "left")
+        if newer_by:
+            # a row received before the stored one does not replace it
+            kept_back = F.col(newer_by) < F.col(f"_was.{newer_by}")
+            changed = changed.filter(~F.coalesce(kept_back, F.lit(False)))
+        # values, not a rendering of them: microseconds count, and NULL equals NULL only
+        changed = changed.filter(~F.col("_was").eqNullSafe(F.struct(F.lit(1), *compared))).select(
+            *schema.names, "_bucket", F.col("_was").isNotNull().alias("_replaces")
         )
         gained = self._write(changed, version, _NEW)
         marked = T.StructType([*schema.fields, T.StructField("_replaces", T.BooleanType())])
@@ -175,13 +182,6 @@ class KeyedTable:
             + [(version, b, _KEPT, True, None) for b in kept]
         )
 
-    @staticmethod
-    def _state(columns: list[str]) -> Column:
-        """Digest of the given columns; NULLs keep their place."""
-        if not columns:
-            return F.lit("")
-        return F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
-
     def compact(self, max_folders: int = 1) -> int:
         """Rewrite buckets spread over more than ``max_folders`` folders; returns how many."""
         commits = self._commits()

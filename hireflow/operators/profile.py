@@ -26,21 +26,17 @@ def source_inventory(sources: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-# Texts longer than this are compared by a digest of the whole text.
-DIGEST_ABOVE = 64
-
-
 def _as_text(field: T.StructField) -> Column:
     nested = isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType))
     return F.to_json(field.name) if nested else F.col(field.name).cast("string")
 
 
 def _identity(field: T.StructField) -> Column:
-    """A value to compare by: short ones as they are, so that long texts do not get shuffled."""
+    """A value to compare by; texts by their digest, so that long ones do not get shuffled."""
     text = _as_text(field)
     if not isinstance(field.dataType, (T.StringType, T.ArrayType, T.StructType, T.MapType)):
         return text
-    return F.when(F.length(text) > DIGEST_ABOVE, F.sha2(text, 256)).otherwise(text)
+    return F.sha2(text, 256)
 
 
 def column_profile(df: DataFrame, file: str) -> DataFrame:

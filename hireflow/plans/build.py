@@ -16,6 +16,8 @@ from hireflow.plans import audit, intermediate, marts, staging
 
 RUN_STAMPS = ("_processed_ts", "_updated_at")
 
+RECEIVED = "_ingestion_ts"
+
 LAYERS = ["stg", "int", "dim", "fact", "metric", "dq"]
 
 
@@ -26,7 +28,8 @@ class Run:
     A run takes the rows received on ``run_date``. With ``full_refresh`` it rebuilds from all raw
     rows. ``strict`` follows two narrower rules instead: a full refresh still reads only the run
     date, and changes of applications or education alone do not reach datasets that are driven by
-    events or candidates. It also stamps every row of a run anew, which rewrites their buckets.
+    events or candidates. It also stamps every row of a run anew, which rewrites their buckets, and
+    a run for an older day puts its rows over newer ones.
     """
 
     run_date: date
@@ -103,8 +106,10 @@ class Warehouse:
         if first:
             table.overwrite(rows)
         else:
-            # A row whose content stays the same keeps the time it was last updated.
-            table.upsert(rows, () if run.strict else RUN_STAMPS)
+            # A row whose content stays the same keeps the time it was last updated, and a run for
+            # an older day does not replace rows that were received later.
+            received = RECEIVED if model.layer == "stg" and not run.strict else None
+            table.upsert(rows, () if run.strict else RUN_STAMPS, received)
 
 
 @dataclass(frozen=True)
@@ -177,7 +182,7 @@ def _fct_workflow_events(w: Warehouse, run: Run, everything: bool) -> DataFrame:
     events = w.read("int_workflow_events_enriched")
     if not everything:
         keys = _touched_applications(w, run, with_applications=not run.strict)
-        events = history_of(events, keys, "application_id")
+        events = history_of(events, keys, "application_id", w.hot_applications(run.hot_rows))
     return marts.fct_workflow_events(events, run.now)
 
 

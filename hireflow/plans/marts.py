@@ -89,9 +89,14 @@ def describe_hires(
 ) -> DataFrame:
     """Figures per known job; jobs missing from the dimension form one NULL group."""
     described = jobs.select("job_id", "title", "department")
+    return _figures(
+        per_job.join(described, F.col("fact_job_id") == F.col("job_id"), "left"), now
+    )
+
+
+def _figures(described: DataFrame, now: datetime | None) -> DataFrame:
     return (
-        per_job.join(described, F.col("fact_job_id") == F.col("job_id"), "left")
-        .groupBy("job_id", "title", "department")
+        described.groupBy("job_id", "title", "department")
         .agg(
             F.sum("n").alias("applications_count"),
             F.sum("n").alias("hired_applications_count"),
@@ -140,19 +145,30 @@ def refresh_time_to_hire(
 ) -> DataFrame:
     """The aggregate with only impacted jobs recomputed.
 
-    Facts are summed up per job first, then impacted jobs are picked, so a job with very many
-    applications is one row in every join. The NULL group collects hires of unknown jobs and is
-    made anew every time; a job that no longer has hires disappears.
+    A job is impacted if its facts changed, and if its row in the dimension is new, has another
+    title or department, or is gone. The NULL group collects hires of unknown jobs and is made anew
+    every time, so a job that becomes known leaves it. Facts are read once and summed up per job
+    first, so a job with very many applications is one row in the joins.
     """
-    per_job = hires_per_job(facts)
-    known = jobs.select(F.col("job_id").alias("fact_job_id"))
-    impacted = impacted_jobs.select(F.col("job_id").alias("fact_job_id"))
-    redo = per_job.join(impacted, "fact_job_id", "left_semi").join(
-        known, "fact_job_id", "left_semi"
+    known = previous.filter(F.col("job_id").isNotNull()).select(
+        "job_id",
+        F.struct("title", "department").alias("_was"),
+    )
+    changed = impacted_jobs.select("job_id", F.lit(True).alias("_changed")).distinct()
+    dimension = (
+        jobs.select("job_id", "title", "department")
+        .join(known, "job_id", "left")
+        .join(changed, "job_id", "left")
+        .withColumn(
+            "_redo",
+            F.coalesce("_changed", F.lit(False))
+            | ~F.struct("title", "department").eqNullSafe(F.col("_was")),
+        )
+        .select("job_id", "title", "department", "_redo")
     )
-    unknown = per_job.join(known, "fact_job_id", "left_anti")
-    fresh = describe_hires(redo.unionByName(unknown), jobs, now)
-    untouched = previous.filter(F.col("job_id").isNotNull()).join(
-        impacted_jobs, "job_id", "left_anti"
+    described = hires_per_job(facts).join(
+        dimension, F.col("fact_job_id") == F.col("job_id"), "left"
     )
+    fresh = _figures(described.filter(F.col("job_id").isNull() | F.col("_redo")), now)
+    untouched = previous.join(dimension.filter(~F.col("_redo")), "job_id", "left_semi")
     return untouched.unionByName(fresh)

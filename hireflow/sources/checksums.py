@@ -2,60 +2,89 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-# A file up to this size is hashed as a whole in one task; larger ones by their lines.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
+# Bits of a monotonically increasing id that count rows within a task.
+_ROW_BITS = 33
 
 
-def _sums(text: Column) -> list[Column]:
-    """Order-free digest of a set of texts: wide sums cannot cancel as an XOR of pairs does."""
-    digest = F.md5(text)
-    halves = [F.conv(F.substring(digest, start, 15), 16, 10) for start in (1, 16)]
-    return [F.count(F.lit(1)).alias("n")] + [
-        F.sum(h.cast("decimal(38,0)")).alias(f"s{i}") for i, h in enumerate(halves)
+def _halves(text: Column) -> list[Column]:
+    """Two 48-bit numbers from the MD5 of a text."""
+    return [
+        F.conv(F.substring(F.md5(text), start, 12), 16, 10).cast("decimal(15,0)")
+        for start in (1, 13)
     ]
 
 
-def _digest() -> Column:
-    return F.md5(F.concat_ws("|", F.col("n"), F.col("s0"), F.col("s1")))
+def _digest(*columns: str) -> Column:
+    return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in columns]))
 
 
-def file_checksums(
-    spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """(path, length, checksum) per file.
+def file_checksums(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length, checksum) per file, by the file's length and its lines in order.
 
-    Small files get the MD5 of their bytes. The lines of large ones are hashed in parallel and
-    added up, so no task has to hold or walk the whole file.
+    Every file is read in parallel whatever its size. Per split the lines' numbers are summed up
+    plainly and multiplied by their place in the split, which combines before any shuffle; the
+    lines of the splits before then turn places in a split into places in the file. So neither
+    split sizes nor the order of tasks matter, and lines that change places do.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    small = files.filter(F.col("length") <= whole_file_bytes).select(
-        "path", "length", F.md5("content").alias("checksum")
+    lines = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(path)
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    h0, h1 = _halves(F.col("value"))
+    place = F.col("row").cast("decimal(12,0)")
+    splits = (
+        lines.select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("split"),
+            row.alias("row"),
+            h0.alias("h0"),
+            h1.alias("h1"),
+        )
+        .groupBy("path", "split")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("row").cast("decimal(12,0)").alias("first"),
+            F.sum("h0").alias("s0"),
+            F.sum("h1").alias("s1"),
+            F.sum(place * F.col("h0")).alias("w0"),
+            F.sum(place * F.col("h1")).alias("w1"),
+        )
     )
-    sizes = files.filter(F.col("length") > whole_file_bytes).select("path", "length")
-    if sizes.isEmpty():
-        return small
-    lines = spark.read.option("recursiveFileLookup", True).text(path)
-    large = (
-        lines.withColumn("path", F.col("_metadata.file_path"))
-        .filter(F.col("_metadata.file_size") > whole_file_bytes)
-        .groupBy("path")
-        .agg(*_sums(F.col("value")))
-        .join(sizes, "path")
-        .select("path", "length", _digest().alias("checksum"))
+    before = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum("n").over(before), F.lit(0)).cast("decimal(12,0)")
+    shifted = splits.select("*", (earlier - F.col("first") + 1).cast("decimal(13,0)").alias("shift"))
+    sums = shifted.groupBy("path").agg(
+        F.sum("n").alias("n"),
+        *[F.sum(f"s{i}").alias(f"s{i}") for i in (0, 1)],
+        *[
+            F.sum((F.col(f"w{i}") + F.col("shift") * F.col(f"s{i}")).cast("decimal(38,0)")).alias(f"w{i}")
+            for i in (0, 1)
+        ],
+    )
+    return (
+        files.select("path", "length")
+        .join(sums, "path", "left")
+        .select("path", "length", _digest("length", "n", "s0", "s1", "w0", "w1").alias("checksum"))
     )
-    return small.unionByName(large)
 
 
-def drop_checksum(
-    spark: SparkSession, path: str, whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> str:
+def drop_checksum(spark: SparkSession, path: str) -> str:
     """One fingerprint for a drop: the file's own checksum, or a digest over its parts."""
+    h0, h1 = _halves(F.col("checksum"))
     row = (
-        file_checksums(spark, path, whole_file_bytes)
-        .agg(*_sums(F.col("checksum")), F.min("checksum").alias("only"))
-        .select(F.when(F.col("n") == 1, F.col("only")).otherwise(_digest()).alias("checksum"))
+        file_checksums(spark, path)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(h0).alias("s0"),
+            F.sum(h1).alias("s1"),
+            F.min("checksum").alias("only"),
+        )
+        .select(
+            F.when(F.col("n") == 1, F.col("only"))
+            .otherwise(_digest("n", "s0", "s1"))
+            .alias("checksum")
+        )
         .first()
     )
     return row["checksum"]

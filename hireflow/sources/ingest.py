@@ -1,9 +1,9 @@
 """File drops to raw tables, safe to repeat.
 
-A batch owns the partition ``_ingestion_date=…/_batch_id=…`` of its raw table. The partition is
-overwritten as a whole and counts only when the ledger's newest state of the batch is a success
-for that date. A run that dies between data and ledger therefore leaves nothing visible, and a
-replayed batch replaces its older partition without deleting anything first.
+Each try to load a batch writes to a folder of its own,
+``_ingestion_date=…/_batch_id=…/_attempt=…`` of its raw table, and nothing is ever overwritten. What
+counts is the folder of the batch's newest success in the ledger: a try that dies at any point
+leaves what was loaded before, and a replay that succeeds replaces it as a whole.
 """
 
 from __future__ import annotations
@@ -57,6 +57,7 @@ class RawStore:
             [
                 *RAW[source].fields,
                 T.StructField(CORRUPT, T.StringType()),
+                T.StructField("_attempt", T.LongType()),
                 T.StructField("_quarantined", T.BooleanType()),
             ]
         )
@@ -67,7 +68,7 @@ class RawStore:
         return (
             self.spark.read.schema(schema)
             .parquet(path)
-            .join(batches, ["_batch_id", "_ingestion_date"], "left_semi")
+            .join(batches, ["_batch_id", "_ingestion_date", "_attempt"], "left_semi")
         )
 
     def load(self, spec: SourceSpec, path: str, now: datetime | None = None) -> dict:
@@ -89,11 +90,12 @@ class RawStore:
                 enrich(
                     tag_malformed(scanned), spec, batch_id, checksum, now, CORRUPT, "_quarantined"
                 ),
-                f"{self.table_path(spec.name)}/_ingestion_date={now.date()}/_batch_id={batch_id}",
+                f"{self.table_path(spec.name)}/_ingestion_date={now.date()}/_batch_id={batch_id}"
+                f"/_attempt={started['attempt']}",
             )
             self.ledger.succeed(started, utc_now(), rows)
         except Exception as error:
-            self.ledger.fail(started, utc_now(), str(error)[:4000])
+            self.ledger.fail(started, utc_now(), str(error))
             raise
         return {"source": spec.name, "outcome": LOADED, "batch_id": batch_id, "rows": rows,
                 "rejected": rejected}
@@ -103,13 +105,13 @@ class RawStore:
         return self.spark.range(1).select(key.alias("k")).first()["k"]
 
     def _write(self, tagged: DataFrame, path: str) -> tuple[int, int]:
-        """Overwrite one batch folder; good and unreadable rows are counted in the same pass."""
+        """Write one new folder; good and unreadable rows are counted in the same pass."""
         counted = Observation()
         tagged.drop("_ingestion_date", "_batch_id").observe(
             counted,
             F.count_if(~F.col("_quarantined")).alias("rows"),
             F.count_if("_quarantined").alias("rejected"),
-        ).write.partitionBy("_quarantined").mode("overwrite").parquet(path)
+        ).write.partitionBy("_quarantined").parquet(path)
         return counted.get["rows"], counted.get["rejected"]
 
 

@@ -1,4 +1,8 @@
-"""Batch ledger: append-only state rows, the newest row of a batch is its state."""
+"""Batch ledger: append-only state rows.
+
+The newest row of a batch is its state; its newest success says which folder holds its rows. So a
+replay that is running or has failed leaves what was loaded before in place.
+"""
 
 from __future__ import annotations
 
@@ -16,6 +20,7 @@ _STORED = T.StructType(
         *LEDGER.fields,
         T.StructField("ingestion_date", T.DateType()),
         T.StructField("recorded_at", T.LongType()),
+        T.StructField("attempt", T.LongType()),  # names the folder of one try to load a batch
     ]
 )
 
@@ -38,33 +43,34 @@ class Ledger:
             return self.spark.createDataFrame([], _STORED)
         return self.spark.read.schema(_STORED).parquet(self.path)
 
-    def _current(self) -> DataFrame:
-        return latest_by(self._states(), ["batch_id"], [F.col("recorded_at").desc()])
+    def _newest(self, states: DataFrame) -> DataFrame:
+        return latest_by(states, ["batch_id"], [F.col("recorded_at").desc()])
+
+    def _succeeded(self) -> DataFrame:
+        return self._newest(self._states().filter(F.col("status") == SUCCEEDED))
 
     def batches(self) -> DataFrame:
         """One row per batch in its current state."""
-        return self._current().select(*LEDGER.names)
+        return self._newest(self._states()).select(*LEDGER.names)
 
     def visible(self) -> DataFrame:
-        """Raw partitions that count: the place of each batch whose newest state is a success."""
-        return (
-            self._current()
-            .filter(F.col("status") == SUCCEEDED)
-            .select(
-                "source_name",
-                F.col("batch_id").alias("_batch_id"),
-                F.col("ingestion_date").alias("_ingestion_date"),
-            )
+        """The folder of each batch that counts: that of its newest success."""
+        return self._succeeded().select(
+            "source_name",
+            F.col("batch_id").alias("_batch_id"),
+            F.col("ingestion_date").alias("_ingestion_date"),
+            F.col("attempt").alias("_attempt"),
         )
 
     def has_succeeded(self, batch_id: str) -> bool:
-        return not (
-            self._current()
-            .filter((F.col("batch_id") == batch_id) & (F.col("status") == SUCCEEDED))
-            .isEmpty()
-        )
+        return not self._succeeded().filter(F.col("batch_id") == batch_id).isEmpty()
+
+    def newest_load(self) -> DataFrame:
+        """(source_name, newest): when the newest visible batch of each source was received."""
+        return self._succeeded().groupBy("source_name").agg(F.max("started_at").alias("newest"))
 
     def start(self, spec: SourceSpec, batch_id: str, checksum: str, now: datetime) -> dict:
+        recorded = time.time_ns()
         row = {
             "batch_id": batch_id,
             "source_name": spec.name,
@@ -75,7 +81,8 @@ class Ledger:
             "status": STARTED,
             "started_at": now,
             "ingestion_date": now.date(),
-            "recorded_at": time.time_ns(),
+            "recorded_at": recorded,
+            "attempt": recorded,
         }
         self._append(row)
         return row

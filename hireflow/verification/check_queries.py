@@ -369,6 +369,43 @@ def _(spark, sf):
     )
 
 
+@query("i01_upsert_fine_changes", """
+    SELECT o_orderkey AS id, kind,
+           CASE kind WHEN 'microsecond'
+                     THEN strftime(o_orderdate + INTERVAL 2 MICROSECOND, '%Y-%m-%d %H:%M:%S.%f')
+                     WHEN 'to value' THEN strftime(CAST(o_orderdate AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f')
+           END AS at
+    FROM orders, (VALUES ('microsecond'), ('to value'), ('to null')) AS t(kind)""")
+def _(spark, sf):
+    """Times that change by a microsecond, from NULL and to NULL are changes."""
+    table = KeyedTable(spark, scratch_path(spark, "fine"), ["id", "kind"], buckets=BUCKETS)
+    kinds = F.explode(F.array(*[F.lit(k) for k in ("microsecond", "to value", "to null")]))
+    rows = c.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), kinds.alias("kind"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("at"),
+    )
+    micro = F.expr("INTERVAL 1 MICROSECOND")
+    first = F.when(F.col("kind") == "microsecond", F.col("at") + micro).when(
+        F.col("kind") == "to null", F.col("at"))
+    second = F.when(F.col("kind") == "microsecond", F.col("at") + micro + micro).when(
+        F.col("kind") == "to value", F.col("at"))
+    table.upsert(rows.withColumn("at", first))
+    table.upsert(rows.withColumn("at", second))
+    return table.read().withColumn("at", F.date_format("at", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+@query("i01_upsert_older_rows", """
+    SELECT job_id, status, CAST(day AS VARCHAR) AS _ingestion_date FROM stg_jobs""")
+def _(spark, sf):
+    """A run for an older day leaves rows that were received later."""
+    warehouse = Warehouse(
+        spark, scratch_path(spark, "older"), lambda s: c.raw(spark, sf, s), BUCKETS
+    )
+    for day in (c.DAYS[1], c.DAYS[0]):
+        warehouse._update("stg_jobs", Run(day, c.NOW))
+    return warehouse.read("stg_jobs").select("job_id", "status", "_ingestion_date")
+
+
 @query("i02_full_refresh", FACTS_SQL)
 def _(spark, sf):
     warehouse = Warehouse(
@@ -412,7 +449,7 @@ def file_run(spark: SparkSession, sf_dir: str) -> dict:
     if memo not in _runs:
         _runs[memo] = run_all(
             spark, c.source_files(spark, sf_dir), scratch_path(spark, "run"),
-            full_refresh=True, now=c.NOW, buckets=BUCKETS, enforce=False,
+            full_refresh=True, now=c.NOW, row_bounds=q.ROW_BOUNDS, buckets=BUCKETS, enforce=False,
         )
     return _runs[memo]
 
@@ -474,6 +511,33 @@ def _(spark, sf):
     return rounded_time_to_hire(marts.refresh_time_to_hire(previous, after, jobs, touched, c.NOW))
 
 
+@query("l03_incremental_dimension", """
+    SELECT job_id, title, department, applications_count FROM (
+        SELECT CASE WHEN CAST(j.job_id AS INT) % 5 <> 3 THEN j.job_id END AS job_id,
+               CASE WHEN CAST(j.job_id AS INT) % 5 = 3 THEN NULL
+                    WHEN CAST(j.job_id AS INT) % 5 = 2 THEN 'renamed ' || j.title ELSE j.title END AS title,
+               CASE WHEN CAST(j.job_id AS INT) % 5 <> 3 THEN j.department END AS department
+        FROM stg_jobs j UNION ALL SELECT NULL, NULL, NULL) d
+    JOIN (SELECT CASE WHEN CAST(job_id AS INT) % 5 <> 3 AND job_id IN (SELECT job_id FROM stg_jobs)
+                      THEN job_id END AS fact_job, count(*) AS applications_count
+          FROM fct_apps WHERE is_hired GROUP BY 1) f ON d.job_id IS NOT DISTINCT FROM f.fact_job
+    GROUP BY ALL""")
+def _(spark, sf):
+    """Jobs that arrive after their hires, are renamed or vanish, with facts that stay as they are."""
+    jobs = marts.dim_job(c.staged(spark, sf, "jobs"), c.NOW)
+    kind = F.col("job_id").cast("int") % 5
+    before = jobs.filter(kind != 1)
+    after = jobs.filter(kind != 3).withColumn(
+        "title", F.when(kind == 2, F.concat(F.lit("renamed "), "title")).otherwise(F.col("title"))
+    )
+    ensure_checkpoint_dir(spark)
+    facts = c.facts(spark, sf).checkpoint()
+    previous = marts.agg_time_to_hire_by_job_department(facts, before, c.NOW)
+    none = jobs.select("job_id").limit(0)
+    fresh = marts.refresh_time_to_hire(previous, facts, after, none, c.NOW)
+    return fresh.select("job_id", "title", "department", "applications_count")
+
+
 @query("l05_skill_bridge", """
     SELECT candidate_id, unnest([segment, 'spark', 'sql']) AS skill FROM people
     WHERE segment IS NOT NULL""")

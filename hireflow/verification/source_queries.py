@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hireflow.functions import hashing, lists
 from hireflow.functions.text import null_if_token
 from hireflow.operators.profile import source_inventory
+from hireflow.plans import staging
 from hireflow.session import scratch_path
 from hireflow.sources import checksums, readers
 from hireflow.sources.ingest import RawStore, load_all_sources
@@ -127,17 +128,41 @@ def _(spark, sf):
     )
 
 
-@query("a07_file_checksum")
+@query("a07_file_checksum", """
+    WITH lines AS (SELECT o_orderkey || ',' || o_custkey || ',' || o_orderpriority AS line,
+                          row_number() OVER (ORDER BY o_orderkey) AS place FROM orders),
+    files AS (
+        SELECT 'plain' AS file, line, place FROM lines
+        UNION ALL SELECT 'reversed', line, count(*) OVER () + 1 - place FROM lines
+        UNION ALL SELECT 'crlf', line || chr(13), place FROM lines),
+    numbers AS (SELECT file, CAST(octet_length(encode(line)) + 1 AS HUGEINT) AS bytes, place,
+                       CAST('0x' || substr(md5(line), 1, 12) AS HUGEINT) AS h0,
+                       CAST('0x' || substr(md5(line), 13, 12) AS HUGEINT) AS h1 FROM files)
+    SELECT file, CAST(sum(bytes) AS BIGINT) AS length,
+           md5(concat_ws('|', CAST(sum(bytes) AS VARCHAR), CAST(count(*) AS VARCHAR),
+               CAST(sum(h0) AS VARCHAR), CAST(sum(h1) AS VARCHAR),
+               CAST(sum(h0 * place) AS VARCHAR), CAST(sum(h1 * place) AS VARCHAR))) AS checksum
+    FROM numbers GROUP BY file""")
 def _(spark, sf):
-    """Checksums of all source files, by bytes and by lines."""
-    files = c.source_files(spark, sf)
-    parts = [
-        checksums.file_checksums(spark, f"{files}/{spec.file_name}", limit).select(
-            F.lit(name).alias("source"), F.lit(kind).alias("kind"), "length", "checksum"
+    """One file in three versions: as it is, with its lines reversed, and with other line ends."""
+    root = scratch_path(spark, "checksums")
+    orders = c.table(spark, sf, "orders")
+    line = F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderpriority")
+    versions = {
+        "plain": (line, F.col("o_orderkey").asc()),
+        "reversed": (line, F.col("o_orderkey").desc()),
+        "crlf": (F.concat(line, F.lit("\r")), F.col("o_orderkey").asc()),
+    }
+    parts = []
+    for name, (text, order) in versions.items():
+        orders.coalesce(1).sortWithinPartitions(order).select(text.alias("value")).write.text(
+            f"{root}/{name}"
+        )
+        parts.append(
+            checksums.file_checksums(spark, f"{root}/{name}").select(
+                F.lit(name).alias("file"), "length", "checksum"
+            )
         )
-        for name, spec in SOURCES.items()
-        for kind, limit in (("bytes", checksums.WHOLE_FILE_BYTES), ("lines", 0))
-    ]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -278,6 +303,31 @@ def _(spark, sf):
     return _after_replay(spark, sf, ["education", "workflow_events"])
 
 
+def _failing(*_):
+    raise RuntimeError("lost")
+
+
+@query("a18_failed_replay", """
+    SELECT kind, candidate_id, degree, institution, year
+    FROM stg_educations, (VALUES ('same day'), ('next day')) AS t(kind)""")
+def _(spark, sf):
+    """Education after a replay that failed, on the day of its first load and on the next."""
+    spec = SOURCES["education"]
+    path = readers.source_path(spec.file_name, c.source_files(spark, sf))
+    seen = []
+    for kind, again in (("same day", FIRST), ("next day", SECOND)):
+        store = RawStore(spark, scratch_path(spark, "replay"))
+        store.load(spec, path, FIRST)
+        store._write = _failing
+        try:
+            store.load(spec, path, again)
+        except RuntimeError:
+            pass
+        seen.append(staging.stg_educations(store.read("education"), FIRST).select(
+            F.lit(kind).alias("kind"), "candidate_id", "degree", "institution", "year"))
+    return reduce(DataFrame.unionByName, seen)
+
+
 def _after_replay(spark: SparkSession, sf_dir: str, sources: list[str]) -> DataFrame:
     """What the second load did and the rows that are visible after it."""
     store, (_, second) = loaded_twice(spark, sf_dir)

@@ -81,19 +81,26 @@ def test_source_path(monkeypatch):
     assert readers.source_path("a.csv") == "data/a.csv"
 
 
-def test_checksum_is_md5_of_the_bytes(spark, drop):
-    expected = hashlib.md5((drop / "jobs.csv").read_bytes()).hexdigest()
-    assert checksums.drop_checksum(spark, str(drop / "jobs.csv")) == expected
-
-
-def test_line_checksum_sees_repeated_lines(spark, tmp_path):
+def test_checksum_sees_every_change_and_no_split_size(spark, tmp_path):
     def digest(text):
         path = tmp_path / hashlib.md5(text.encode()).hexdigest()
-        path.write_text(text)
-        return checksums.drop_checksum(spark, str(path), whole_file_bytes=0)
-
-    texts = ["a\nb\n", "a\nb\nb\nb\n", "a\nb\nc\nc\n", "a\n", "a\na\nb\n"]
-    assert len({digest(t) for t in texts}) == len(texts)
+        path.write_bytes(text.encode())
+        return checksums.drop_checksum(spark, str(path))
+
+    long = "".join(f"line {i} of a file\n" for i in range(2000))
+    lines = long.splitlines(True)
+    swapped = "".join([*lines[:500], lines[1500], *lines[501:1500], lines[500], *lines[1501:]])
+    texts = ["", "a\nb\n", "b\na\n", "a\r\nb\r\n", "a\nb", "a\nb\nb\nb\n", "a\nb\nc\nc\n", "a\n",
+             "a\na\nb\n", long, swapped]
+    found = [digest(t) for t in texts]
+    assert len(set(found)) == len(texts)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("300", "7000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            assert [digest(t) for t in texts] == found
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_load_fills_contracts(store, drop):
@@ -107,7 +114,7 @@ def test_load_fills_contracts(store, drop):
     assert event["_event_date"] == date(2024, 1, 9)
     assert (event["_ingestion_ts"], event["_ingestion_date"]) == (DAY1, DAY1.date())
     assert event["_file_name"] == "workflow_events.jsonl"
-    checksum = hashlib.md5((drop / "workflow_events.jsonl").read_bytes()).hexdigest()
+    checksum = checksums.drop_checksum(store.spark, str(drop / "workflow_events.jsonl"))
     assert event["_source_file_checksum"] == checksum
     batch = f"workflow_events|workflow_events.jsonl|{checksum}"
     assert event["_batch_id"] == hashlib.md5(batch.encode()).hexdigest()
@@ -167,6 +174,27 @@ def test_crash_between_data_and_ledger(store, drop, monkeypatch):
     assert rows(store.ledger.batches().select("status", "error_message")) == [("SUCCEEDED", None)]
 
 
+@pytest.mark.parametrize("again", [DAY1, DAY2])
+def test_a_failed_replay_keeps_what_was_loaded(store, drop, monkeypatch, again):
+    spec, path = SOURCES["education"], str(drop / "education.csv")
+    store.load(spec, path, DAY1)
+    good = rows(store.read("education"))
+
+    def lost(*_):
+        raise RuntimeError("x" * 9000)
+
+    for place in ("_write", "succeed"):
+        with monkeypatch.context() as m:
+            m.setattr(store if place == "_write" else type(store.ledger), place, lost)
+            with pytest.raises(RuntimeError):
+                store.load(spec, path, again)
+        assert rows(store.read("education")) == good
+    failed = store.ledger.batches().first()
+    assert (failed["status"], failed["error_message"]) == ("FAILED", "x" * 9000)
+    store.load(spec, path, again)
+    assert store.read("education").count() == len(good)
+
+
 def test_empty_source_leaves_no_batch(store, drop):
     (drop / "applications.csv").write_text(APPLICATIONS.splitlines()[0] + "\n")
     assert store.load(SOURCES["applications"], str(drop / "applications.csv"))["outcome"] == "empty"

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from hireflow.functions.text import null_if_token
 from hireflow.sources.schemas import SourceSpec
@@ -53,10 +55,26 @@ def csv_scan(
         .option("multiLine", multiline)
         .csv(path)
     )
-    cells = [
-        null_if_token(F.col(f.name)).try_cast(f.dataType).alias(f.name) for f in schema
+    cells = [_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema]
+    unfit = [
+        null_if_token(F.col(f.name)).isNotNull() & _typed(F.col(f.name), f.dataType).isNull()
+        for f in schema
+        if f.dataType != T.StringType()
     ]
-    return df.select(*cells, CORRUPT, F.col("_metadata.file_name").alias("_file_name"))
+    # a line with a cell that does not fit its type counts as unreadable and keeps its text
+    line = F.to_json(F.struct(*schema.names))
+    corrupt = F.coalesce(CORRUPT, F.when(reduce(or_, unfit, F.lit(False)), line))
+    return df.select(
+        *cells, corrupt.alias(CORRUPT), F.col("_metadata.file_name").alias("_file_name")
+    )
+
+
+def _typed(cell: Column, kind: T.DataType) -> Column:
+    """A cell as its type; whole numbers may have zeros behind the point. NULL if it does not fit."""
+    text = null_if_token(cell)
+    if isinstance(kind, T.IntegralType):
+        text = F.regexp_replace(text, "^(\\s*[+-]?[0-9]+)\\.0*\\s*$", "$1")
+    return text.try_cast(kind)
 
 
 def _json(spark: SparkSession, path: str, schema: T.StructType, multiline: bool) -> DataFrame:

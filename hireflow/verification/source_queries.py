@@ -57,6 +57,37 @@ def _(spark, sf):
     return scan(spark, sf, "applications")
 
 
+@query("a01_unfit_cells", """
+    SELECT CAST(c_custkey AS VARCHAR) AS candidate_id,
+           CASE WHEN c_custkey % 3 = 0 THEN 'rejected' ELSE 'loaded' END AS outcome,
+           CASE c_custkey % 3 WHEN 1 THEN 2010 WHEN 2 THEN 1990 + c_nationkey END AS year
+    FROM customer""")
+def _(spark, sf):
+    """Years that are no numbers are kept aside with their line; ``2010.0`` is a whole number."""
+    root = scratch_path(spark, "unfit")
+    kind = F.col("c_custkey") % 3
+    year = (
+        F.when(kind == 0, "20x0").when(kind == 1, "2010.0").otherwise(
+            (1990 + F.col("c_nationkey")).cast("string")
+        )
+    )
+    c.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("candidate_id"), F.lit("BS").alias("degree"),
+        F.col("c_name").alias("institution"), year.alias("year"),
+    ).write.option("header", True).csv(f"{root}/education.csv")
+    store = RawStore(spark, f"{root}/raw")
+    store.load(SOURCES["education"], f"{root}/education.csv", FIRST)
+    good = store.read("education").select("candidate_id", F.lit("loaded").alias("outcome"), "year")
+    line = F.col(readers.CORRUPT)
+    return good.unionByName(
+        store.quarantined("education").select(
+            F.get_json_object(line, "$.candidate_id").alias("candidate_id"),
+            F.lit("rejected").alias("outcome"),
+            F.lit(None).cast("int").alias("year"),
+        )
+    )
+
+
 @query("a02_csv_null_tokens", """
     SELECT job_id, title, department, posted_date, status FROM job_files""")
 def _(spark, sf):

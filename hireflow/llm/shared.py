@@ -37,6 +37,25 @@ def words_of(col: Column, separators: str = SPACES) -> Column:
     return F.filter(F.split(col, separators), lambda w: w != "")
 
 
+def spaced_words(text: Column) -> Column:
+    """The same for ``SPACES``: every separator becomes a blank, and a text is split at blanks.
+
+    Empty pieces have to be looked for only where two blanks meet.
+    """
+    for separator in "\t\n\x0b\x0c\r":
+        text = F.replace(text, F.lit(separator), F.lit(" "))
+
+    def cut(t: Column) -> Column:
+        pieces = F.split(t, " ")
+        return (
+            F.when(t == "", F.array().cast("array<string>"))
+            .when(F.contains(t, F.lit("  ")), F.filter(pieces, lambda w: w != ""))
+            .otherwise(pieces)
+        )
+
+    return let(F.trim(text), cut)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often the body names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

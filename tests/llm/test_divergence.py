@@ -86,7 +86,9 @@ def rows(df):
     }
 
 
-def test_small(spark):
+@pytest.mark.parametrize("place_bits", [20, 3, 58])
+def test_small(spark, monkeypatch, place_bits):
+    monkeypatch.setattr(op, "PLACE_BITS", place_bits)  # too few places, or equal upper bits
     plain = "the cat and the dog of a house in the town that is old and was new for all of them, "
     texts = [
         (None, "en"), ("", None), (" \n ", "en"), ("one", "xx"), ("a b a b a b", "en"), (plain * 9, "en"),

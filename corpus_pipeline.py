@@ -38,7 +38,11 @@ def leave_out(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and look like their language."""
-    return divergence.judged(docs, docs.columns).where("kept").select(*docs.columns)
+    keyed = docs.select(
+        F.col("doc_id").alias("gone_id"), content().alias("gone_content"), "text", "lang"
+    )
+    judged = divergence.judged(keyed, ["gone_id", "gone_content"])
+    return leave_out(docs, judged.where("not kept").select("gone_id", "gone_content"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternates between hanging a node's larger neighbours and its smaller ones on the least
     neighbour until all links point to a least node. Each round is one aggregation, which combines
-    before the shuffle, and one join; the number of rounds grows with the logarithm of the size.
+    before the shuffle, and one join with its written result, whose large groups can be split; the
+    number of rounds grows with the logarithm of the size.
     """
     edges = written(
         links.where("a <> b")
@@ -20,23 +21,31 @@ def components(links: DataFrame) -> DataFrame:
         .distinct(),
         "edges",
     )
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = (
+            both.join(written(least, "least"), "u")
+            .where("v > u")
+            .select(F.col("v").alias("u"), F.col("m").alias("v"))
+            .where("u <> v")
+            .distinct()
+        )
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        hung = (
-            large.join(least, "u")
+        edges = written(
+            large.join(written(least, "least"), "u")
             .select(F.explode(F.array(F.struct(F.col("v").alias("u"), "m"), F.struct("u", "m"))).alias("x"))
             .select(F.col("x.u").alias("u"), F.col("x.m").alias("v"))
             .where("u <> v")
-            .distinct()
+            .distinct(),
+            "edges",
         )
-        hung = written(hung, "edges")
-        same = hung.exceptAll(edges).isEmpty() and edges.count() == hung.count()
-        edges = hung
-        if same:
-            break
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other, which hangs on none."""
+    heads = edges.select(F.col("v").alias("u")).distinct()
+    roles = edges.select("u").unionByName(heads).groupBy("u").count()
+    return roles.where("count > 1").isEmpty()

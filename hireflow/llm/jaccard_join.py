@@ -11,10 +11,11 @@ How frequent a token is comes from a table of ``BUCKETS`` counters over all docu
 does not depend on the input. Sets are indexed by size class, so group counts fit the size and
 sets of very different size never meet.
 
-Copies of a text are one node. In each posting list nodes are compared with a centre only; nodes
-that are found alike are one component, and after that only pairs across components are compared,
-so a large group of copies or near copies costs about one comparison per node. Every comparison is
-the exact one of whole sets.
+Copies of a text are one node. Each node is first compared with one centre only, a popular node of its
+posting lists. Nodes that are found alike are one component, and after that only pairs across
+components are compared: nodes near to one centre by what they differ in from it, others if nothing
+settles them. So a large group of copies or near copies costs about one comparison per node. Every
+comparison is the exact one of whole sets.
 
 * Null and empty texts have no shingles and are alike to nothing, not even to each other.
 * Texts of fewer words than ``WORDS`` have one shingle, the whole.
@@ -31,7 +32,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from hireflow.llm.components import components
 from hireflow.llm.shared import bounded, whole_text, written
@@ -219,7 +220,11 @@ def ragged_array(parts: list[np.ndarray]) -> pa.Array:
 
 
 def token_sets(docs: DataFrame) -> DataFrame:
-    """``docs`` (node, text) as node and its distinct tokens."""
+    """``docs`` (text and other columns) with the distinct tokens in place of the text."""
+    schema = T.StructType(
+        [f for f in docs.schema if f.name != "text"]
+        + [T.StructField("tokens", T.ArrayType(T.LongType()))]
+    )
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,19 +232,54 @@ def token_sets(docs: DataFrame) -> DataFrame:
                 tokens, counts = shingles(part.column("text"))
                 sets = [np.unique(t) for t in np.split(tokens, np.cumsum(counts)[:-1])]
                 yield pa.record_batch(
-                    [part.column("node"), ragged_array(sets)], names=["node", "tokens"]
+                    [part.column(n) for n in schema.names[:-1]] + [ragged_array(sets)],
+                    names=schema.names,
                 )
 
-    return docs.mapInArrow(build, "node long, tokens array<long>")
+    return docs.mapInArrow(build, schema)
+
+
+class Sets:
+    """Whole sets of nodes, built from the texts when they are needed."""
+
+    def __init__(self, read: DataFrame, rows: DataFrame) -> None:
+        self.read = read
+        self.firsts = rows.groupBy("node").agg(F.min("doc_id").alias("first"))
+
+    def joined(self, keyed: DataFrame) -> DataFrame:
+        """``keyed`` (node and other columns) with the tokens of its nodes.
 
+        One document of a node is read. Few rows are sent to the texts; many meet them by a shuffle.
+        """
+        wanted = written(keyed.join(self.firsts, "node"), "wanted").withColumnRenamed("node", "of")
+        wanted = bounded(wanted, 40)
+        same = (self.read["node"] == wanted["of"]) & self.read["doc_id"].eqNullSafe(wanted["first"])
+        return token_sets(
+            self.read.join(wanted, same).select(*[c for c in wanted.columns if c != "first"], "text")
+        ).withColumnRenamed("of", "node")
 
-def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+
+def with_sets(pairs: DataFrame, sets: Sets) -> DataFrame:
+    """The pairs (a, b) with both whole sets and the number of tokens in both."""
+    a = sets.joined(pairs.select(F.col("a").alias("node"), "b"))
+    b = sets.joined(pairs.select(F.col("b").alias("node")).distinct())
+    return (
+        a.withColumnsRenamed({"node": "a", "tokens": "tokens_a"})
+        .join(b.withColumnsRenamed({"node": "b", "tokens": "tokens_b"}), "b")
+        .withColumn("shared", F.size(F.array_intersect("tokens_a", "tokens_b")))
+        .withColumn("either", F.size("tokens_a") + F.size("tokens_b") - F.col("shared"))
+    )
+
+
+def alike(pairs: DataFrame, sets: Sets) -> DataFrame:
     """The pairs (a, b) whose whole sets are alike."""
-    a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("tokens_a"))
-    b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tokens_b"))
-    shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    union = F.size("tokens_a") + F.size("tokens_b") - shared
-    return pairs.join(a, "a").join(b, "b").where(100 * shared >= ALIKE * union).select("a", "b")
+    return with_sets(pairs, sets).where(LINKED).select("a", "b").distinct()
+
+
+#: Whether the sets of a pair are alike, and whether one may be alike to something alike to the
+#: other: distances of sets obey the triangle inequality, so twice the distance is allowed.
+LINKED = f"100 * shared >= {ALIKE} * either"
+NEAR = f"100 * shared >= {2 * ALIKE - 100} * either"
 
 
 def fits(n: Column, m: Column) -> Column:
@@ -255,60 +295,141 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     rows = written(indexed(read, counters), "signatures")
 
     posted = rows.select(F.explode("signatures").alias("signature"), "node", "n")
-    several = posted.groupBy("signature").count().where("count > 1").select("signature")
+    # written before they are joined, so that the lists of one signature can be split
+    several = posted.groupBy("signature").agg(F.count("*").alias("length")).where("length > 1")
+    several = written(several, "signatures-of-several")
     members = written(posted.join(several, "signature").distinct(), "postings")
 
-    centre = members.groupBy("signature").agg(F.min(F.struct("node", "n")).alias("centre"))
-    stars = (
-        members.join(centre, "signature")
-        .where((F.col("node") != F.col("centre.node")) & fits(F.col("n"), F.col("centre.n")))
-        .groupBy(F.col("node").alias("a"), F.col("centre.node").alias("b"))
+    sets = Sets(read, rows.select("doc_id", "node"))
+    stars_ = written(stars(members), "star-pairs")
+    comparable = 100 * F.least("n", "n_b") >= (2 * ALIKE - 100) * F.greatest("n", "n_b")
+    tried = stars_.select("a", "b")
+    measured = written(
+        differences(stars_.where(comparable).select("a", "b"), sets).unionByName(
+            # sets of so different sizes are not near
+            stars_.where(~comparable).select(
+                "a", "b", "n", F.lit(False).alias("linked"), F.lit(False).alias("near"),
+                F.lit(None).cast("array<long>").alias("only"),
+            )
+        ),
+        "differences",
+    )
+    links = measured.where("linked").select("a", "b")
+    labels = components(links)
+    for more in (
+        lambda found: same_star(measured, found),
+        lambda found: across(members, measured, found),
+    ):
+        found = labelled(members, labels)
+        step = written(more(found).join(tried, ["a", "b"], "left_anti"), "pairs")
+        fresh = written(alike(step, sets), "links")
+        tried = tried.unionByName(step)
+        if not fresh.isEmpty():
+            links = links.unionByName(fresh)
+            labels = components(links)
+    return with_components(rows, labels)
+
+
+def stars(members: DataFrame) -> DataFrame:
+    """(a, b, n, n_b): each node with the centre that it shares the most posting lists with.
+
+    The centre of a list is its most popular node, the one with the longest lists: of many near
+    copies, the text that the others were made from.
+    """
+    popular = members.groupBy("node").agg(F.sum("length").alias("popular"))
+    popular = bounded(written(popular, "popular"), 24)
+    ranked = members.join(popular, "node").select(
+        "signature", F.struct("popular", "node", "n").alias("rank")
+    )
+    centres = ranked.groupBy("signature").agg(F.max("rank").alias("centre"))
+    return (
+        ranked.join(written(centres, "centres"), "signature")
+        .where("rank <> centre")
+        .groupBy(
+            F.col("rank.node").alias("a"), F.col("centre.node").alias("b"),
+            F.col("rank.n").alias("n"), F.col("centre.n").alias("n_b"),
+        )
         .agg(F.count("*").alias("shared"))
+        .groupBy("a")
+        .agg(F.max_by(F.struct("b", "n", "n_b"), F.struct("shared", "b")).alias("best"))
+        .select("a", "best.*")
     )
-    stars = written(stars, "star-pairs")
-    wanted = written(members.select("node").distinct(), "wanted")
-    texts = (
-        read.select("node", "text")
-        .join(bounded(wanted, 16), "node", "left_semi")
-        .groupBy("node")
-        .agg(F.first("text").alias("text"))
+
+
+def differences(pairs: DataFrame, sets: Sets) -> DataFrame:
+    """The pairs with whether they are linked or near, and for these the tokens in one set only,
+    those of ``a`` first."""
+    only = F.concat(
+        F.array_except("tokens_a", "tokens_b"), F.array_except("tokens_b", "tokens_a")
+    )
+    return with_sets(pairs, sets).select(
+        "a",
+        "b",
+        F.size("tokens_a").alias("n"),
+        F.expr(LINKED).alias("linked"),
+        F.expr(NEAR).alias("near"),
+        F.when(F.expr(NEAR), only).alias("only"),
     )
-    sets = written(token_sets(texts), "token-sets")
 
-    best = stars.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
-    tried = written(best, "first-pairs")
-    links = written(alike(tried, sets), "links")
-    labels = components(links)
-    for step in (stars.select("a", "b"), None):
-        found = labelled(members.select("node").distinct(), labels)
-        if step is None:
-            step = across(members, found)
-        step = written(cross(step, found).join(tried, ["a", "b"], "left_anti"), "pairs")
-        links = written(links.unionByName(alike(step, sets)), "links")
-        tried = written(tried.unionByName(step), "tried")
-        labels = components(links)
-    return with_components(rows, labels)
 
+def same_star(measured: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs of nodes near to one centre, in different components, that can be alike.
+
+    What two nodes differ in is what they differ in from the centre, without what they share of
+    that. A node that is not linked to the centre differs from it in many tokens, so one that is
+    alike to it must share most of its own. ``spare`` is how many it need not share; so one of its
+    first ``spare + 1`` is among the tokens of the other. Tokens the centre lacks come first; they
+    are rare.
+    """
+    near = measured.where("near").join(found.withColumnRenamed("node", "a"), "a")
+    size = F.size("only")
+    far_out = near.where("not linked").select(
+        F.col("b").alias("star"), F.explode("only").alias("token"),
+        F.col("a").alias("u"), F.col("n").alias("n_u"), size.alias("d_u"), F.col("component").alias("c_u"),
+    )
+    each = near.select(
+        F.col("b").alias("star"), F.posexplode("only").alias("rank", "token"),
+        F.col("a").alias("s"), F.col("n").alias("n_s"), size.alias("d_s"), F.col("component").alias("c_s"),
+    )
+    # alike sets differ in at most this share of their sizes' sum
+    spare = F.expr(f"(n_u + n_s) * {100 - ALIKE} div {100 + ALIKE} + d_s - d_u")
+    met = far_out.join(each, ["star", "token"]).where(
+        (F.col("c_u") != F.col("c_s")) & (2 * F.col("rank") <= spare)
+    )
+    return ordered(met, "u", "s")
 
-def labelled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """(node, component) of all nodes, those without links being their own component."""
-    found = nodes.join(labels, "node", "left")
-    return written(found.select("node", F.coalesce("component", "node").alias("component")), "labels")
 
+def ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
+    """Distinct pairs as (a, b)."""
+    return pairs.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct()
 
-def cross(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs whose nodes are in different components."""
-    a = found.select(F.col("node").alias("a"), F.col("component").alias("component_a"))
-    b = found.select(F.col("node").alias("b"), F.col("component").alias("component_b"))
-    return pairs.join(a, "a").join(b, "b").where("component_a <> component_b").select("a", "b")
 
+def labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, component) of all nodes, those without links being their own component."""
+    found = members.select("node").distinct().join(labels, "node", "left")
+    return written(found.select("node", F.coalesce("component", "node").alias("component")), "labels")
 
-def across(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Distinct pairs in a posting list that can be alike and are in different components.
 
-    Nodes of a list's largest component meet the others of the list, never one another.
+def across(members: DataFrame, measured: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs in a posting list that can be alike, are in different components and are not settled.
+
+    Settled are two nodes near to one centre (:func:`same_star`), and two of which one is linked to
+    the centre and the other not near to it. Nodes of a list's largest component meet the others of
+    the list, never one another.
     """
-    rows = members.join(found, "node")
+    place = found.join(
+        measured.select(F.col("a").alias("node"), F.col("b").alias("star"), "linked", "near"),
+        "node",
+        "left",
+    ).select(
+        "node",
+        "component",
+        F.coalesce("star", "node").alias("star"),
+        # a node without a centre is one itself
+        F.coalesce("linked", F.lit(True)).alias("linked"),
+        F.coalesce("near", F.lit(True)).alias("near"),
+    )
+    rows = written(members.join(written(place, "places"), "node"), "placed-postings")
     sizes = rows.groupBy("signature", "component").agg(F.count("*").alias("size"))
     largest = (
         sizes.groupBy("signature")
@@ -316,19 +437,18 @@ def across(members: DataFrame, found: DataFrame) -> DataFrame:
         .where("components > 1")
         .select("signature", F.col("largest.component").alias("largest"))
     )
-    rows = written(rows.join(largest, "signature"), "mixed-postings")
-    others = rows.where("component <> largest").select(
-        "signature", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("component_a")
+    rows = written(rows.join(written(largest, "largest"), "signature"), "mixed-postings")
+    x, y = rows.where("component <> largest").alias("x"), rows.alias("y")
+    settled = F.expr(
+        "x.star = y.star and "
+        "(x.near and y.near or x.linked and not y.near or y.linked and not x.near)"
     )
-    met = others.join(
-        rows.select("signature", F.col("node").alias("b"), F.col("n").alias("n_b"), "component", "largest"),
-        "signature",
-    ).where(
-        (F.col("component_a") != F.col("component"))
-        & fits(F.col("n_a"), F.col("n_b"))
-        & ((F.col("component") == F.col("largest")) | (F.col("a") < F.col("b")))
+    met = x.join(y, F.expr("x.signature = y.signature")).where(
+        F.expr("x.component <> y.component and (y.component = y.largest or x.node < y.node)")
+        & fits(F.col("x.n"), F.col("y.n"))
+        & ~settled
     )
-    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return ordered(met, "x.node", "y.node")
 
 
 def with_components(rows: DataFrame, labels: DataFrame) -> DataFrame:

@@ -71,6 +71,22 @@ def test_against_all_pairs(spark, seed, frequent, monkeypatch):
     assert rows(op.linked(df.repartition(3))) == brute(docs)
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_many_near_copies_of_one_text(spark, seed):
+    """Most are linked to the text, some only to others with the same changes, some to none."""
+    pick = random.Random(seed)
+    base = [f"w{pick.randrange(500)}" for _ in range(150)]
+    docs = []
+    for i in range(260):
+        copy = list(docs[pick.randrange(len(docs))]) if docs and pick.random() < 0.25 else list(base)
+        for _ in range(pick.randint(1, 5)):
+            copy[pick.randrange(len(copy))] = f"x{pick.randrange(10**6)}"
+        docs.append(copy[: pick.choice([150, 150, 140, 120])])
+    docs = [(i, " ".join(d)) for i, d in enumerate(docs)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert rows(op.linked(df)) == brute(docs)
+
+
 def test_nulls_repeats_and_empty(spark):
     text = "a b c d e f g h"
     df = spark.createDataFrame([(4, text), (4, text), (2, text), (1, None), (3, "")], "doc_id long, text string")

@@ -21,7 +21,16 @@ def hired_before_applied(events: DataFrame, applications: DataFrame) -> DataFram
 def dq_hired_before_applied_anomalies(
     events: DataFrame, applications: DataFrame, now: datetime | None = None
 ) -> DataFrame:
-    return hired_before_applied(events, applications).select(
+    return _described(hired_before_applied(events, applications), now)
+
+
+def anomalies_of_timeline(enriched_events: DataFrame, now: datetime | None = None) -> DataFrame:
+    """The same from events that carry their apply date and flag, without a join."""
+    return _described(enriched_events.filter("is_anomaly"), now)
+
+
+def _described(anomalies: DataFrame, now: datetime | None) -> DataFrame:
+    return anomalies.select(
         "event_id", "application_id", "old_status", "new_status", "event_timestamp", "apply_date",
         days_between(F.col("event_timestamp"), F.col("apply_date")).alias("days_before_apply"),
         "_ingestion_date", "_batch_id",

@@ -193,9 +193,11 @@ def _time_to_hire(w: Warehouse, run: Run, everything: bool) -> DataFrame:
 
 
 def _anomalies(w: Warehouse, run: Run, everything: bool) -> DataFrame:
-    return audit.dq_hired_before_applied_anomalies(
-        w.read("stg_workflow_events"), w.read("stg_applications"), run.now
-    )
+    if run.strict:  # the timeline may lag behind changes of applications
+        return audit.dq_hired_before_applied_anomalies(
+            w.read("stg_workflow_events"), w.read("stg_applications"), run.now
+        )
+    return audit.anomalies_of_timeline(w.read("int_workflow_events_enriched"), run.now)
 
 
 # In build order. Event tables are bucketed by application: an event id is a hash over its

@@ -20,7 +20,7 @@ from typing import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from hireflow.llm.shared import whole_text
+from hireflow.llm.shared import whole_text, written
 from hireflow.llm.tokens import SpacedWords, encoder, slices
 from hireflow.session import path_exists
 
@@ -89,6 +89,7 @@ def token_counts(
         F.octet_length(content).cast("long").alias("n_bytes"),
         content_digest(content).alias("content_digest"),
     )
-    return rows.join(cache.stored(), "content_digest").select(
+    # written before it is joined, so that the rows of one text can be split
+    return rows.join(written(cache.stored(), "counts"), "content_digest").select(
         key, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )

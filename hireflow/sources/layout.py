@@ -34,12 +34,8 @@ def compact_partitions(
     Rebalancing joins small pieces and cuts big ones by their size, so one huge partition is
     written by many tasks.
     """
-    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(file_bytes))
-    try:
-        spark.read.parquet(source).hint("rebalance", partition).write.partitionBy(
-            partition
-        ).mode("overwrite").parquet(target)
-    finally:
-        spark.conf.set(setting, before)
+    own = spark.newSession()  # other jobs of the caller's session keep their setting
+    own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes))
+    own.read.parquet(source).hint("rebalance", partition).write.partitionBy(partition).mode(
+        "overwrite"
+    ).parquet(target)

@@ -65,9 +65,10 @@ class Ledger:
     def has_succeeded(self, batch_id: str) -> bool:
         return not self._succeeded().filter(F.col("batch_id") == batch_id).isEmpty()
 
-    def newest_load(self) -> DataFrame:
-        """(source_name, newest): when the newest visible batch of each source was received."""
-        return self._succeeded().groupBy("source_name").agg(F.max("started_at").alias("newest"))
+    def received(self, source: str) -> DataFrame:
+        """When each visible batch of a source was received, as ``_ingestion_ts`` of its rows."""
+        batches = self._succeeded().filter(F.col("source_name") == source)
+        return batches.select(F.col("started_at").alias("_ingestion_ts"))
 
     def start(self, spec: SourceSpec, batch_id: str, checksum: str, now: datetime) -> dict:
         recorded = time.time_ns()

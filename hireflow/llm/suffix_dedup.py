@@ -14,7 +14,10 @@ bounds the memory:
   is one piece of each kind, whose suffixes are named and compared bucket by bucket.
 
 Texts are shuffled once, to the sampled positions that belong to them; buckets get one piece for
-each kind and task, so a passage that a third of the documents share is no large bucket.
+each kind and task. A kind includes the text around a passage, so a passage that many documents
+share in different surroundings has many kinds: keys sampled at more than ``MANY`` positions are not
+read as buckets. Their starts are named one by one, and the first of each name is found by an
+aggregation that combines before its shuffle, so no key is one group in Python.
 
 * Null and empty texts have no suffixes. Texts shorter than ``LENGTH`` keep all their bytes.
 * Order is by document id (null last), then start; rows of one id count as one document.
@@ -31,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from hireflow.llm.shared import BROADCAST_BYTES, whole_text, written
+from hireflow.llm.shared import BROADCAST_BYTES, bounded, whole_text, written
 
 #: Bytes of a string that counts as repeated, and of the keys that sample it.
 LENGTH, KEY = 100, 32
@@ -42,6 +45,12 @@ PLACE_BITS = 28
 #: Pieces that are compared together, at least.
 PIECES = 20_000
 
+#: Bytes of a key in a broadcast.
+KEY_BYTES = 32
+
+#: Most positions of a key whose pieces are compared as one bucket.
+MANY = 20_000
+
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], dtype=np.uint64)
 
 #: Place of documents without an id.
@@ -210,7 +219,8 @@ def first_places(buckets: DataFrame) -> DataFrame:
     """For the first piece of each kind, the starts in it that also occur earlier.
 
     Rows come sorted by key, so a bucket is read once and as a whole; only one piece of each kind
-    is kept. ``repeats`` lists the first and last start of each run.
+    is kept. Keys of more than ``MANY`` positions go to ``first_places_of_many``. ``repeats`` lists
+    the first and last start of each run.
     """
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,8 +256,8 @@ def _first_of_kind(rows: pa.Table) -> pa.Table:
     return rows.take(pa.array(np.sort(once))).combine_chunks()
 
 
-def _resolved(rows: pa.Table) -> pa.RecordBatch:
-    rows = _first_of_kind(rows)
+def _named(rows: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """The number columns, and of every start of every piece its row, its step and its name."""
     column = {c: rows.column(c).to_numpy() for c in ("key", "before", "doc", "content", "at")}
     piece = rows.column("piece").combine_chunks()
     piece = piece.chunk(0) if isinstance(piece, pa.ChunkedArray) else piece
@@ -262,6 +272,59 @@ def _resolved(rows: pa.Table) -> pa.RecordBatch:
     with np.errstate(over="ignore"):
         name = mixed(names[starts[row] + step] + column["key"].view(np.uint64)[row] * _MIX[0])
         name = mixed(name + (distance + LENGTH).astype(np.uint64) * _MIX[1])
+    return column, row, step, name
+
+
+def first_places_of_many(found: DataFrame) -> DataFrame:
+    """The same for the pieces of keys that have many.
+
+    One row per start, with its name, instead of one group per key. The first place of a name and
+    of a kind comes from a minimum, and names of several pieces are joined to written rows, so
+    that names that are in many pieces can be split.
+    """
+    each = found.groupBy("key", "kind").agg(
+        F.min(F.struct("doc", "at", "content", "before", "piece")).alias("first")
+    )
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            column, row, step, names = _named(pa.Table.from_batches([batch]))
+            origin = column["at"] - column["before"]
+            yield pa.record_batch(
+                [
+                    pa.array(names.view(np.int64)),
+                    *[pa.array(column[c][row]) for c in ("doc", "content", "at")],
+                    pa.array(origin[row] + step),
+                ],
+                names=["name", "doc", "content", "at", "start"],
+            )
+
+    starts = each.select("key", "first.*").mapInArrow(
+        name, "name long, doc long, content long, at long, start long"
+    )
+    starts = written(starts, "suffix-starts")
+    place = F.struct("doc", "at")
+    earliest = (
+        starts.groupBy("name")
+        .agg(F.min(place).alias("earliest"), F.max(place).alias("latest"))
+        .where("earliest != latest")
+        .select("name", "earliest")
+    )
+    judged = starts.join(written(earliest, "suffix-earliest"), "name", "left")
+    later = F.col("earliest").isNotNull() & (F.col("earliest") != place)
+    return judged.groupBy("doc", "content", "at").agg(
+        F.flatten(
+            F.collect_list(F.when(later, F.array("start", "start")))
+        ).alias("repeats")
+    )
+
+
+def _resolved(rows: pa.Table) -> pa.RecordBatch:
+    rows = _first_of_kind(rows)
+    column, row, step, name = _named(rows)
+    counts = np.bincount(row, minlength=rows.num_rows)
     place = np.lexsort((column["at"], column["doc"]))
     rank = np.empty(place.size, dtype=np.int64)
     rank[place] = np.arange(place.size)  # pieces in the order of documents
@@ -294,24 +357,28 @@ def _resolved(rows: pa.Table) -> pa.RecordBatch:
 
 def removed_spans(read: DataFrame) -> DataFrame:
     """(doc, content, spans): begin and end of every maximal run of bytes to be removed."""
-    several = (
-        sample_keys(read).select("key").groupBy("key").count().where("count > 1").select("key")
-    )
-    several = written(several, "suffix-keys")
+    several = sample_keys(read).select("key").groupBy("key").count().where("count > 1")
+    several = written(several.select("key", (F.col("count") > MANY).alias("many")), "suffix-keys")
     marks = (
         sample_keys(read)
-        .join(several, "key")
+        .join(several.select("key"), "key")
         .groupBy("doc")
         .agg(F.collect_list("at").alias("places"))
     )
     cut = written(pieces(read.join(marks, "doc")), "suffix-pieces")
-    buckets = (
-        cut.where("piece is not null")
-        .select("key", "kind", "before", "piece", "doc", "content", "at")
-        .repartition("key")
-        .sortWithinPartitions("key")
+    found = cut.where("piece is not null").select(
+        "key", "kind", "before", "piece", "doc", "content", "at"
     )
-    firsts = first_places(buckets).groupBy("doc", "content").agg(
+    many = several.where("many").select("key")
+    n_many = many.count()
+    if n_many:
+        many = bounded(many, KEY_BYTES, n_many)
+        rest = first_places_of_many(found.join(many, "key", "left_semi"))
+        found = found.join(many, "key", "left_anti")
+    firsts = first_places(found.repartition("key").sortWithinPartitions("key"))
+    if n_many:
+        firsts = firsts.unionByName(rest)
+    firsts = firsts.groupBy("doc", "content").agg(
         F.collect_list(F.struct("at", "repeats")).alias("firsts")
     )
     runs = cut.where("runs is not null").select("doc", "content", "runs").distinct()

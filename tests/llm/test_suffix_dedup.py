@@ -55,6 +55,32 @@ def test_against_brute_force(spark, seed, monkeypatch):
     assert rows(op.deduplicated(df.repartition(5))) == brute(docs)
 
 
+def in_many_surroundings(n):
+    pick = random.Random(7)
+
+    def text(size):
+        return "".join(pick.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(size))
+
+    shared, line = text(300), text(110)
+    return [text(90) + (line if i % 3 else shared) + text(90) for i in range(n)]
+
+
+@pytest.mark.parametrize("seed", [None, 2])
+def test_no_key_of_many_kinds_is_one_group(spark, seed, monkeypatch):
+    docs = list(enumerate(in_many_surroundings(150) if seed is None else made(seed)))
+    monkeypatch.setattr(op, "MANY", 20, raising=False)
+    largest, resolve = [], op.first_places
+
+    def counted(buckets):
+        largest.extend(r["count"] for r in buckets.groupBy("key").count().collect())
+        return resolve(buckets)
+
+    monkeypatch.setattr(op, "first_places", counted)
+    df = spark.createDataFrame(docs + docs[:2], "doc_id long, text string")
+    assert rows(op.deduplicated(df.repartition(5))) == brute(docs)
+    assert max(largest, default=0) <= 20
+
+
 def test_nulls_repeats_and_empty(spark):
     a = "the quick brown fox jumps over the lazy dog " * 4
     df = spark.createDataFrame([(1, a), (1, a), (2, a), (3, None), (None, a)], "doc_id long, text string")

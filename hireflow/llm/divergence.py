@@ -8,10 +8,12 @@ share that falls with the square root of the length, and documents below ``GUARD
 ``GUARD_CHARS`` characters) are not compared at all.
 
 Word references take one aggregation over all words, which combines in the reading tasks; a second
-pass gives each document's figures, whose sums are the character references. Only a language
-with at least ``SHARE`` of all words has references of its own, so there are at most ``1 / SHARE``
-and they can be broadcast whatever the input; other languages and null share the references of
-all documents. Nothing else is shuffled: all figures of a document are array functions in its row.
+pass gives each document's figures, whose sums are the character references. A language with
+at least ``SHARE`` of all words has references of its own: every language that has words, so
+that a verdict does not turn on what other languages are in the table. A rare language is compared to
+what little there is of it. Only documents of null language share the references of all
+documents. References are broadcast while they are small and joined by a shuffle beyond that.
+Nothing else is shuffled: all figures of a document are array functions in its row.
 
 * Null and empty texts have no words and fail the base rules.
 * Repeated rows are judged one by one; ties between equally common words go by the alphabet.
@@ -24,7 +26,7 @@ from typing import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hireflow.llm.shared import let, spaced_words, whole_text, written
+from hireflow.llm.shared import bounded, let, spaced_words, whole_text, written
 
 #: Base rules: fewest words, and most words in repeated windows, in percent.
 LEAST_WORDS, MOST_REPEATED = 50, 50
@@ -36,7 +38,10 @@ REPEAT_WINDOW = 3
 COMMON = 24
 
 #: Share of all words from which a language has references of its own.
-SHARE = 0.001
+SHARE = 0.0
+
+#: Bytes of a language's references in a broadcast, at most.
+REFERENCE_BYTES = 4096
 
 #: Limits of the two distances for long texts, and what is added at one word or character.
 CHAR_LIMIT, CHAR_SLACK = 0.25, 1.0
@@ -191,7 +196,7 @@ def figures(docs: DataFrame, common: DataFrame, keep: list[str], text: str, lang
     # a document without words has an empty histogram, also where there are no references
     bins = common_counts(F.col("words"), F.coalesce("own", "pooled"))
     return (
-        read.join(F.broadcast(own), "own_lang", "left")
+        read.join(bounded(own, REFERENCE_BYTES), "own_lang", "left")
         .join(F.broadcast(pooled), F.lit(ALL) == F.col("all_lang"), "left")
         .select(
             *names,
@@ -222,14 +227,13 @@ def word_references(docs: DataFrame, text: str = "text", lang: str = "lang") ->
     )
     each = written(each, "reference-words")
     shares = each.groupBy("lang").agg(F.sum("n").alias("n"))
-    large = [
-        r["lang"]
-        for r in shares.withColumn("all", F.sum("n").over(Window.partitionBy()))
-        .where((F.col("n") >= SHARE * F.col("all")) & F.col("lang").isNotNull())
-        .collect()
-    ]
+    large = (
+        shares.withColumn("all", F.sum("n").over(Window.partitionBy()))
+        .where((F.col("n") >= SHARE * F.col("all")) & (F.col("lang") != ALL))
+        .select("lang")
+    )
     everything = each.groupBy(F.lit(ALL).alias("lang"), "word").agg(F.sum("n").alias("n"))
-    own = each.where(F.col("lang").isin(large) & (F.col("lang") != ALL)).select(*everything.columns)
+    own = each.join(bounded(large, REFERENCE_BYTES), "lang", "left_semi").select(*everything.columns)
     both = own.unionByName(everything)
     by_rank = Window.partitionBy("lang").orderBy(F.col("n").desc(), "word")
     common = (
@@ -316,7 +320,7 @@ def judged(
     references = class_references(rows, known).withColumnRenamed("lang", "lang_")
     n_words, n_chars = F.col("n_words"), F.col("n_chars")
     compared = (n_words >= GUARD_WORDS) & (n_chars >= GUARD_CHARS)
-    rows = rows.join(F.broadcast(references), "lang_", "left").select(
+    rows = rows.join(bounded(references, REFERENCE_BYTES, known.count()), "lang_", "left").select(
         *[c for c in rows.columns if not c.endswith(("_bins", "_"))],
         ((n_words < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * n_words)).alias(
             "base_failed"

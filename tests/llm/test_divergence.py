@@ -1,6 +1,7 @@
 """Base figures, histograms and verdicts against plain Python."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -106,6 +107,24 @@ def test_query(spark, sf):
     assert rows(QUERIES["op3_divergence"](spark, sf)) == brute(docs)
 
 
+def test_rare_language_in_a_script_without_case(spark):
+    pick = random.Random(3)
+
+    def text(words):
+        return " ".join(pick.choice(words) + pick.choice(words) for _ in range(90))
+
+    latin = ["the", "House", "of", "a", "cat", "and", "dogs", "in", "Town,", "is", "old."]
+    arabic = ["في", "من", "على", "بيت", "قطة", "مدينة", "كتاب", "و", "هذا", "ماء", "يوم"]
+    docs = [(i, text(latin), "en") for i in range(2500)]
+    rare = [(10_000 + i, text(arabic), "ar") for i in range(2)]
+    words = [sum(len(words_of(t)) for _, t, _ in x) for x in (rare, docs)]
+    assert words[0] < 0.001 * sum(words)
+    df = spark.createDataFrame(docs + rare, "doc_id long, text string, lang string")
+    got = rows(op.judged(df, ["doc_id"]))
+    assert [got[d][-2:] for d, _, _ in rare] == [(False, True)] * 2
+    assert got == brute(docs + rare)
+
+
 @pytest.mark.parametrize("sizes", ["sf0.01"])
 def test_labelled_quality(spark, sizes):
     at = f"/root/testdata/{sizes}"

@@ -125,6 +125,24 @@ def test_rare_language_in_a_script_without_case(spark):
     assert got == brute(docs + rare)
 
 
+def test_words_of_another_language(spark):
+    at = "/root/testdata/sf0.01"
+    docs = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{at}/documents.parquet").collect()]
+    fit = [d for d in docs if 400 <= base(d[1])[0] <= 3000 and not base(d[1])[-1]]
+    other = [(-1 - i, t, "en") for i, (_, t, lang) in enumerate(fit) if lang == "de"][:10]
+    unknown = [
+        (-10_000 - i, " ".join(w[::-1] + "x" for w in words_of(t)), "en")
+        for i, (_, t, lang) in enumerate(fit) if lang == "en"
+    ][:10]
+    df = spark.createDataFrame(docs + other + unknown, "doc_id long, text string, lang string")
+    got = rows(op.judged(df, ["doc_id"]))
+    judged = [got[d] for d, _, _ in other + unknown if not got[d][-2]]
+    assert len(judged) == 20 and not any(r[-1] for r in judged)
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{at}/labels.parquet").collect()}
+    good = [got[d] for d, _, _ in docs if labels.get(d) == 1 and not got[d][-2]]
+    assert good and all(r[-1] for r in good)
+
+
 @pytest.mark.parametrize("sizes", ["sf0.01"])
 def test_labelled_quality(spark, sizes):
     at = f"/root/testdata/{sizes}"

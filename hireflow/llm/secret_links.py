@@ -6,7 +6,8 @@ Alone they are ordinary text. Within a scope (lines up to a blank line) each wea
 to the intervals of the other parts, widened by ``REACH``: an identifier needs a secret, a key
 needs an identifier or an endpoint, and an endpoint needs both an identifier and a secret nearby.
 Base matches count as parts: access keys as identifiers, assignments and hexadecimal runs as
-secrets.
+secrets. A key in the query, fragment or user part of an address is a key like others, and the address
+is its endpoint; in the host or path it is part of the address.
 
 A scope lies inside a document, so everything happens where the document is read and nothing is
 shuffled. Intervals of one kind are sorted and do not overlap, so a part finds its neighbour by
@@ -51,7 +52,7 @@ LEAST_VALUE, LEAST_ACCESS, LEAST_HEX = 12, 18, 16
 #: Weak parts.
 IDENTIFIER = re.compile(
     r"""\b(?:access[_-]?key(?:[_-]?id)?|client[_-]?id|account(?:[_-]?id)?|user(?:[_-]?name)?|login)"""
-    r"""["']?[ \t]*[:=][ \t]*["']?([A-Za-z0-9_.@-]{3,64})""",
+    r"""["']?[ \t]*[:=][ \t]*["']?([A-Za-z0-9_.@-]{3,})""",
     re.IGNORECASE | re.ASCII,
 )
 KEY = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
@@ -60,6 +61,9 @@ ENDPOINT = re.compile(
     r"|\b(?:host|endpoint|server)[ \t]*[:=][ \t]*[\"']?[A-Za-z0-9.-]+(?::[0-9]{2,5})?",
     re.IGNORECASE | re.ASCII,
 )
+#: User part, and query with fragment, of an address.
+USER_PART = re.compile(r"://([^/?#]*)@")
+QUERY_PART = re.compile(r"[?#](.*)", re.DOTALL)
 BLANK_LINE = re.compile(r"\n[ \t\r]*\n")
 
 #: A text without any of these has neither a base match nor a secret to link to.
@@ -116,7 +120,10 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
     ids = weak(IDENTIFIER, 3)
     keys = weak(KEY, 4, lambda m: is_mixed(m.group()))
     points = weak(ENDPOINT, 5)
-    keys = [k for k in keys if not overlaps(points, k) and not overlaps(ids, k)]
+    keys = [k for k in keys if not overlaps(points, k)]
+    taken = disjoint([*base, *ids])
+    keys += [k for p in points for k in inner_keys(text, p)]
+    keys = sorted(k for k in keys if not overlaps(taken, k))
     if not (ids or keys or points):
         return []
     breaks = [0, *(m.end() for m in BLANK_LINE.finditer(text)), len(text)]
@@ -135,6 +142,18 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
     return kept
 
 
+def inner_keys(text: str, point: Span) -> list[Span]:
+    """Keys in the query, fragment or user part of an endpoint."""
+    address = text[point.start : point.end]
+    parts = [m for m in (USER_PART.search(address), QUERY_PART.search(address)) if m]
+    return [
+        Span(point.start + m.start(1) + k.start(), 4, point.start + m.start(1) + k.end())
+        for m in parts
+        for k in KEY.finditer(m.group(1))
+        if is_mixed(k.group())
+    ]
+
+
 def disjoint(spans: list[Span]) -> list[Span]:
     """Sorted union of the spans."""
     out: list[Span] = []

@@ -66,6 +66,19 @@ def test_weak_parts_need_their_complements():
     assert kinds(f"AKIA{'Z' * 16} and {KEY}") == ["key"]
 
 
+def test_keys_in_endpoints_and_long_identifiers():
+    sig = KEY + "Zz9" * 6
+    assert kinds(f"client_id: acme https://host/x?sig={sig}&v=1") == ["id", "key", "endpoint"]
+    assert kinds(f"client_id: acme\npostgres://{KEY}:{sig}@db/x") == ["id", "key", "key", "endpoint"]
+    assert kinds(f"see https://host/{KEY}/x") == []  # a path
+    text = f"login: bob https://bob:{KEY}@host/x?sig={sig}"
+    spans = op.disjoint([s for s in op.linked_spans(text, op.base_spans(text)) if s.kind != 5])
+    assert op.without(text, spans) == f"{op.MASK} https://bob:{op.MASK}@host/x?sig={op.MASK}"
+    text = f"user = {'ab.' * 40} key {KEY}"
+    spans = op.linked_spans(text, op.base_spans(text))
+    assert [text[s.start : s.end] for s in spans] == [f"user = {'ab.' * 40}", KEY]
+
+
 def test_redaction(spark):
     df = spark.createDataFrame(
         [(1, f"é token = {VALUE}, then text", "en"), (2, "plain", "en"), (3, None, None)], "doc_id long, text string, lang string"

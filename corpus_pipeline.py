@@ -46,12 +46,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of alike ones: that of the least id."""
+    """One document of each group of alike ones: that of the least id (null last) and content."""
     linked = jaccard_join.linked(docs).select(
-        "doc_id", "component_id", F.col("node").alias("content")
+        "doc_id", "component", F.col("node").alias("content")
     )
     linked = written(linked, "linked")
-    gone = linked.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "content")
+    firsts = (
+        linked.where("component is not null")
+        .groupBy("component")
+        .agg(F.min(place).alias("first"), F.max(place).alias("latest"))
+        .where(~F.col("first").eqNullSafe(F.col("latest")))
+        .select("component", "first")
+    )
+    alike = linked.join(written(firsts, "firsts"), "component")
+    gone = alike.where(~place.eqNullSafe(F.col("first")))
     kept = leave_out(docs, gone.select(F.col("doc_id").alias("gone_id"), F.col("content").alias("gone_content")))
     repeated = (
         linked.groupBy("doc_id", "content").agg(F.count("*").alias("n")).where("n > 1")

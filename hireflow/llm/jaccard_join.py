@@ -288,7 +288,7 @@ def fits(n: Column, m: Column) -> Column:
 
 
 def linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, node (the text's key) and component_id of every document."""
+    """doc_id, n_shingles, component_id, node (the text's key) and component of every document."""
     whole = whole_text(text)
     read = docs.select(F.col(key).cast("long").alias("doc_id"), node_of(whole).alias("node"), whole.alias("text"))
     counters = frequencies(read.select("text"))
@@ -452,7 +452,8 @@ def across(members: DataFrame, measured: DataFrame, found: DataFrame) -> DataFra
 
 
 def with_components(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Least document id of every document's component."""
+    """Least document id of every document's component, and the component's own key (null for
+    documents without shingles), as ids may be repeated or null."""
     placed = written(
         rows.select("doc_id", "node", "n")
         .join(labels, "node", "left")
@@ -465,4 +466,5 @@ def with_components(rows: DataFrame, labels: DataFrame) -> DataFrame:
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("doc_id")).alias("component_id"),
         "node",
+        F.when(F.col("n") > 0, F.col("component")).alias("component"),
     )

@@ -132,7 +132,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_jaccard_join", reference_sql.JACCARD_JOIN)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.linked(table(spark, sf_dir, "documents")).drop("node")
+    return jaccard_join.linked(table(spark, sf_dir, "documents")).drop("node", "component")
 
 
 @query("op9_secret_links")

@@ -62,6 +62,17 @@ def test_nulls_repeats_and_empty(spark, sf):
     assert corpus_pipeline.without_secrets(spark, docs, sf).count() == len(rows)
 
 
+def test_one_of_each_group_with_repeated_and_null_ids(spark, sf):
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").where("lang = 'en'").limit(9).collect()]
+    one, two, three = (" ".join(texts[i : i + 3]) for i in (0, 3, 6))
+    rows = [(1, one), (1, one + " and more"), (None, two), (None, two + " and more"), (1, three)]
+    docs = spark.createDataFrame([(i, t, "en", None, None) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [r.text for r in corpus_pipeline.near_duplicates(spark, docs, sf).collect()]
+    assert sorted(sum(t.startswith(x) for t in kept) for x in (one, two, three)) == [1, 1, 1]
+    assert len(kept) == 3
+
+
 def test_entry_has_all_queries():
     names = entry.queries()
     assert names["pipeline"] is corpus_pipeline.run

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hireflow.llm import (
     contamination,
@@ -13,13 +13,16 @@ from hireflow.llm import (
     kd_shards,
     packing,
     page_model,
+    periodic_runs,
+    piece_codec,
     reference_sql,
     secret_links,
+    source_audit,
     suffix_dedup,
     token_cache,
     url_markov,
 )
-from hireflow.llm.shared import whole_text
+from hireflow.llm.shared import let, spaced_words, whole_text
 from hireflow.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,3 +141,63 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_secret_links")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_links.scanned(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+@query("op11_source_audit", reference_sql.SOURCE_AUDIT)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audited(table(spark, sf_dir, "documents"))
+
+
+@query("op12_piece_codec")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_path("piece_bpe_32k.model")
+    ids = piece_codec.encoded(table(spark, sf_dir, "documents"), model)
+    return piece_codec.decoded(ids, model).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        piece_codec.ids_digest(F.col("ids")).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) where the words of about every tenth document repeat from some word on.
+
+    Which document, from where and how often follows from the checksum of its id. Null ids: none.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        start = g % n
+        period = F.floor((n - start) / (g % 8 + 3)) + 1
+
+        def word(i: Column) -> Column:
+            place = F.when(i < start, i).otherwise(start + (i - start) % period)
+            return F.get(words, place.cast("int"))
+
+        moved = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), word)
+        return F.when(n > 0, F.array_join(moved, " ")).otherwise("")
+
+    text = whole_text("text")
+    return docs.select(
+        "doc_id", F.when(h % 10 == 0, let(spaced_words(text), repeated)).otherwise(text).alias("text")
+    )
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic(with_planted_periods(table(spark, sf_dir, "documents")))
+    line = lambda run: F.concat_ws(",", run["start"], run["length"], run["period"])
+    lines = F.transform("runs", lambda run: F.concat(line(run), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.col("kept_sha256").alias("collapsed_sha256"),
+    )

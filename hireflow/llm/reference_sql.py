@@ -210,3 +210,60 @@ DIVERGENCE = _divergence()
 CONTAMINATION = _contamination()
 SUFFIX_DEDUP = _suffix_dedup()
 JACCARD_JOIN = _jaccard_join()
+
+SOURCE_AUDIT = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+),
+terms AS (
+  SELECT d, lang, source, term, count(*) AS n
+  FROM (
+    SELECT d, lang, source,
+      unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM docs
+  )
+  GROUP BY ALL
+),
+kept AS (SELECT lang, term FROM terms GROUP BY ALL HAVING count(*) >= 10),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+spread AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (
+  SELECT lang, source, term, sum(n) AS n FROM terms JOIN kept USING (lang, term) GROUP BY ALL
+),
+filled AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n
+  FROM spread JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)
+),
+shares AS (
+  SELECT lang, source, term, n,
+    CAST(1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS BIGINT) AS p
+  FROM filled JOIN sizes USING (lang)
+),
+usual AS (
+  SELECT lang, term,
+    CAST(1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS BIGINT) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM counts GROUP BY ALL) JOIN sizes USING (lang)
+),
+far AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL
+),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM spread a JOIN spread b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source
+),
+marked AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM shares JOIN usual USING (lang, term)
+  WHERE n > 0 AND p > q
+),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM marked)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""

@@ -166,7 +166,7 @@ class Tile:
         equal = np.concatenate([[False], self.words[a:b] == self.words[a + q : b + q], [False]])
         edges = np.flatnonzero(np.diff(equal.astype(np.int8))).reshape(-1, 2)
         for x, y in edges.tolist():
-            if y - x >= self.step:
+            if y - x >= self.step and not _repeats_sooner(z_function(self.words[a + x : a + x + q]), q):
                 yield q, low + x, low + y
 
 

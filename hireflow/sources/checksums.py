@@ -2,87 +2,125 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from hashlib import md5
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 # Bits of a monotonically increasing id that count rows within a task.
 _ROW_BITS = 33
 
+#: Sums are taken modulo this prime; a product of two numbers below it fits a long.
+PRIME = (1 << 31) - 1
+
+#: One base for each quarter of a line's MD5.
+BASES = [int(md5(f"lane {i}".encode()).hexdigest()[:7], 16) for i in range(4)]
+
+_DIGITS = 5  # of exponents, one byte each
+
+#: What ends a record, so that files of the layout fall into many small ones.
+SEPARATORS = {"json_array": ","}
 
-def _halves(text: Column) -> list[Column]:
-    """Two 48-bit numbers from the MD5 of a text."""
-    return [
-        F.conv(F.substring(F.md5(text), start, 12), 16, 10).cast("decimal(15,0)")
-        for start in (1, 13)
-    ]
+
+def _quarter(text: Column, lane: int) -> Column:
+    return F.conv(F.substring(F.md5(text), 8 * lane + 1, 8), 16, 10).cast("long")
+
+
+def _power(base: int, exponent: Column) -> Column:
+    """``base`` to the exponent, from its powers to every byte of the exponent."""
+    powers = []
+    for digit in range(_DIGITS):
+        step = pow(base, 1 << (8 * digit), PRIME)
+        table = F.expr(f"array({', '.join(f'{pow(step, i, PRIME)}L' for i in range(256))})")
+        byte = F.shiftright(exponent, 8 * digit).bitwiseAND(F.lit(255)).cast("int")
+        powers.append(F.get(table, byte))
+    return reduce(lambda a, b: a * b % PRIME, powers)
 
 
 def _digest(*columns: str) -> Column:
     return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in columns]))
 
 
-def file_checksums(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, checksum) per file, by the file's length and its lines in order.
+def file_checksums(spark: SparkSession, path: str, separator: str = "\n") -> DataFrame:
+    """(path, length, checksum) per file, by the file's length and its records in order.
 
-    Every file is read in parallel whatever its size. Per split the lines' numbers are summed up
-    plainly and multiplied by their place in the split, which combines before any shuffle; the
-    lines of the splits before then turn places in a split into places in the file. So neither
-    split sizes nor the order of tasks matter, and lines that change places do.
+    Records end at ``separator``. Each has four numbers from its MD5; a file's four sums weigh them
+    with the powers of a base, the record's place being the exponent, modulo a prime. Such sums of
+    two stretches make that of both: the second's is shifted by the records of the first. So splits
+    are summed up where they are read, in parallel whatever the size of a file, and shifted by the
+    records before them. Neither split sizes nor the order of tasks matter, and any two orders of
+    the same records differ, but for a chance of about 2^-124.
+
+    A file that is listed but gave no records fails the query.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    lines = spark.read.option("recursiveFileLookup", True).option("lineSep", "\n").text(path)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    # both sides name a file the same way, whatever signs its path holds
+    files = listed.select(
+        "path", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("length")
+    )
+    records = spark.read.option("recursiveFileLookup", True).option("lineSep", separator).text(path)
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    h0, h1 = _halves(F.col("value"))
-    place = F.col("row").cast("decimal(12,0)")
+    lanes = range(len(BASES))
     splits = (
-        lines.select(
-            F.col("_metadata.file_path").alias("path"),
+        records.select(
+            F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("split"),
             row.alias("row"),
-            h0.alias("h0"),
-            h1.alias("h1"),
+            "value",
         )
-        .groupBy("path", "split")
+        .groupBy("file", "split")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.min("row").cast("decimal(12,0)").alias("first"),
-            F.sum("h0").alias("s0"),
-            F.sum("h1").alias("s1"),
-            F.sum(place * F.col("h0")).alias("w0"),
-            F.sum(place * F.col("h1")).alias("w1"),
+            F.min("row").alias("first"),
+            *[
+                F.sum(_quarter(F.col("value"), i) * _power(BASES[i], F.col("row")) % PRIME).alias(f"s{i}")
+                for i in lanes
+            ],
         )
     )
-    before = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = F.coalesce(F.sum("n").over(before), F.lit(0)).cast("decimal(12,0)")
-    shifted = splits.select("*", (earlier - F.col("first") + 1).cast("decimal(13,0)").alias("shift"))
-    sums = shifted.groupBy("path").agg(
-        F.sum("n").alias("n"),
-        *[F.sum(f"s{i}").alias(f"s{i}") for i in (0, 1)],
-        *[
-            F.sum((F.col(f"w{i}") + F.col("shift") * F.col(f"s{i}")).cast("decimal(38,0)")).alias(f"w{i}")
-            for i in (0, 1)
-        ],
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum("n").over(before), F.lit(0))
+
+    def placed(lane: int) -> Column:
+        """The split's sum as if its first row were the ``earlier``-th of the file."""
+        inverse = pow(BASES[lane], PRIME - 2, PRIME)
+        local = F.col(f"s{lane}") % PRIME * _power(inverse, F.col("first")) % PRIME
+        return local * _power(BASES[lane], F.col("earlier")) % PRIME
+
+    sums = (
+        splits.withColumn("earlier", earlier)
+        .groupBy("file")
+        .agg(
+            F.sum("n").alias("n"),
+            *[(F.sum(placed(i)) % PRIME).alias(f"s{i}") for i in lanes],
+        )
     )
+    lost = F.raise_error(F.concat(F.lit("no records read from "), "path")).cast("long")
+    found = F.when(F.col("n").isNull() & (F.col("length") > 0), lost).otherwise(F.col("n"))
     return (
-        files.select("path", "length")
-        .join(sums, "path", "left")
-        .select("path", "length", _digest("length", "n", "s0", "s1", "w0", "w1").alias("checksum"))
+        files.join(sums, "file", "left")
+        .withColumn("n", found)
+        .select("path", "length", _digest("length", "n", *[f"s{i}" for i in lanes]).alias("checksum"))
     )
 
 
-def drop_checksum(spark: SparkSession, path: str) -> str:
-    """One fingerprint for a drop: the file's own checksum, or a digest over its parts."""
-    h0, h1 = _halves(F.col("checksum"))
+def drop_checksum(spark: SparkSession, path: str, separator: str = "\n") -> str:
+    """One fingerprint for a drop: the file's own checksum, or one over its parts in order of name.
+
+    The parts are numbered in one task, one narrow row for each file of the drop.
+    """
+    place = F.row_number().over(Window.orderBy("path")).cast("long") - 1
+    sums = [
+        (F.sum(_quarter(F.col("checksum"), i) * _power(base, F.col("place")) % PRIME) % PRIME).alias(f"s{i}")
+        for i, base in enumerate(BASES)
+    ]
     row = (
-        file_checksums(spark, path)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(h0).alias("s0"),
-            F.sum(h1).alias("s1"),
-            F.min("checksum").alias("only"),
-        )
+        file_checksums(spark, path, separator)
+        .withColumn("place", place)
+        .agg(F.count(F.lit(1)).alias("n"), *sums, F.min("checksum").alias("only"))
         .select(
             F.when(F.col("n") == 1, F.col("only"))
-            .otherwise(_digest("n", "s0", "s1"))
+            .otherwise(_digest("n", *[f"s{i}" for i in range(len(BASES))]))
             .alias("checksum")
         )
         .first()

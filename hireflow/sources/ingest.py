@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from hireflow.functions.hashing import batch_key
 from hireflow.session import path_exists
-from hireflow.sources.checksums import drop_checksum
+from hireflow.sources.checksums import SEPARATORS, drop_checksum
 from hireflow.sources.enrich import enrich
 from hireflow.sources.ledger import Ledger
 from hireflow.sources.quarantine import tag_malformed
@@ -78,7 +78,7 @@ class RawStore:
         if scanned.isEmpty():
             return {"source": spec.name, "outcome": EMPTY, "batch_id": None, "rows": 0,
                     "rejected": 0}
-        checksum = drop_checksum(self.spark, path)
+        checksum = drop_checksum(self.spark, path, SEPARATORS.get(spec.layout, "\n"))
         batch_id = self._batch_id(spec, checksum)
         if spec.replay == "skip" and self.ledger.has_succeeded(batch_id):
             return {"source": spec.name, "outcome": SKIPPED, "batch_id": batch_id, "rows": 0,

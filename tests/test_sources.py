@@ -103,6 +103,84 @@ def test_checksum_sees_every_change_and_no_split_size(spark, tmp_path):
             spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_checksum_sees_rearranged_lines_of_few_kinds(spark, tmp_path):
+    found = set()
+    for name, kinds in {"abba": "ABBA", "baab": "BAAB", "abab": "ABAB", "baba": "BABA"}.items():
+        path = tmp_path / name
+        path.write_text("".join(f"{k}\n" for k in kinds))
+        found.add(checksums.drop_checksum(spark, str(path)))
+    assert len(found) == 4
+
+
+def test_checksum_of_parts_in_order_of_name(spark, tmp_path):
+    def drop_of(name, *texts):
+        (tmp_path / name).mkdir()
+        for i, text in enumerate(texts):
+            (tmp_path / name / f"part-{i:05d}-{name}.csv").write_text(text)
+        return checksums.drop_checksum(spark, str(tmp_path / name))
+
+    assert drop_of("one", "a\n", "b\n") == drop_of("same", "a\n", "b\n")
+    assert len({drop_of("x", "a\n", "b\n"), drop_of("y", "b\n", "a\n"), drop_of("z", "a\nb\n")}) == 3
+
+
+@pytest.mark.parametrize("folder", ["a b", "50%", "a%20b", "x#y", "été ß", "a+b=c", "q?'&"])
+def test_checksum_in_folders_with_odd_names(spark, tmp_path, folder):
+    (tmp_path / folder).mkdir()
+    file = tmp_path / folder / "jobs.csv"
+    found = []
+    for text in ("111\n", "222\n", "111\n"):
+        file.write_text(text)
+        path = str(file) if "?" not in folder else str(tmp_path)
+        found.append(checksums.drop_checksum(spark, path))
+    assert found[0] == found[2] != found[1]
+
+
+def test_checksum_of_one_line_falls_into_small_records(spark, tmp_path):
+    """An array in one line is read by many tasks and does not depend on where they begin."""
+    rows_ = [{"id": i, "text": 'a, "b" }{', "tags": ["x", "y"]} for i in range(3000)]
+    path = tmp_path / "people.json"
+    path.write_text(json.dumps(rows_))
+    records = spark.read.option("lineSep", ",").text(str(path))
+    assert records.agg(F.max(F.length("value"))).first()[0] < 60
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = set()
+    for size in ("900", "20000", before):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            found.add(checksums.drop_checksum(spark, str(path), ","))
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(found) == 1
+    path.write_text(json.dumps([*rows_[:10], rows_[11], rows_[10], *rows_[12:]]))
+    assert checksums.drop_checksum(spark, str(path), ",") not in found
+
+
+def test_a_file_whose_records_are_not_found_fails(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("1\n")
+
+    class Nothing(type(spark.read)):
+        def text(self, *args, **kw):
+            return super().text(*args, **kw).filter("false")
+
+    class Session:
+        read = property(lambda self: Nothing(spark))
+
+    with pytest.raises(Exception, match="no records read"):
+        checksums.drop_checksum(Session(), str(tmp_path / "a.csv"))
+
+
+def test_a_changed_file_of_equal_length_is_loaded(store, tmp_path):
+    folder = tmp_path / "day 1"
+    folder.mkdir()
+    spec, path = SOURCES["applications"], folder / "applications.csv"
+    line = "application_id,job_id,candidate_id,apply_date\n"
+    for day, key in ((DAY1, "111"), (DAY2, "222")):
+        path.write_text(f"{line}{key},j,c,2024-01-01\n")
+        assert store.load(spec, str(path), day)["outcome"] == "loaded"
+    assert rows(store.read("applications").select("application_id")) == [("111",), ("222",)]
+    assert store.load(spec, str(path), DAY2)["outcome"] == "skipped"
+
+
 def test_load_fills_contracts(store, drop):
     load_all_sources(store, str(drop), DAY1)
     assert counts(store) == ALL

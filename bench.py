@@ -7,8 +7,10 @@ import os
 import sys
 import time
 
-from hireflow.session import local_session
-from hireflow.verification import check_queries, model_queries, source_queries  # noqa: F401
+from hireflow.plans.build import Run, Warehouse
+from hireflow.session import local_session, scratch_path
+from hireflow.sources.schemas import RAW, SOURCES
+from hireflow.verification import canonical, check_queries, model_queries, source_queries  # noqa: F401
 from hireflow.verification.registry import QUERIES
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -52,14 +54,44 @@ def run(spark, name: str) -> float:
     return time.perf_counter() - start
 
 
+def run_builds(spark) -> dict[str, float]:
+    """All layers: days that touch one application of a hundred each, against a rebuild.
+
+    Raw tables lie in folders by day, as loads leave them. The first small day and the first rebuild
+    warm up; the best of the others counts.
+    """
+    root = scratch_path(spark, "bench-raw")
+    for source in SOURCES:
+        rows = canonical.raw_with_late_hires(spark, SF_DIR, source)
+        rows.write.partitionBy("_ingestion_date").parquet(f"{root}/{source}")
+
+    def raw(source):
+        return spark.read.schema(RAW[source]).parquet(f"{root}/{source}")
+
+    def build(warehouse, day, **kw) -> float:
+        start = time.perf_counter()
+        warehouse.build(Run(day, canonical.NOW, **kw))
+        return time.perf_counter() - start
+
+    warehouse, rebuilds = Warehouse(spark, scratch_path(spark, "bench"), raw, 8), []
+    for _ in range(2):
+        rebuilds.append(build(warehouse, canonical.DAYS[-1], full_refresh=True))
+    days = [build(warehouse, day) for day in canonical.LATE_DAYS]
+    return {"build_small_day": round(min(days[1:]), 3), "build_rebuild": round(rebuilds[-1], 3)}
+
+
 def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = local_session(CPUS, "bench")
     # First run warms up code generation; the best of the others counts.
     times = {}
     for name in names:
+        if name == "builds":
+            continue
         run(spark, name)
         times[name] = round(min(run(spark, name) for _ in range(RUNS)), 3)
+    if not sys.argv[1:] or "builds" in sys.argv[1:]:
+        times |= run_builds(spark)
     print(
         json.dumps(
             {

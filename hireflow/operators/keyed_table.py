@@ -1,34 +1,85 @@
 """Upsert by key on plain Parquet.
 
 With an ACID catalog at hand use ``MERGE INTO``. Without one, rows live in hash buckets of their
-key, each write goes to a folder of its own and a small commit row makes it count. A reader sees
-the state before or after a write, never a mix, and a write that dies is simply not committed.
-One writer at a time.
+key, each write goes to folders of its own, and a small list of the folders that count makes it
+visible. A reader sees the state before or after a write, never a mix, and a write that dies is
+simply not listed. One writer at a time.
 
-An upsert looks only at buckets the batch falls into. Rows that are stored already as they are do
-nothing, new keys get an extra folder in their bucket, and only buckets in which a row really changes
-are rewritten. ``compact`` joins the folders.
+The list holds the range of keys of each folder. An upsert reads the key columns of folders whose
+range meets the batch's, and whole rows only of those that hold a key of it. Rows that are stored
+already as they are do nothing, new keys get an extra folder in their bucket, and only folders with a
+row that really changes are rewritten. ``changes`` gives the rows before and after, and ``rows_of``
+reads only folders that hold some keys. ``compact`` joins the folders of a bucket.
 """
 
 from __future__ import annotations
 
 import json
+from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from hireflow.session import path_exists
+from hireflow.session import folder_names
 
-_COMMITS = T.StructType(
+_LISTED = T.StructType(
     [
+        T.StructField("kind", T.StringType()),  # whole, live, after, before
+        T.StructField("step", T.StringType()),
         T.StructField("version", T.LongType()),
-        T.StructField("bucket", T.IntegerType()),  # -1: a row about the write as a whole
         T.StructField("part", T.StringType()),
-        T.StructField("replaces", T.BooleanType()),  # older folders of the bucket stop counting
-        T.StructField("schema", T.StringType()),
+        T.StructField("bucket", T.IntegerType()),
+        T.StructField("low", T.StringType()),
+        T.StructField("high", T.StringType()),
+        T.StructField("text", T.StringType()),  # of the whole: schema, note, and if all was replaced
     ]
 )
-_WHOLE = -1
-_INCOMING, _NEW, _KEPT = "incoming", "new", "kept"
+_PLACE_TYPE = T.StructType(
+    [
+        T.StructField("_v", T.LongType()),
+        T.StructField("_step", T.StringType()),
+        T.StructField("_part", T.StringType()),
+        T.StructField("_bucket", T.IntegerType()),
+    ]
+)
+_WHOLE, _LIVE, _AFTER, _BEFORE = "whole", "live", "after", "before"
+_INCOMING, _NEW, _KEPT, _WAS = "incoming", "new", "kept", "was"
+
+
+@dataclass(frozen=True)
+class Folder:
+    """Rows of one write in one bucket, and the least and greatest text of their first bucket key."""
+
+    step: str
+    version: int
+    part: str
+    bucket: int
+    low: str | None = None
+    high: str | None = None
+
+    @property
+    def path(self) -> str:
+        return f"data/_v={self.version}/_step={self.step}/_part={self.part}/_bucket={self.bucket}"
+
+    @property
+    def place(self) -> tuple:
+        return self.version, self.step, self.part, self.bucket
+
+    def meets(self, other: "Folder") -> bool:
+        known = None not in (self.low, self.high, other.low, other.high)
+        return self.bucket == other.bucket and known and self.low <= other.high and other.low <= self.high
+
+
+@dataclass(frozen=True)
+class State:
+    """What one version of the table consists of and what its write changed."""
+
+    version: int
+    schema: T.StructType
+    live: list[Folder]
+    replaced: bool = False  # everything was written anew
+    note: dict = field(default_factory=dict)
+    after: list[Folder] = field(default_factory=list)
+    before: list[Folder] = field(default_factory=list)
 
 
 class KeyedTable:
@@ -46,98 +97,175 @@ class KeyedTable:
         self.keys = keys
         self.bucket_by = bucket_by or keys
         self.buckets = buckets
-        self._log: list | None = None
+        self._now: State | None = None
 
     # -- state ---------------------------------------------------------------------------------
 
-    def _commits(self) -> list:
-        """All commit rows; at most one per write, bucket and part. Read once per object."""
-        if self._log is None:
-            log = f"{self.path}/commits"
-            found = path_exists(self.spark, log)
-            self._log = self.spark.read.schema(_COMMITS).json(log).collect() if found else []
-        return self._log
+    def _state(self) -> State | None:
+        """The newest version; only its own list is read, once per object."""
+        if self._now is None:
+            versions = self._versions()
+            self._now = self._listed(max(versions)) if versions else None
+        return self._now
+
+    def _versions(self) -> list[int]:
+        """Versions whose list is complete."""
+        names = folder_names(self.spark, f"{self.path}/commits", having="part-")
+        return [int(name.removeprefix("_version=")) for name in names]
+
+    def _listed(self, version: int) -> State:
+        rows = self.spark.read.schema(_LISTED).json(f"{self.path}/commits/_version={version}").collect()
+        folders: dict[str, list[Folder]] = {_LIVE: [], _AFTER: [], _BEFORE: []}
+        about: dict = {}
+        for r in rows:
+            if r.kind == _WHOLE:
+                about = json.loads(r.text)
+            else:
+                folders[r.kind].append(Folder(r.step, r.version, r.part, r.bucket, r.low, r.high))
+        return State(
+            version, T.StructType.fromJson(about["schema"]), folders[_LIVE], about["replaced"],
+            about["note"], folders[_AFTER], folders[_BEFORE],
+        )
 
     def refresh(self) -> None:
         """Look at the folder again, after another session wrote to it."""
-        self._log = None
-
-    @staticmethod
-    def _live(commits: list) -> dict[int, list[str]]:
-        """Folders that count now, by bucket."""
-        reset = max((c.version for c in commits if c.bucket == _WHOLE and c.replaces), default=0)
-        since: dict[int, int] = {}
-        for c in commits:
-            if c.bucket != _WHOLE and c.replaces:
-                since[c.bucket] = max(since.get(c.bucket, reset), c.version)
-        live: dict[int, list[str]] = {}
-        for c in commits:
-            if c.bucket != _WHOLE and c.version >= since.get(c.bucket, reset):
-                live.setdefault(c.bucket, []).append(_folder(c.version, c.part, c.bucket))
-        return live
+        self._now = None
 
     def exists(self) -> bool:
-        return bool(self._commits())
+        return self._state() is not None
 
     def version(self) -> int:
-        return max((c.version for c in self._commits()), default=0)
+        state = self._state()
+        return 0 if state is None else state.version
 
-    def read(self) -> DataFrame:
-        commits = self._commits()
-        if not commits:
+    def note(self) -> dict:
+        """What the writer of the newest version left with it."""
+        state = self._state()
+        return {} if state is None else dict(state.note)
+
+    def _known(self) -> State:
+        state = self._state()
+        if state is None:
             raise ValueError(f"no table at {self.path}")
-        newest = max((c for c in commits if c.bucket == _WHOLE), key=lambda c: c.version)
-        schema = T.StructType.fromJson(json.loads(newest.schema))
-        folders = [folder for group in self._live(commits).values() for folder in group]
-        return self._read_folders(folders, schema).select(*schema.names)
+        return state
+
+    # -- reads ---------------------------------------------------------------------------------
+
+    def read(self) -> DataFrame:
+        state = self._known()
+        return self._read_folders(state.live, state.schema).select(*state.schema.names)
+
+    def ranges_of(self, keys: DataFrame) -> list[Folder]:
+        """Least and greatest of some keys by bucket; the same for tables bucketed alike."""
+        asked = keys.withColumns({"_bucket": self._bucket(), "_part": F.lit("")})
+        return [folder for folder, _ in self._described(asked, "", 0)]
+
+    def rows_of(
+        self, keys: DataFrame, column: str, ranges: list[Folder] | None = None
+    ) -> DataFrame:
+        """At least all rows whose ``column`` is among the keys, from folders that hold any of them.
+
+        Only the column is read of the others whose range of keys meets that of ``keys``. ``column``
+        must be what the table is bucketed by. ``ranges`` are those of the keys, if known.
+        """
+        if self.bucket_by != [column]:
+            raise ValueError(f"{self.path} is not bucketed by {column}")
+        state = self._known()
+        asked = keys.select(column)
+        near = _near(state.live, self.ranges_of(asked) if ranges is None else ranges)
+        held = self._holding(near, state.schema, asked, [column])
+        return self._read_folders(held, state.schema).select(*state.schema.names)
 
-    def _read_folders(self, folders: list[str], schema: T.StructType) -> DataFrame:
-        stored = T.StructType([*schema.fields, T.StructField("_bucket", T.IntegerType())])
+    def changes(self, since: int) -> DataFrame | None:
+        """Rows that came (``_change`` is 1) and went (-1) after a version, None if all were replaced."""
+        now = self._known()
+        later = [self._listed(v) if v != now.version else now for v in self._versions() if v > since]
+        if since > now.version or any(s.replaced for s in later):
+            return None
+        frames = [
+            self._read_folders([f for s in later for f in getattr(s, kind)], now.schema).select(
+                *now.schema.names, F.lit(sign).alias("_change")
+            )
+            for kind, sign in ((_AFTER, 1), (_BEFORE, -1))
+        ]
+        return frames[0].unionByName(frames[1])
+
+    def _read_folders(self, folders: list[Folder], schema: T.StructType) -> DataFrame:
+        stored = T.StructType([*schema.fields, *_PLACE_TYPE.fields])
         if not folders:
             return self.spark.createDataFrame([], stored)
         return (
             self.spark.read.schema(stored)
             .option("basePath", f"{self.path}/data")
-            .parquet(*[f"{self.path}/{folder}" for folder in folders])
+            .parquet(*[f"{self.path}/{f.path}" for f in folders])
         )
 
+    def _holding(
+        self, folders: list[Folder], schema: T.StructType, keys: DataFrame, columns: list[str]
+    ) -> list[Folder]:
+        """The folders that hold any of the keys. Of the folders only the key columns are read."""
+        if not folders:
+            return []
+        places = list(_PLACE_TYPE.names)
+        stored = self._read_folders(folders, schema).select(*columns, *places)
+        found = stored.join(keys.select(*columns), columns, "left_semi").select(*places).distinct()
+        hit = {tuple(row) for row in found.collect()}
+        return [f for f in folders if f.place in hit]
+
     # -- writes --------------------------------------------------------------------------------
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
 
-    def _write(self, df: DataFrame, version: int, part: str) -> list[int]:
-        """Write by bucket; returns the buckets that got rows (at most ``buckets`` numbers)."""
-        target = f"{self.path}/data/_v={version}/_part={part}"
-        df.hint("rebalance", "_bucket").write.partitionBy("_bucket").mode("overwrite").parquet(
-            target
-        )
-        # Folder names only, no column is read. Some input may be empty, so ask what was written.
-        schema = T.StructType([T.StructField("_bucket", T.IntegerType())])
-        written = self.spark.read.schema(schema).parquet(target).distinct()
-        return [row["_bucket"] for row in written.collect()]
+    def _described(self, rows: DataFrame, step: str, version: int, *more: Column) -> list[tuple]:
+        """By part and bucket the range of the first bucket key, with other aggregates.
 
-    def _commit(self, rows: list[tuple]) -> None:
+        A row for each bucket, two after a rewrite.
+        """
+        key = F.col(self.bucket_by[0]).cast("string")
+        ends = [F.min(key).alias("low"), F.max(key).alias("high")]
+        found = rows.groupBy("_part", "_bucket").agg(*ends, *more).collect()
+        return [(Folder(step, version, r._part, r._bucket, r.low, r.high), r) for r in found]
+
+    def _write(self, df: DataFrame, version: int, step: str, *more: Column) -> list[tuple]:
+        """Write rows by ``_part`` and ``_bucket``; returns the folders that got rows, and aggregates."""
+        target = f"{self.path}/data/_v={version}/_step={step}"
+        df.hint("rebalance", "_part", "_bucket").write.partitionBy("_part", "_bucket").mode(
+            "overwrite"
+        ).parquet(target)
+        # Some input may be empty, so ask what was written; only the columns asked for are read.
+        places = {"_part": T.StringType(), "_bucket": T.IntegerType()}
+        schema = [T.StructField(f.name, places.get(f.name, f.dataType)) for f in df.schema]
+        written = self.spark.read.schema(T.StructType(schema)).parquet(target)
+        return self._described(written, step, version, *more)
+
+    def _commit(self, state: State) -> None:
         """One task writes one file, which appears as a whole."""
-        text = json.dumps([dict(zip(_COMMITS.names, row)) for row in rows])
-        parsed = F.from_json(F.lit(text), T.ArrayType(_COMMITS))
-        self.spark.range(0, 1, 1, 1).select(F.inline(parsed)).write.mode("append").json(
-            f"{self.path}/commits"
+        whole = {"schema": state.schema.jsonValue(), "replaced": state.replaced, "note": state.note}
+        rows = [{"kind": _WHOLE, "text": json.dumps(whole)}] + [
+            asdict(folder) | {"kind": kind}
+            for kind, folders in ((_LIVE, state.live), (_AFTER, state.after), (_BEFORE, state.before))
+            for folder in folders
+        ]
+        parsed = F.from_json(F.lit(json.dumps(rows)), T.ArrayType(_LISTED))
+        self.spark.range(0, 1, 1, 1).select(F.inline(parsed)).write.mode("overwrite").json(
+            f"{self.path}/commits/_version={state.version}"
         )
-        self._log = [*self._commits(), *(Row(*_COMMITS.names)(*row) for row in rows)]
+        self._now = state
 
-    def overwrite(self, df: DataFrame) -> None:
+    def overwrite(self, df: DataFrame, note: dict | None = None) -> None:
         """Replace everything."""
         version = self.version() + 1
-        schema = _nullable(df.schema)
-        buckets = self._write(df.withColumn("_bucket", self._bucket()), version, _NEW)
-        self._commit(
-            [(version, _WHOLE, None, True, schema.json())]
-            + [(version, bucket, _NEW, False, None) for bucket in buckets]
-        )
+        rows = df.withColumns({"_part": F.lit(_NEW), "_bucket": self._bucket()})
+        live = [folder for folder, _ in self._write(rows, version, _NEW)]
+        self._commit(State(version, _nullable(df.schema), live, True, self.note() if note is None else note))
 
     def upsert(
-        self, batch: DataFrame, ignore: tuple[str, ...] = (), newer_by: str | None = None
+        self,
+        batch: DataFrame,
+        ignore: tuple[str, ...] = (),
+        newer_by: str | None = None,
+        note: dict | None = None,
     ) -> None:
         """Rows whose key is in the batch are replaced, other keys stay, new keys are added.
 
@@ -145,63 +273,94 @@ class KeyedTable:
         ``newer_by`` is above that of the batch's row. Keys must be unique in the batch; a NULL key
         matches nothing. The batch is computed once.
         """
-        commits = self._commits()
-        if not commits:
-            return self.overwrite(batch)
-        version = max(c.version for c in commits) + 1
-        schema = _nullable(batch.schema)
-        arrived = self._write(batch.withColumn("_bucket", self._bucket()), version, _INCOMING)
-        live = self._live(commits)
-        incoming = self._read_folders([_folder(version, _INCOMING, b) for b in arrived], schema)
-        stored = self._read_folders([f for b in arrived for f in live.get(b, [])], schema)
-
-        compared = [n for n in schema.names if n not in (*self.keys, *ignore)]
-        known = stored.select(*self.keys, F.struct(F.lit(1), *compared).alias("_was"))
+        state = self._state()
+        if state is None:
+            return self.overwrite(batch, note)
+        version, schema = state.version + 1, _nullable(batch.schema)
+        rows = batch.withColumns({"_part": F.lit(_INCOMING), "_bucket": self._bucket()})
+        arrived = [folder for folder, _ in self._write(rows, version, _INCOMING)]
+        note = state.note if note is None else note
+        if not arrived:
+            if note != state.note:
+                self._commit(State(version, state.schema, state.live, False, note))
+            return
+        places = list(_PLACE_TYPE.names)
+        incoming = self._read_folders(arrived, schema).drop("_v", "_step", "_part")
+        held = self._holding(_near(state.live, arrived), schema, incoming, self.keys)
+
+        compared = [f for f in schema if f.name not in (*self.keys, *ignore)]
+        kept_back = [newer_by] if newer_by else []
+        known = self._read_folders(held, schema).select(
+            *self.keys, F.struct(_fingerprint(compared), *kept_back, *places).alias("_was")
+        )
         changed = incoming.join(known, self.keys, "left")
         if newer_by:
             # a row received before the stored one does not replace it
-            kept_back = F.col(newer_by) < F.col(f"_was.{newer_by}")
-            changed = changed.filter(~F.coalesce(kept_back, F.lit(False)))
-        # values, not a rendering of them: microseconds count, and NULL equals NULL only
-        changed = changed.filter(~F.col("_was").eqNullSafe(F.struct(F.lit(1), *compared))).select(
-            *schema.names, "_bucket", F.col("_was").isNotNull().alias("_replaces")
+            older = F.col(newer_by) < F.col(f"_was.{newer_by}")
+            changed = changed.filter(~F.coalesce(older, F.lit(False)))
+        changed = changed.filter(~F.col("_was.fingerprint").eqNullSafe(_fingerprint(compared))).select(
+            *schema.names, "_bucket", F.lit(_NEW).alias("_part"),
+            F.when(F.col("_was").isNotNull(), F.struct(*[f"_was.{p}" for p in places])).alias("_from"),
         )
-        gained = self._write(changed, version, _NEW)
-        marked = T.StructType([*schema.fields, T.StructField("_replaces", T.BooleanType())])
-        new = self._read_folders([_folder(version, _NEW, b) for b in gained], marked)
-        touched = new.filter("_replaces").select("_bucket").distinct()
-        rewritten = {row["_bucket"] for row in touched.collect()}
-        kept: list[int] = []
+        written = self._write(changed, version, _NEW, F.collect_set("_from").alias("rewritten"))
+        gained = [folder for folder, _ in written]
+        hit = {tuple(place) for _, about in written for place in about.rewritten}
+        rewritten = [f for f in held if f.place in hit]
+        left: list[Folder] = []
         if rewritten:
-            stale = self._read_folders([f for b in rewritten for f in live.get(b, [])], schema)
-            keep = stale.join(new.select(*self.keys), self.keys, "left_anti")
-            kept = self._write(keep.select(*schema.names, "_bucket"), version, _KEPT)
-        self._commit(
-            [(version, _WHOLE, None, False, schema.json())]
-            + [(version, b, _NEW, b in rewritten, None) for b in gained]
-            + [(version, b, _KEPT, True, None) for b in kept]
-        )
+            marked = T.StructType([*schema.fields, T.StructField("_from", _PLACE_TYPE)])
+            replacing = self._read_folders(gained, marked).filter("_from is not null").select(*self.keys)
+            stale = self._read_folders(rewritten, schema).drop("_v", "_step", "_part")
+            split = stale.join(replacing.withColumn("_gone", F.lit(True)), self.keys, "left")
+            part = F.when(F.col("_gone"), _WAS).otherwise(_KEPT)
+            split = split.select(*schema.names, "_bucket", part.alias("_part"))
+            left = [folder for folder, _ in self._write(split, version, _KEPT)]
+        gone = set(rewritten)
+        live = [f for f in state.live if f not in gone] + gained + [f for f in left if f.part == _KEPT]
+        was = [f for f in left if f.part == _WAS]
+        self._commit(State(version, schema, live, False, note, gained, was))
 
     def compact(self, max_folders: int = 1) -> int:
         """Rewrite buckets spread over more than ``max_folders`` folders; returns how many."""
-        commits = self._commits()
-        scattered = {b: f for b, f in self._live(commits).items() if len(f) > max_folders}
+        state = self._state()
+        by_bucket: dict[int, list[Folder]] = {}
+        for folder in state.live if state else []:
+            by_bucket.setdefault(folder.bucket, []).append(folder)
+        scattered = [f for group in by_bucket.values() if len(group) > max_folders for f in group]
         if not scattered:
             return 0
-        version = max(c.version for c in commits) + 1
-        newest = max((c for c in commits if c.bucket == _WHOLE), key=lambda c: c.version)
-        schema = T.StructType.fromJson(json.loads(newest.schema))
-        rows = self._read_folders([f for group in scattered.values() for f in group], schema)
-        buckets = self._write(rows, version, _NEW)
-        self._commit(
-            [(version, _WHOLE, None, False, newest.schema)]
-            + [(version, b, _NEW, True, None) for b in buckets]
+        rows = self._read_folders(scattered, state.schema).select(
+            *state.schema.names, "_bucket", F.lit(_NEW).alias("_part")
         )
-        return len(buckets)
+        joined = [folder for folder, _ in self._write(rows, state.version + 1, _NEW)]
+        gone = set(scattered)
+        live = [f for f in state.live if f not in gone] + joined
+        self._commit(State(state.version + 1, state.schema, live, False, state.note))
+        return len(joined)
+
+
+def _near(folders: list[Folder], ranges: list[Folder]) -> list[Folder]:
+    """Folders whose range of keys meets one in the same bucket."""
+    by_bucket: dict[int, list[Folder]] = {}
+    for r in ranges:
+        by_bucket.setdefault(r.bucket, []).append(r)
+    return [f for f in folders if any(f.meets(r) for r in by_bucket.get(f.bucket, []))]
 
 
-def _folder(version: int, part: str, bucket: int) -> str:
-    return f"data/_v={version}/_part={part}/_bucket={bucket}"
+def _fingerprint(fields: list[T.StructField]) -> Column:
+    """128 bits of the values: microseconds count, and NULL equals NULL only."""
+    parts: list[Column] = [F.lit(0)]
+    for f in fields:
+        col = F.col(f.name)
+        parts.append(col.isNull())
+        if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.AtomicType):
+            parts.append(F.size(col))
+            col = F.transform(col, lambda x: F.struct(x.isNull(), x))
+        elif not isinstance(f.dataType, T.AtomicType):
+            col = F.to_json(F.struct(col), {"ignoreNullFields": "false"})
+        parts.append(col)
+    halves = [F.xxhash64(F.lit(seed), *parts).alias(f"h{seed}") for seed in (1, 2)]
+    return F.struct(*halves).alias("fingerprint")
 
 
 def _nullable(schema: T.StructType) -> T.StructType:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
+from threading import Lock
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hireflow.operators.impacted import distinct_keys, history_of, ingested_on
-from hireflow.operators.keyed_table import KeyedTable
+from hireflow.operators.keyed_table import Folder, KeyedTable
 from hireflow.operators.skew import HOT_ROWS, HotKeys, hot_keys
 from hireflow.plans import audit, intermediate, marts, staging
 
@@ -39,6 +41,15 @@ class Run:
     hot_rows: int = HOT_ROWS
 
 
+@dataclass(frozen=True)
+class Touched:
+    """Keys that a run's day touches, written, and their ranges by bucket."""
+
+    key: str
+    keys: DataFrame
+    ranges: list[Folder]
+
+
 class Warehouse:
     """Tables below one folder. ``raw`` gives the raw tables by name."""
 
@@ -54,7 +65,9 @@ class Warehouse:
         self.raw = raw
         self.buckets = buckets
         self._tables: dict[str, KeyedTable] = {}
-        self._hot: dict[tuple[int, int], HotKeys | None] = {}
+        self._hot: dict[tuple, HotKeys | None] = {}
+        self._touched: dict[tuple, Touched] = {}
+        self._lock = Lock()
 
     def table(self, name: str) -> KeyedTable:
         if name not in self._tables:
@@ -71,13 +84,52 @@ class Warehouse:
     def read(self, name: str) -> DataFrame:
         return self.table(name).read()
 
-    def hot_applications(self, hot_rows: int) -> HotKeys | None:
-        """Applications with very many events, looked up once per state of the events."""
-        state = (self.table("stg_workflow_events").version(), hot_rows)
-        if state not in self._hot:
-            events = self.read("stg_workflow_events")
-            self._hot = {state: hot_keys(events, "application_id", hot_rows)}
-        return self._hot[state]
+    @property
+    def hire_counts(self) -> KeyedTable:
+        """Hires by job and days to hire, kept up to date from changes of the facts."""
+        if "hire_counts" not in self._tables:
+            path = f"{self.root}/metric/hire_counts"
+            self._tables["hire_counts"] = KeyedTable(
+                self.spark, path, ["hire_key"], buckets=self.buckets
+            )
+        return self._tables["hire_counts"]
+
+    def touched(self, sources: tuple[str, ...], key: str, run: Run) -> Touched:
+        """Keys in what some sources received on the run's day, from that day's raw rows alone.
+
+        Written once per run, so that who joins them reads a small table.
+        """
+        asked = (sources, key, run)
+        with self._lock:
+            if asked not in self._touched:
+                days = [ingested_on(self.raw(source), run.run_date) for source in sources]
+                self._touched[asked] = self._written_keys(distinct_keys(key, *days), key, run)
+            return self._touched[asked]
+
+    def _written_keys(self, keys: DataFrame, key: str, run: Run) -> Touched:
+        path = f"{self.root}/touched/run_date={run.run_date}/{key}-{uuid.uuid4().hex}"
+        keys.write.parquet(path)
+        keys = self.spark.read.schema(keys.schema).parquet(path)
+        alike = KeyedTable(self.spark, path, [key], buckets=self.buckets)
+        return Touched(key, keys, alike.ranges_of(keys))
+
+    def history(self, name: str, touched: Touched, hot: HotKeys | None = None) -> DataFrame:
+        """All rows of the touched keys in a table, from folders that hold any of them."""
+        rows = self.table(name).rows_of(touched.keys, touched.key, touched.ranges)
+        return history_of(rows, touched.keys, touched.key, hot)
+
+    def hot_applications(self, run: Run, touched: Touched | None = None) -> HotKeys | None:
+        """Applications with very many events, looked up once per state of the events.
+
+        With ``touched`` only those are counted.
+        """
+        table = self.table("stg_workflow_events")
+        with self._lock:
+            state = (table.version(), run.hot_rows, touched and id(touched))
+            if state not in self._hot:
+                rows = table.read() if touched is None else self.history("stg_workflow_events", touched)
+                self._hot[state] = hot_keys(rows, "application_id", run.hot_rows)
+            return self._hot[state]
 
     def build(
         self, run: Run, layers: list[str] | None = None, concurrent: int = 4
@@ -91,6 +143,7 @@ class Warehouse:
         if unknown:
             raise ValueError(f"unknown layers {sorted(unknown)}")
         built = []
+        self._touched, self._hot = {}, {}
         with ThreadPoolExecutor(concurrent) as pool:
             for layer in LAYERS:
                 if layer in wanted:
@@ -131,23 +184,29 @@ def _staging(source: str, transform: Callable) -> Callable[[Warehouse, Run, bool
     return rows
 
 
-def _touched_applications(w: Warehouse, run: Run, with_applications: bool) -> DataFrame:
+def _touched_applications(w: Warehouse, run: Run, with_applications: bool) -> Touched:
+    if not run.strict:
+        sources = ("workflow_events", "applications") if with_applications else ("workflow_events",)
+        return w.touched(sources, "application_id", run)
     frames = [ingested_on(w.read("stg_workflow_events"), run.run_date)]
     if with_applications:
         frames.append(ingested_on(w.read("stg_applications"), run.run_date))
-    return distinct_keys("application_id", *frames)
+    return w._written_keys(distinct_keys("application_id", *frames), "application_id", run)
 
 
 def _enriched(w: Warehouse, run: Run, everything: bool) -> DataFrame:
     """Whole timelines of touched applications, so that late events fall into place."""
-    touched = None
-    if not everything:
-        touched = _touched_applications(w, run, with_applications=not run.strict)
+    events, applications = w.table("stg_workflow_events"), w.table("stg_applications")
+    if everything:
+        return intermediate.int_workflow_events_enriched(
+            events.read(), applications.read(), w.hot_applications(run)
+        )
+    touched = _touched_applications(w, run, with_applications=not run.strict)
     return intermediate.int_workflow_events_enriched(
-        w.read("stg_workflow_events"),
-        w.read("stg_applications"),
-        w.hot_applications(run.hot_rows),
-        touched,
+        events.rows_of(touched.keys, touched.key, touched.ranges),
+        applications.rows_of(touched.keys, touched.key, touched.ranges),
+        w.hot_applications(run, touched),
+        touched.keys,
     )
 
 
@@ -158,37 +217,76 @@ def _dim_job(w: Warehouse, run: Run, everything: bool) -> DataFrame:
 
 def _dim_candidate(w: Warehouse, run: Run, everything: bool) -> DataFrame:
     candidates, educations = w.read("stg_candidates"), w.read("stg_educations")
-    chosen = candidates
-    if not everything:
-        changed = [ingested_on(candidates, run.run_date)]
-        if not run.strict:
-            changed.append(ingested_on(educations, run.run_date))
-        chosen = history_of(candidates, distinct_keys("candidate_id", *changed), "candidate_id")
-    return marts.dim_candidate(chosen, educations, run.now)
+    if everything:
+        return marts.dim_candidate(candidates, educations, run.now)
+    key = "candidate_id"
+    if run.strict:
+        chosen = history_of(candidates, distinct_keys(key, ingested_on(candidates, run.run_date)), key)
+        return marts.dim_candidate(chosen, educations, run.now)
+    touched = w.touched(("candidates", "education"), key, run)
+    return marts.dim_candidate(
+        w.history("stg_candidates", touched), w.history("stg_educations", touched), run.now
+    )
 
 
 def _fct_applications(w: Warehouse, run: Run, everything: bool) -> DataFrame:
-    applications, events = w.read("stg_applications"), w.read("int_workflow_events_enriched")
-    if not everything:
-        keys = _touched_applications(w, run, with_applications=True)
-        applications = history_of(applications, keys, "application_id")
-        events = history_of(
-            events, keys, "application_id", w.hot_applications(run.hot_rows)
+    if everything:
+        return marts.fct_applications(
+            w.read("stg_applications"), w.read("int_workflow_events_enriched"), run.now
         )
-    return marts.fct_applications(applications, events, run.now)
+    touched = _touched_applications(w, run, with_applications=True)
+    return marts.fct_applications(
+        w.history("stg_applications", touched),
+        w.history("int_workflow_events_enriched", touched, w.hot_applications(run, touched)),
+        run.now,
+    )
 
 
 def _fct_workflow_events(w: Warehouse, run: Run, everything: bool) -> DataFrame:
-    events = w.read("int_workflow_events_enriched")
-    if not everything:
-        keys = _touched_applications(w, run, with_applications=not run.strict)
-        events = history_of(events, keys, "application_id", w.hot_applications(run.hot_rows))
-    return marts.fct_workflow_events(events, run.now)
+    if everything:
+        return marts.fct_workflow_events(w.read("int_workflow_events_enriched"), run.now)
+    touched = _touched_applications(w, run, with_applications=not run.strict)
+    hot = w.hot_applications(run, touched)
+    return marts.fct_workflow_events(w.history("int_workflow_events_enriched", touched, hot), run.now)
+
+
+def update_hire_counts(w: Warehouse) -> DataFrame:
+    """Bring the counts to the state of the facts, and return them.
+
+    The version of the facts that the counts stand for is written with them, so a change is counted
+    once, whatever run dies in between. Facts are read only when they were replaced as a whole.
+    """
+    facts, counts = w.table("fct_applications"), w.hire_counts
+    seen = counts.note().get("facts") if counts.exists() else None
+    now = {"facts": facts.version()}
+    if seen == facts.version():
+        return counts.read()
+    changes = None if seen is None else facts.changes(seen)
+    if changes is None:
+        counts.overwrite(marts.hire_counts(facts.read().withColumn("_change", F.lit(1))), now)
+    else:
+        moved = marts.hire_counts(changes).filter("n <> 0")
+        path = f"{w.root}/touched/hires-{uuid.uuid4().hex}"
+        moved.write.parquet(path)
+        moved = w.spark.read.schema(moved.schema).parquet(path)
+        stored = counts.rows_of(moved, "hire_key").select("hire_key", F.col("n").alias("_n"))
+        total = (F.col("n") + F.coalesce("_n", F.lit(0))).alias("n")
+        counts.upsert(
+            moved.join(stored, "hire_key", "left").select(
+                "hire_key", "job_id", "time_to_hire_days", total
+            ),
+            note=now,
+        )
+    return counts.read()
 
 
 def _time_to_hire(w: Warehouse, run: Run, everything: bool) -> DataFrame:
-    return marts.agg_time_to_hire_by_job_department(
-        w.read("fct_applications"), w.read("dim_job"), run.now
+    if run.strict:
+        return marts.agg_time_to_hire_by_job_department(
+            w.read("fct_applications"), w.read("dim_job"), run.now
+        )
+    return marts.describe_hires(
+        marts.hires_of_counts(update_hire_counts(w)), w.read("dim_job"), run.now
     )
 
 

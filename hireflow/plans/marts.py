@@ -119,6 +119,33 @@ def agg_time_to_hire_by_job_department(
     return describe_hires(hires_per_job(facts), jobs, now)
 
 
+def hire_counts(changes: DataFrame) -> DataFrame:
+    """How many hires of each job took how many days, from facts that came and went (``_change``).
+
+    The days are kept apart because the least and the greatest cannot be taken back otherwise.
+    """
+    by = ["job_id", "time_to_hire_days"]
+    counted = changes.filter("is_hired").groupBy(*by).agg(F.sum("_change").alias("n"))
+    key = F.to_json(F.struct(*by), {"ignoreNullFields": "false"})
+    return counted.select(key.alias("hire_key"), *by, "n")
+
+
+def hires_of_counts(counts: DataFrame) -> DataFrame:
+    """The sums of :func:`hires_per_job` from such counts."""
+    n, days = F.col("n"), F.col("time_to_hire_days")
+    return (
+        counts.filter(n > 0)
+        .groupBy(F.col("job_id").alias("fact_job_id"))
+        .agg(
+            F.sum(n).alias("n"),
+            F.coalesce(F.sum(F.when(days.isNotNull(), n)), F.lit(0)).alias("n_days"),
+            F.sum(n * days).alias("days"),
+            F.min(days).alias("lo"),
+            F.max(days).alias("hi"),
+        )
+    )
+
+
 # -- incremental aggregate -------------------------------------------------------------------------
 
 

@@ -58,6 +58,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def folder_names(spark: SparkSession, path: str, having: str) -> list[str]:
+    """Names of the folders below a path that hold a file whose name starts with ``having``."""
+    if not path_exists(spark, path):
+        return []
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(fs_path(fs_path(path), f"*/{having}*"))
+    return sorted({status.getPath().getParent().getName() for status in found})
+
+
 def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """A few bookkeeping rows as one partition, built from literals without Python workers."""
     structs = [

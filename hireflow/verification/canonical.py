@@ -192,11 +192,42 @@ def file_rows(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     return _FILES[source](spark, sf_dir)
 
 
+#: Later days, on each of which one application of a hundred is hired late.
+LATE_DAYS = [date(2024, 1, 4), date(2024, 1, 5), date(2024, 1, 6), date(2024, 1, 7)]
+LATE_BY = 400
+
+
+def late_hires(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hires of one application of a hundred a day, ``LATE_BY`` days after it was made."""
+    kind = F.col("o_orderkey") % 100
+    days = {i: F.lit(day) for i, day in enumerate(LATE_DAYS)}
+    return table(spark, sf_dir, "orders").where(kind < len(LATE_DAYS)).select(
+        F.col("o_orderkey").cast("string").alias("application_id"),
+        F.lit(None).cast("string").alias("old_status"),
+        F.lit("Hired").alias("new_status"),
+        F.date_format(F.date_add(F.col("o_orderdate").cast("date"), LATE_BY), "yyyy-MM-dd").alias(
+            "event_timestamp"
+        ),
+        _pick(kind, days).alias("_ingestion_date"),
+    )
+
+
 def raw(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     """A source as raw table: each day's rows are one batch, received at six in the morning."""
+    return _received(file_rows(spark, sf_dir, source), source)
+
+
+def raw_with_late_hires(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    rows = file_rows(spark, sf_dir, source)
+    if source == "workflow_events":
+        rows = rows.unionByName(late_hires(spark, sf_dir))
+    return _received(rows, source)
+
+
+def _received(rows: DataFrame, source: str) -> DataFrame:
     spec = SOURCES[source]
     day = F.col("_ingestion_date")
-    received = file_rows(spark, sf_dir, source).withColumns(
+    received = rows.withColumns(
         {
             "_ingestion_ts": day.cast("timestamp_ntz") + F.expr("interval 6 hours"),
             "_batch_id": stable_hash(F.lit(source), day),

@@ -1,5 +1,8 @@
+import re
+from collections import Counter
 from datetime import date, datetime
 
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -110,10 +113,10 @@ def test_new_keys_rewrite_nothing(spark):
     t = table(spark, buckets=1)
     t.upsert(frame(spark, {1: "a"}))
     t.upsert(frame(spark, {2: "b"}))
-    assert [c.replaces for c in t._commits() if c.bucket == 0] == [False, False]
+    assert [f.version for f in t._state().live] == [1, 2]
     t.upsert(frame(spark, {1: "c"}))
-    assert {(c.part, c.replaces) for c in t._commits() if c.version == 3 and c.bucket == 0} == {
-        ("new", True), ("kept", True)}
+    # the folder of key 1 has no other row, so nothing of it is kept; that of key 2 stays
+    assert sorted((f.version, f.part) for f in t._state().live) == [(2, "new"), (3, "new")]
     assert dict(rows(t.read())) == {1: "c", 2: "b"}
 
 
@@ -126,8 +129,9 @@ def test_rows_that_stay_the_same_rewrite_nothing(spark):
     t.upsert(stamped({1: "a", 2: None}, 1), ("at",))
     t.upsert(stamped({1: "a", 2: None, 3: "c"}, 2), ("at",))
     assert rows(t.read()) == [(1, "a", 1), (2, None, 1), (3, "c", 2)]
-    assert [c.replaces for c in t._commits() if c.bucket == 0] == [False, False]
+    assert [f.version for f in t._state().live] == [1, 2]
     t.upsert(stamped({2: "b", 3: "c"}, 3), ("at",))
+    assert sorted((f.version, f.part) for f in t._state().live) == [(2, "new"), (3, "kept"), (3, "new")]
     assert rows(t.read()) == [(1, "a", 1), (2, "b", 3), (3, "c", 2)]
     t.upsert(stamped({3: "c"}, 4))
     assert rows(t.read()) == [(1, "a", 1), (2, "b", 3), (3, "c", 4)]
@@ -136,19 +140,85 @@ def test_rows_that_stay_the_same_rewrite_nothing(spark):
 def test_untouched_buckets_stay(spark):
     t = table(spark, buckets=8)
     t.overwrite(frame(spark, {i: "a" for i in range(40)}))
-    before = t._live(t._commits())
+    before = t._state().live
     t.upsert(frame(spark, {5: "b"}))
-    after = t._live(t._commits())
-    assert sum(before[b] != after[b] for b in before) == 1
+    assert len(set(before) - set(t._state().live)) == 1
     assert t.read().count() == 40
 
 
+def test_changes_are_the_difference_of_versions(spark):
+    t, states = table(spark, buckets=2), [{}]
+    for batch in ({1: "a", 2: "b"}, {2: "b", 3: "c"}, {1: "z", 4: None}, {4: None, 1: "y"}, {1: "y"}):
+        t.upsert(frame(spark, batch))
+        states.append(states[-1] | batch)
+    assert t.changes(0) is None  # the first write replaced everything
+    for since in range(1, 6):
+        sums = Counter()
+        for key, value, sign in rows(t.changes(since)):
+            sums[key, value] += sign
+        was, now = set(states[since].items()), set(states[-1].items())
+        assert {k: n for k, n in sums.items() if n} == {
+            **{k: 1 for k in now - was}, **{k: -1 for k in was - now}}
+    t.compact()
+    assert rows(t.changes(5)) == []
+    t.overwrite(frame(spark, {9: "x"}))
+    assert t.changes(5) is None and rows(t.changes(t.version())) == []
+
+
+def opened(df):
+    """Folders (below the table) and columns that the scans of a frame read."""
+    files = {f.split("data/")[1].rsplit("/", 1)[0] for f in df.inputFiles()}
+    columns = re.findall(r"ReadSchema: struct<([^>]*)>", df._jdf.queryExecution().toString())
+    return files, columns
+
+
+def test_rows_of_keys_open_only_folders_that_hold_them(spark):
+    t = KeyedTable(spark, scratch_path(spark, "t"), ["k"], buckets=1)
+    for start in (0, 100, 200):
+        t.upsert(frame(spark, {start + i: "a" for i in range(50)}))
+    keys = spark.createDataFrame([(120,), (None,), (777,)], "k int")
+    found = t.rows_of(keys, "k")
+    assert {f for f, in rows(found.select("k"))} == set(range(100, 150))
+    assert opened(found)[0] == {"_v=2/_step=new/_part=new/_bucket=0"}
+    assert t.rows_of(keys.filter("k = 777"), "k").count() == 0
+    with pytest.raises(ValueError, match="not bucketed by v"):
+        t.rows_of(keys, "v")
+
+
+def test_an_upsert_reads_whole_rows_only_of_folders_with_its_keys(spark, monkeypatch):
+    """The others are not opened at all when their ranges are apart, else only their keys are read."""
+    t, scans = KeyedTable(spark, scratch_path(spark, "t"), ["k"], buckets=1), []
+    whole = KeyedTable._read_folders
+
+    def seen(self, folders, schema):
+        scans.append({f.path.split("/", 1)[1] for f in folders})
+        return whole(self, folders, schema)
+
+    t.upsert(frame(spark, {i: "a" for i in range(100, 150)}))
+    t.upsert(frame(spark, {i: "a" for i in range(150, 200)}))
+    t.upsert(frame(spark, {i: "a" for i in (110, 190, 500)}).filter("k = 500"))
+    monkeypatch.setattr(KeyedTable, "_read_folders", seen)
+    t.upsert(frame(spark, {120: "b", 130: "a"}))
+    opened_before = [s for s in scans if not any(p.startswith("_v=4") for p in s)]
+    assert opened_before and all(s == {"_v=1/_step=new/_part=new/_bucket=0"} for s in opened_before)
+    assert t.read().count() == 101 and rows(t.read().filter("k = 120")) == [(120, "b")]
+
+
+def test_lists_that_differ_in_nulls_differ(spark):
+    t = table(spark, buckets=1)
+    lists = [None, [], [None], ["a", None], [None, "a"], ["a"], ["a", "b"], ["ab"], [""]]
+    for value in lists:
+        t.upsert(spark.createDataFrame([(1, value)], "k int, v array<string>"))
+        assert rows(t.read()) == [(1, value)]
+    assert t.version() == len(lists)
+
+
 def test_a_write_that_dies_is_not_seen(spark):
     t = table(spark)
     t.upsert(frame(spark, {1: "a", 2: "a"}))
 
     class Dies(KeyedTable):
-        def _commit(self, commits):
+        def _commit(self, state):
             raise RuntimeError("lost")
 
     broken = Dies(spark, t.path, ["k"], buckets=3)

@@ -3,6 +3,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from hireflow.operators.keyed_table import KeyedTable
 from hireflow.operators.skew import hot_keys
 from hireflow.plans import analysis, audit, intermediate, marts, metrics, sharing, staging, suite
 from hireflow.plans.build import MODELS, Run, Warehouse
@@ -301,6 +302,93 @@ def test_strict_runs_leave_stale_flags(spark):
     assert rows(warehouse.read("stg_jobs").select("job_id")) == [("j9",)]
 
 
+# Applications of one job each; a late day touches one of them.
+MANY = 40
+LATE = {
+    "jobs": [(0, f"j{i}", "Cook", "Food", "2024-01-01", "Open") for i in range(5)],
+    "candidates": PEOPLE, "education": SCHOOL,
+    "applications": [(0, f"a{i}", f"j{i % 6}", "c1", "2024-01-01") for i in range(MANY)],
+    "workflow_events": [(0, f"a{i}", None, "Hired", f"2024-01-{2 + i % 9:02d}") for i in range(0, MANY, 2)]
+    + [(1, "a7", None, "Hired", "2024-01-20"), (1, "a8", "x", "Hired", "2024-01-02"),
+       (2, "a7", None, "Offer", "2024-01-03")],
+}
+
+
+def late_warehouse(spark, name, buckets=64):
+    return Warehouse(spark, scratch_path(spark, name), lambda s: raw(spark, s, LATE[s]), buckets=buckets)
+
+
+def test_a_day_opens_only_folders_of_applications_it_touches(spark, monkeypatch):
+    """Whole rows of events, timelines and applications, from what scans are asked to open."""
+    warehouse = late_warehouse(spark, "small")
+    warehouse.build(Run(D[0], NOW))
+    scans, whole = [], KeyedTable._read_folders
+
+    def seen(self, folders, schema):
+        scans.append((self.path.rsplit("/", 1)[1], {(f.version, f.bucket) for f in folders}))
+        return whole(self, folders, schema)
+
+    homes = spark.createDataFrame([("a7",), ("a8",)], "application_id string").select(
+        F.pmod(F.xxhash64("application_id"), F.lit(64)).alias("b"))
+    homes = {r[0] for r in homes.collect()}
+    monkeypatch.setattr(KeyedTable, "_read_folders", seen)
+    monkeypatch.setattr(KeyedTable, "read", lambda self: pytest.fail(f"{self.path} read whole")
+                        if self.path.rsplit("/", 1)[1] in ("stg_workflow_events", "stg_applications",
+                                                           "fct_applications") else READ(self))
+    warehouse.build(Run(D[1], NOW), ["stg", "int", "dim", "fact", "metric"])
+    by_application = {"stg_workflow_events", "stg_applications", "int_workflow_events_enriched",
+                      "fct_applications", "fct_workflow_events"}
+    opened = {b for name, folders in scans if name in by_application for _, b in folders}
+    assert opened == homes
+    assert len({f.bucket for f in warehouse.table("fct_applications")._state().live}) > 10
+    monkeypatch.undo()
+    days = rows(warehouse.read("agg_time_to_hire_by_job_department").drop("_updated_at"))
+    full = late_warehouse(spark, "small-full")
+    full.raw = lambda s: raw(spark, s, [r for r in LATE[s] if r[0] < 2])
+    full.build(Run(D[1], NOW, full_refresh=True))
+    assert days == rows(full.read("agg_time_to_hire_by_job_department").drop("_updated_at"))
+
+
+READ = KeyedTable.read
+
+
+def test_changes_are_counted_once_whatever_dies(spark, monkeypatch):
+    warehouse = late_warehouse(spark, "dies", buckets=2)
+    warehouse.build(Run(D[0], NOW))
+    for day in D[1:]:
+        commit = KeyedTable._commit
+
+        def dies(self, state):
+            if self.path.endswith("hire_counts"):
+                raise RuntimeError("lost")
+            commit(self, state)
+
+        monkeypatch.setattr(KeyedTable, "_commit", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            warehouse.build(Run(day, NOW))
+        monkeypatch.setattr(KeyedTable, "_commit", commit)
+        warehouse.build(Run(day, NOW))
+        warehouse.build(Run(day, NOW), ["metric"])
+        facts = warehouse.read("fct_applications")
+        want = marts.hire_counts(facts.withColumn("_change", F.lit(1)))
+        assert rows(warehouse.hire_counts.read().filter("n > 0")) == rows(want)
+        assert rows(warehouse.read("agg_time_to_hire_by_job_department").drop("_updated_at")) == rows(
+            marts.agg_time_to_hire_by_job_department(facts, warehouse.read("dim_job"), NOW).drop(
+                "_updated_at"))
+
+
+def test_hire_counts_follow_rows_that_come_and_go(spark):
+    changes = spark.createDataFrame(
+        [("j1", True, 3, 1), ("j1", True, 3, 1), ("j1", True, 9, 1), ("j1", True, 9, -1),
+         (None, True, None, 1), ("j2", False, 5, 1), ("j2", True, 0, -1)],
+        "job_id string, is_hired boolean, time_to_hire_days long, _change int")
+    counts = marts.hire_counts(changes)
+    assert rows(counts.drop("hire_key")) == sorted(
+        [("j1", 3, 2), ("j1", 9, 0), (None, None, 1), ("j2", 0, -1)], key=repr)
+    assert rows(marts.hires_of_counts(counts)) == sorted(
+        [("j1", 2, 2, 6, 3, 3), (None, 1, 0, None, None, None)], key=repr)
+
+
 def test_layers(spark, at_once):
     assert at_once.build(Run(D[2], NOW), ["dim"]) == ["dim_job", "dim_candidate"]
     with pytest.raises(ValueError, match="unknown layers"):

@@ -2,7 +2,7 @@
 
 Both tokenizer kinds used here split a text into words before merging, so the ids of a text are
 the ids of its words one after the other. Words repeat far more often than texts; a worker keeps
-the ids of those it has seen (at most ``MEMO_WORDS``, then it starts anew).
+the ids of those it has seen (``MEMO_BYTES`` of them, then it starts anew).
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words whose ids a worker keeps.
-MEMO_WORDS = 1_200_000
+#: Bytes that a worker spends on words and their ids (an estimate).
+MEMO_BYTES = 64 << 20
 
 #: Longer words are encoded when they come and not kept.
 MEMO_CHARS = 48
@@ -41,6 +41,7 @@ class Memo:
         self.flat = np.empty(1 << 16, dtype=np.uint32)
         self.ends = np.zeros(1 << 14, dtype=np.int64)
         self.used = 0
+        self.spent = 0
 
     def add(self, words: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
         n, at = len(self.place), self.used
@@ -52,6 +53,8 @@ class Memo:
         self.ends[n + 1 : n + 1 + len(words)] = at + np.cumsum(lengths)
         self.used = at + flat.size
         self.place.update(zip(words, range(n, n + len(words))))
+        # of each word its text, its place in the table and its end
+        self.spent += sum(map(len, words)) + 200 * len(words) + flat.nbytes
 
     def lengths(self, places: np.ndarray) -> np.ndarray:
         return self.ends[places + 1] - self.ends[places]
@@ -118,7 +121,7 @@ class WordEncoder:
 
     def places(self, keys: list[str]) -> np.ndarray:
         """Places in the memo of all the keys, which are encoded if they are new."""
-        if len(self.memo.place) > MEMO_WORDS:
+        if self.memo.spent > MEMO_BYTES:
             self.memo = Memo()
         place = self.memo.place
         self._learn([k for k in keys if k not in place])
@@ -226,7 +229,8 @@ class SpacedWords(WordEncoder):
         good = np.fromiter(map(self.is_piece, keys), dtype=bool, count=len(keys))
         lengths = np.full(len(keys), -1, dtype=np.int64)
         short = [i for i, k in enumerate(keys) if good[i] and len(k) <= MEMO_CHARS]
-        lengths[short] = self.memo.lengths(self.places([keys[i] for i in short]))
+        at = self.places([keys[i] for i in short])  # may start a new memo
+        lengths[short] = self.memo.lengths(at)
         for i in np.flatnonzero(good & (lengths < 0)):
             lengths[i] = self.encode([self.spelled(keys[i])])[1][0]
         return lengths

@@ -43,6 +43,13 @@ def test_each_text(text):
     same([text])
 
 
+def test_small_memory_gives_the_same(monkeypatch):
+    monkeypatch.setattr("hireflow.llm.tokens.MEMO_BYTES", 1500)
+    for part in (TEXTS, TEXTS[::-1], TEXTS[5:20]):
+        same(part)
+        assert all(len(e.memo.place) < 2000 for e in (encoder(WordEnds, WORDS), encoder(SpacedWords, BYTES)))
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(st.sampled_from("aAbé.,'s \n\t\x00<|>5́ J"), max_size=14), min_size=1, max_size=4))
 def test_any_text(texts):

@@ -12,7 +12,9 @@ find the windows; no text is shuffled. The benchmark's prefixes are broadcast in
 size, so a large benchmark takes more passes, never a larger broadcast.
 
 * Null texts have no words, and a document or item without words is in no window.
-* Repeated documents are judged one by one; repeated items count once.
+* Repeated documents are judged one by one; repeated items count once. Items without an id are
+  looked for like others, so their words are hit, but they are not listed among the items.
+* Very long texts are read whole.
 * Extra columns are ignored. An empty benchmark leaves all documents clean.
 """
 
@@ -59,7 +61,7 @@ def windows(benchmark: DataFrame, item: str = "item_id", text: str = "text") ->
     words = F.col("words")
     items = benchmark.select(
         F.col(item).cast("string").alias("item_id"), benchmark_words(text).alias("words")
-    ).where((F.size(words) > 0) & F.col("item_id").isNotNull())
+    ).where(F.size(words) > 0)
     length = F.least(F.size(words), F.lit(WINDOW))
     start = F.explode(F.sequence(F.lit(1), F.size(words) - length + 1))
     cut = items.select("item_id", "words", length.alias("length"), start.alias("start")).select(

@@ -2,12 +2,12 @@
 
 Base patterns are reported wherever they match. Beyond them a text is searched for weak parts:
 identifiers (``user = bob``), long mixed-character keys, and endpoints (addresses of services).
-Alone they are ordinary text. Within a scope (lines up to a blank line) each weak part is joined
-to the intervals of the other parts, widened by ``REACH``: an identifier needs a secret, a key
-needs an identifier or an endpoint, and an endpoint needs both an identifier and a secret nearby.
-Base matches count as parts: access keys as identifiers, assignments and hexadecimal runs as
-secrets. A key in the query, fragment or user part of an address is a key like others, and the address
-is its endpoint; in the host or path it is part of the address.
+Alone they are ordinary text. Each weak part is joined to the intervals of the other parts in its
+scope (lines up to a blank line), however far apart: an identifier needs a secret, a key needs an
+identifier or an endpoint, and an endpoint needs both an identifier and a secret. Base matches count
+as parts: access keys as identifiers, assignments and hexadecimal runs as secrets. A key in the query,
+fragment or user part of an address is a key like others, but the address around it is not its
+complement; in the host or path it is part of the address.
 
 A scope lies inside a document, so everything happens where the document is read and nothing is
 shuffled. Intervals of one kind are sorted and do not overlap, so a part finds its neighbour by
@@ -15,7 +15,9 @@ bisection; no pairs are listed.
 
 * Null and empty texts have no spans; ``redacted`` leaves null as null.
 * Equal intervals of different kinds are all reported, in the order of ``KINDS``.
-* Repeated rows are scanned one by one; an empty table gives no rows.
+* Repeated rows are scanned one by one; an empty table gives no rows. Extra columns are ignored by
+  ``scanned``, whatever their names, and kept by ``redacted``.
+* A very long text is scanned whole by one task, in time that grows with its length.
 """
 
 from __future__ import annotations
@@ -34,9 +36,6 @@ from pyspark.sql import DataFrame, functions as F, types as T
 KINDS = ("assign", "access", "hex", "id", "key", "endpoint")
 BASE = KINDS[:3]
 
-#: Characters between parts of one credential, at most.
-REACH = 200
-
 #: Put in place of a secret.
 MASK = "[SECRET]"
 
@@ -100,15 +99,14 @@ def is_mixed(key: str) -> bool:
     )
 
 
-def near(parts: list[Span], span: Span, low: int, high: int) -> bool:
-    """Whether one of the sorted, disjoint parts overlaps the span widened within its scope."""
-    low, high = max(low, span.start - REACH), min(high, span.end + REACH)
-    i = bisect_left(parts, low, key=lambda p: p.end)
-    return i < len(parts) and parts[i].start <= high
+def within(parts: list[Span], low: int, high: int) -> int:
+    """How many of the sorted, disjoint parts lie in a scope."""
+    first = bisect_left(parts, low, key=lambda p: p.start)
+    return bisect_left(parts, high, key=lambda p: p.start) - first
 
 
 def linked_spans(text: str, base: list[Span]) -> list[Span]:
-    """Weak parts that have their complements near them."""
+    """Weak parts that have their complements in their scope."""
     secrets = disjoint([s for s in base if s.kind != 1])
     access = [s for s in base if s.kind == 1]
 
@@ -134,11 +132,13 @@ def linked_spans(text: str, base: list[Span]) -> list[Span]:
         i = bisect_left(breaks, span.start + 1)
         return breaks[i - 1], breaks[min(i, len(breaks) - 1)]
 
-    kept = [s for s in ids if near(all_secrets, s, *scope(s))]
-    kept += [s for s in keys if near(all_ids, s, *scope(s)) or near(points, s, *scope(s))]
+    kept = [s for s in ids if within(all_secrets, *scope(s))]
     kept += [
-        s for s in points if near(all_ids, s, *scope(s)) and near(all_secrets, s, *scope(s))
+        s
+        for s in keys
+        if within(all_ids, *scope(s)) or within(points, *scope(s)) > overlaps(points, s)
     ]
+    kept += [s for s in points if within(all_ids, *scope(s)) and within(all_secrets, *scope(s))]
     return kept
 
 

@@ -52,7 +52,7 @@ def test_stages(spark, sf, tmp_path):
 
 def test_nulls_repeats_and_empty(spark, sf):
     plain = " ".join(r.text for r in spark.read.parquet(f"{sf}/documents.parquet").where("lang = 'en'").limit(3).collect())
-    schema = "doc_id long, text string, lang string, source string, n_chars long, node int, kept string"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, node int, content_ string"
     rows = [(1, plain), (1, plain), (2, plain), (3, None), (4, ""), (None, plain + " and some more of it")]
     docs = spark.createDataFrame([(i, t, "en", None, None, 1, "x") for i, t in rows], schema)
     for name, stage in corpus_pipeline.STAGES[:-1]:
@@ -76,4 +76,4 @@ def test_one_of_each_group_with_repeated_and_null_ids(spark, sf):
 def test_entry_has_all_queries():
     names = entry.queries()
     assert names["pipeline"] is corpus_pipeline.run
-    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 14)}

@@ -1,7 +1,9 @@
 """Base spans against the patterns, linked parts by example."""
 
 import hashlib
+import random
 import re
+from collections import Counter
 
 from hireflow.llm import secret_links as op
 from hireflow.llm.queries import QUERIES
@@ -59,13 +61,64 @@ def test_weak_parts_need_their_complements():
     assert kinds("see https://example.org/x") == []
     assert kinds(f"user = bob\nkey {KEY}") == ["id", "key"]
     assert kinds(f"key {KEY} at https://example.org/x") == ["key"]
+    assert kinds(f"https://www.example.com/watch?v={KEY}") == []  # its own address is no complement
+    assert kinds(f"https://www.example.com/watch?v={KEY} https://example.org") == ["key"]
     assert kinds(f"user = bob {KEY} https://db.example.org") == ["id", "key", "endpoint"]
     assert kinds(f"user = bob\n\nkey {KEY}") == []  # another scope
-    assert kinds("user = bob" + " x" * op.REACH + KEY) == []  # out of reach
+    assert kinds("user = bob" + " x" * 5000 + f" {KEY}") == ["id", "key"]  # the scope is the only bound
     assert kinds(f"password = {'c' * 14} user: bob") == ["id"]
     assert kinds(f"AKIA{'Z' * 16} and {KEY}") == ["key"]
 
 
+def brute_links(text):
+    """Every weak part against every other part of its scope."""
+    base = op.base_spans(text)
+    taken = {i for s in base for i in range(s.start, s.end)}
+    mixed = lambda k: all(re.search(p, k) for p in ("[0-9]", "[a-z]", "[A-Z]"))
+    free = lambda a, b: not taken & set(range(a, b))
+    ids = [m.span() for m in op.IDENTIFIER.finditer(text) if free(*m.span())]
+    points = [m.span() for m in op.ENDPOINT.finditer(text) if free(*m.span())]
+    inside = {i for a, b in points + ids for i in range(a, b)}
+    keys = [m.span() for m in op.KEY.finditer(text)
+            if mixed(m.group()) and free(*m.span()) and not inside & set(range(*m.span()))]
+    of_ids = {i for a, b in ids for i in range(a, b)}
+    for a, b in points:
+        address = text[a:b]
+        parts = [re.search("://([^/?#]*)@", address), re.search("(?s)[?#](.*)", address)]
+        for part in parts:
+            for m in op.KEY.finditer(part.group(1)) if part else ():
+                x, y = a + part.start(1) + m.start(), a + part.start(1) + m.end()
+                if mixed(m.group()) and free(x, y) and not of_ids & set(range(x, y)):
+                    keys.append((x, y))
+    ends = [m.end() for m in op.BLANK_LINE.finditer(text)]
+    scope = lambda s: sum(e <= s[0] for e in ends)
+    secrets = [(s.start, s.end) for s in base if s.kind != 1] + keys
+    names = [(s.start, s.end) for s in base if s.kind == 1] + ids
+    out = [("id", *s) for s in ids if any(scope(t) == scope(s) for t in secrets)]
+    for s in keys:
+        others = names + [p for p in points if not (p[0] <= s[0] and s[1] <= p[1])]
+        if any(scope(t) == scope(s) for t in others):
+            out.append(("key", *s))
+    for s in points:
+        if any(scope(t) == scope(s) for t in names) and any(scope(t) == scope(s) for t in secrets):
+            out.append(("endpoint", *s))
+    return sorted(set(out))
+
+
+def test_links_against_all_pairs():
+    rng = random.Random(4)
+    pieces = ["user = bob", f"key {KEY}", KEY, "https://example.org/x", f"https://h/x?sig={KEY}", "plain words",
+              f"postgres://bob:{KEY}@db/x", f"password = {'c' * 14}", "AKIA" + "Z" * 16, "0123456789abcdef0",
+              "\n\n", "\n \t\n", "\n", "login: ann.lee", "host: db.example.org:5432", f"client_id={KEY}", "é"]
+    seen = Counter()
+    for _ in range(3000):
+        text = rng.choice(["", "\n\n"]) + " ".join(rng.choices(pieces, k=rng.randint(1, 9)))
+        got = sorted((op.KINDS[s.kind], s.start, s.end) for s in op.linked_spans(text, op.base_spans(text)))
+        assert got == brute_links(text), text
+        seen.update(k for k, *_ in got)
+    assert min(seen[k] for k in ("id", "key", "endpoint")) > 100
+
+
 def test_keys_in_endpoints_and_long_identifiers():
     sig = KEY + "Zz9" * 6
     assert kinds(f"client_id: acme https://host/x?sig={sig}&v=1") == ["id", "key", "endpoint"]

@@ -6,7 +6,7 @@ which are few and narrow, and leaves them out where the documents are read; the
 while they are small and joined by a shuffle beyond that.
 
 Documents are told apart by id and text, so repeated ids with different texts stay apart. Null
-texts have no words and go with the quality rules.
+texts have no words and go with the quality rules. Other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -71,8 +71,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         return kept
     once = bounded(repeated, KEY_BYTES)
     same = kept["doc_id"].eqNullSafe(once["gone_id"]) & (content() == once["gone_content"])
-    rows = kept.join(once, same, "left_semi").withColumn("content_", content())
-    rows = rows.dropDuplicates(["doc_id", "content_"]).select(*docs.columns)
+    rows = kept.join(once, same, "left_semi").select(
+        F.struct(*docs.columns).alias("row"), content().alias("content")
+    )
+    rows = rows.groupBy("row.doc_id", "content").agg(F.first("row").alias("row")).select("row.*")
     return leave_out(kept, repeated).unionByName(rows)
 
 

@@ -70,13 +70,15 @@ class Ledger:
         batches = self._succeeded().filter(F.col("source_name") == source)
         return batches.select(F.col("started_at").alias("_ingestion_ts"))
 
-    def start(self, spec: SourceSpec, batch_id: str, checksum: str, now: datetime) -> dict:
+    def start(
+        self, spec: SourceSpec, batch_id: str, checksum: str, now: datetime, origin: str | None = None
+    ) -> dict:
         recorded = time.time_ns()
         row = {
             "batch_id": batch_id,
             "source_name": spec.name,
             "source_system": spec.system,
-            "file_name": spec.file_name,
+            "file_name": origin or spec.file_name,
             "file_checksum": checksum,
             "load_strategy": spec.strategy,
             "status": STARTED,

@@ -15,9 +15,10 @@ from hireflow.session import scratch_path
 from hireflow.sources import checksums, readers
 from hireflow.sources.ingest import RawStore, load_all_sources
 from hireflow.sources.layout import compact_partitions, write_events
-from hireflow.sources.quarantine import event_rules, tag_malformed, tag_rejects
+from hireflow.operators.keyed_table import KeyedTable
+from hireflow.sources.quarantine import event_rules, load_rules, tag_malformed, tag_rejects
 from hireflow.sources.schemas import EVENTS_FILE, SOURCES
-from hireflow.streaming.events import loaded_events, start_event_ingestion
+from hireflow.streaming.events import start_event_ingestion, start_status_updates
 from hireflow.verification import canonical as c
 from hireflow.verification.registry import query
 
@@ -561,13 +562,113 @@ def _(spark, sf):
            application_id, old_status, new_status, event_timestamp
     FROM event_files""")
 def _(spark, sf):
+    store, files = streamed(spark, sf)
+    return store.read("workflow_events").select(
+        "_event_id", "application_id", "old_status", "new_status", "event_timestamp"
+    )
+
+
+def streamed(spark: SparkSession, sf_dir: str) -> tuple[RawStore, str]:
+    """A store that all event files were streamed into, in several micro-batches, and the files."""
     root = scratch_path(spark, "stream")
+    files = readers.source_path(
+        SOURCES["workflow_events"].file_name, c.source_files(spark, sf_dir)
+    )
+    store = RawStore(spark, f"{root}/raw", load_rules())
+    start_event_ingestion(store, files, f"{root}/state", files_per_trigger=1).awaitTermination()
+    return store, files
+
+
+@query("l02_newest_status", """
+    SELECT application_id, new_status AS current_status,
+           CAST(event_timestamp AS VARCHAR) AS last_event_at
+    FROM stg_events
+    QUALIFY row_number() OVER (PARTITION BY application_id
+                               ORDER BY event_timestamp DESC, event_id DESC) = 1""")
+def _(spark, sf):
+    """Kept as the stream's state, and written to a table as it changes."""
+    root = scratch_path(spark, "statuses")
     files = readers.source_path(
         SOURCES["workflow_events"].file_name, c.source_files(spark, sf)
     )
-    start_event_ingestion(spark, files, f"{root}/out", f"{root}/state").awaitTermination()
-    return loaded_events(spark, f"{root}/out").select(
-        "_event_id", "application_id", "old_status", "new_status", "event_timestamp"
+    table = KeyedTable(spark, f"{root}/table", ["application_id"], buckets=4)
+    start_status_updates(table, files, f"{root}/state", files_per_trigger=1).awaitTermination()
+    return table.read().select("application_id", "current_status", "last_event_at")
+
+
+_BROKEN_SQL = """
+    SELECT CAST(l_orderkey AS VARCHAR) AS application_id, l_linenumber % 5 AS kind,
+           names[l_linenumber] AS new_status,
+           strftime(l_shipdate, '%Y-%m-%d') AS event_timestamp
+    FROM steps"""
+
+
+def broken_events(spark: SparkSession, sf_dir: str) -> RawStore:
+    """Events of which some lack their application, their status, a readable time or their last brace."""
+    root = scratch_path(spark, "broken-events")
+    kind = F.col("l_linenumber") % 5
+    names = F.array(*[F.lit(s) for s in c.STATUSES])
+    event = c.table(spark, sf_dir, "lineitem").select(
+        F.when(kind != 1, F.col("l_orderkey").cast("string")).alias("application_id"),
+        F.lit(None).cast("string").alias("old_status"),
+        F.when(kind == 2, "  ").otherwise(F.get(names, F.col("l_linenumber") - 1)).alias("new_status"),
+        F.when(kind.isin(2, 3), "soon").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias(
+            "event_timestamp"),
+        kind.alias("kind"),
+    )
+    line = F.to_json(F.struct("application_id", "old_status", "new_status", "event_timestamp"))
+    cut = F.when(F.col("kind") == 4, F.regexp_replace(line, r"\}$", "")).otherwise(line)
+    event.select(cut.alias("value")).write.text(f"{root}/events.jsonl")
+    store = RawStore(spark, f"{root}/raw", load_rules())
+    store.load(SOURCES["workflow_events"], f"{root}/events.jsonl", FIRST)
+    return store
+
+
+@query("l01_quarantine_by_rules", f"""
+    SELECT CASE kind WHEN 0 THEN '' WHEN 1 THEN 'application_id missing'
+                WHEN 2 THEN 'new_status missing|event_timestamp unreadable'
+                WHEN 3 THEN 'event_timestamp unreadable' ELSE 'line unreadable' END AS reasons,
+           count(*) AS n, count(DISTINCT application_id) FILTER (kind IN (0, 2, 3)) AS applications
+    FROM ({_BROKEN_SQL}) GROUP BY ALL""")
+def _(spark, sf):
+    """What a load keeps, and what it keeps aside for which reasons."""
+    store = broken_events(spark, sf)
+    none = F.array().cast("array<string>").alias("_reject_reasons")
+    sides = store.read("workflow_events").select(none, "application_id").unionByName(
+        store.quarantined("workflow_events").select("_reject_reasons", "application_id")
+    )
+    return sides.groupBy(F.col("_reject_reasons").alias("reasons")).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("application_id").alias("applications")
+    )
+
+
+@query("l01_released_rows", f"""
+    SELECT CASE WHEN kind IN (0, 3) THEN 'loaded' ELSE 'aside' END AS side, application_id,
+           CASE WHEN kind <> 2 THEN new_status END AS new_status,
+           CASE kind WHEN 3 THEN '2024-03-01' WHEN 2 THEN 'soon' ELSE event_timestamp END
+               AS event_timestamp,
+           CAST(CASE WHEN kind = 3 THEN DATE '2024-02-02' ELSE DATE '2024-02-01' END AS VARCHAR)
+               AS _ingestion_date
+    FROM (SELECT * REPLACE (CASE WHEN kind <> 1 THEN application_id END AS application_id)
+          FROM ({_BROKEN_SQL}) WHERE kind <> 4)""")
+def _(spark, sf):
+    """Unreadable times are corrected and released twice, rows without a status stay aside."""
+    store = broken_events(spark, sf)
+    columns = EVENTS_FILE.names
+    aside = store.quarantined("workflow_events").where("_corrupt_record is null")
+    corrected = aside.where("size(_reject_reasons) = 1 and application_id is not null").select(
+        "quarantine_id", *columns[:-1], F.lit("2024-03-01").alias("event_timestamp")
+    )
+    fixed = written_row(corrected, scratch_path(spark, "corrected"))
+    for now in (SECOND, SECOND + timedelta(days=1)):
+        store.release("workflow_events", fixed, now)
+    seen = ["application_id", "new_status", "event_timestamp", "_ingestion_date"]
+    left = store.quarantined("workflow_events").where("_corrupt_record is null")
+    return store.read("workflow_events").select(F.lit("loaded").alias("side"), *seen).unionByName(
+        left.select(
+            F.lit("aside").alias("side"), "application_id",
+            F.nullif(F.trim("new_status"), F.lit("")).alias("new_status"), *seen[2:],
+        )
     )
 
 

@@ -5,14 +5,15 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from hireflow.operators.keyed_table import KeyedTable
 from hireflow.operators.profile import source_inventory
 from hireflow.session import scratch_path
 from hireflow.sources import checksums, ingest, readers
 from hireflow.sources.ingest import RawStore, load_all_sources
 from hireflow.sources.layout import compact_partitions, write_events
-from hireflow.sources.quarantine import event_rules, tag_rejects, write_split
+from hireflow.sources.quarantine import event_rules, load_rules, tag_rejects, write_split
 from hireflow.sources.schemas import EVENTS_FILE, JOBS_FILE, RAW, SOURCES
-from hireflow.streaming.events import loaded_events, quarantined_lines, start_event_ingestion
+from hireflow.streaming.events import start_event_ingestion, start_status_updates
 from tests.conftest import rows
 
 DAY1, DAY2 = datetime(2024, 1, 1, 6), datetime(2024, 1, 2, 6)
@@ -308,23 +309,137 @@ def test_rejects_name_every_broken_rule(spark):
     assert spark.read.parquet(path).filter("_quarantined = 'true'").count() == 2
 
 
-def test_stream_loads_each_event_once(spark, tmp_path):
-    arrivals, out = tmp_path / "in", str(tmp_path / "out")
+def stream_into(store, path, state, **kw):
+    start_event_ingestion(store, str(path), str(state), **kw).awaitTermination()
+
+
+def test_stream_loads_each_event_once(store, tmp_path):
+    arrivals, state = tmp_path / "in", tmp_path / "state"
     arrivals.mkdir()
     lines = [json.dumps(e) for e in EVENTS]
     (arrivals / "1.jsonl").write_text("\n".join([*lines, lines[0], "{broken"]) + "\n")
-    state = str(tmp_path / "state")
-    start_event_ingestion(spark, str(arrivals), out, state).awaitTermination()
-    assert loaded_events(spark, out).schema == RAW["workflow_events"]
-    assert loaded_events(spark, out).count() == 2
+    stream_into(store, arrivals, state)
+    assert store.read("workflow_events").schema == RAW["workflow_events"]
+    assert store.read("workflow_events").count() == 2
     old = {"application_id": "a0", "old_status": None, "new_status": "Applied",
            "event_timestamp": "1999-01-01"}
     (arrivals / "2.jsonl").write_text("\n".join([lines[1], json.dumps(old)]) + "\n")
-    start_event_ingestion(spark, str(arrivals), out, state).awaitTermination()
-    got = loaded_events(spark, out)
+    stream_into(store, arrivals, state)
+    got = store.read("workflow_events")
     assert rows(got.select("application_id", "event_timestamp")) == [
         ("a0", "1999-01-01"), ("a1", "2024-01-05"), ("a1", "2024-01-09T00:00:00")]
-    assert rows(quarantined_lines(spark, out).select("_corrupt_record")) == [("{broken",)]
+    assert rows(store.quarantined("workflow_events").select("_corrupt_record", "_reject_reasons")) == [
+        ("{broken", ["line unreadable"])]
+    batches = store.ledger.batches().filter("rows_loaded > 0")
+    assert {r.status for r in batches.collect()} == {"SUCCEEDED"} and batches.count() == 2
+
+
+@pytest.mark.parametrize("dies", ["after", "before"])
+def test_a_micro_batch_that_runs_again_loads_its_events_once(store, tmp_path, monkeypatch, dies):
+    """The stream dies after a batch counts, or while its rows are being written."""
+    arrivals, state, load = tmp_path / "in", tmp_path / "state", RawStore.load_rows
+    arrivals.mkdir()
+    for i in range(3):
+        events = [dict(EVENTS[0], application_id=f"a{i}{k}") for k in range(4)]
+        (arrivals / f"{i}.jsonl").write_text("\n".join(map(json.dumps, events)) + "\n")
+    seen = []
+
+    def fails_once(self, spec, scanned, origin, checksum, **kw):
+        seen.append(checksum)
+        if checksum == "1" and seen.count("1") == 1:
+            if dies == "before":
+                monkeypatch.setattr(RawStore, "_write", lambda *a: 1 / 0)
+            load(self, spec, scanned, origin, checksum, **kw)
+            raise RuntimeError("lost")
+        return load(self, spec, scanned, origin, checksum, **kw)
+
+    write = RawStore._write
+    monkeypatch.setattr(RawStore, "load_rows", fails_once)
+    with pytest.raises(Exception):
+        stream_into(store, arrivals, state, files_per_trigger=1)
+    monkeypatch.setattr(RawStore, "_write", write)
+    stream_into(store, arrivals, state, files_per_trigger=1)
+    assert seen.count("1") == 2
+    found = [r[0] for r in store.read("workflow_events").select("application_id").collect()]
+    assert sorted(found) == sorted(f"a{i}{k}" for i in range(3) for k in range(4))
+    # a stream that starts anew numbers its batches again, but is another stream
+    stream_into(store, arrivals, tmp_path / "other", files_per_trigger=1)
+    assert store.read("workflow_events").count() == 24
+    assert store.read("workflow_events").select("_event_id").distinct().count() == 12
+
+
+def test_newest_status_follows_the_stream(spark, tmp_path, monkeypatch):
+    arrivals, state = tmp_path / "in", str(tmp_path / "state")
+    arrivals.mkdir()
+    table = KeyedTable(spark, scratch_path(spark, "statuses"), ["application_id"], buckets=2)
+
+    def arrive(name, *events):
+        lines = [json.dumps({"application_id": a, "old_status": None, "new_status": s, "event_timestamp": t})
+                 for a, s, t in events]
+        (arrivals / f"{name}.jsonl").write_text("\n".join(lines) + "\n")
+        start_status_updates(table, str(arrivals), state).awaitTermination()
+        return {r.application_id: r.current_status for r in table.read().collect()}
+
+    assert arrive("1", ("a", "Applied", "2024-01-01"), ("b", " offer ", "soon")) == {"a": "APPLIED", "b": "OFFER"}
+    assert arrive("2", ("a", "Late", "2023-01-01"), ("c", "Hired", "2024-01-03")) == {
+        "a": "APPLIED", "b": "OFFER", "c": "HIRED"}
+    version = table.version()
+    upsert = KeyedTable.upsert
+
+    def dies(self, *args, **kw):
+        upsert(self, *args, **kw)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(KeyedTable, "upsert", dies)
+    with pytest.raises(Exception):
+        arrive("3", ("b", "Hired", "2024-02-01"))
+    monkeypatch.setattr(KeyedTable, "upsert", lambda *a, **kw: pytest.fail("applied twice"))
+    start_status_updates(table, str(arrivals), state).awaitTermination()
+    assert table.version() == version + 1
+    assert {r.application_id: r.current_status for r in table.read().collect()} == {
+        "a": "APPLIED", "b": "HIRED", "c": "HIRED"}
+
+
+def test_rules_keep_rows_aside_and_release_them_once(spark, drop):
+    store = RawStore(spark, scratch_path(spark, "raw"), load_rules())
+    path = drop / "workflow_events.jsonl"
+    bad = [{"application_id": " ", "new_status": "Hired", "event_timestamp": "2024-01-01"},
+           {"application_id": "a9", "new_status": None, "event_timestamp": "never"},
+           {"application_id": "a8", "new_status": "Offer", "event_timestamp": "never"}]
+    path.write_text("\n".join([*map(json.dumps, [*EVENTS, *bad]), "{broken"]) + "\n")
+    done = store.load(SOURCES["workflow_events"], str(path), DAY1)
+    assert (done["rows"], done["rejected"]) == (2, 4)
+    aside = store.quarantined("workflow_events")
+    assert rows(aside.select("_reject_reasons")) == sorted([
+        (["application_id missing"],), (["new_status missing", "event_timestamp unreadable"],),
+        (["event_timestamp unreadable"],), (["line unreadable"],)], key=repr)
+    fixed = aside.filter("application_id in ('a8', 'a9')").withColumns(
+        {"event_timestamp": F.lit("2024-01-03"), "old_status": F.lit(None).cast("string")})
+    for _ in range(2):
+        done = store.release("workflow_events", fixed, DAY2)
+    assert done["outcome"] == "skipped"
+    assert rows(store.read("workflow_events").select("application_id", "_ingestion_date")) == [
+        ("a1", DAY1.date()), ("a1", DAY1.date()), ("a8", DAY2.date())]
+    # a9 still lacks its status: it left the old batch and is aside in the new one
+    left = rows(store.quarantined("workflow_events").select("application_id", "_ingestion_date"))
+    assert left == sorted([(" ", DAY1.date()), ("a9", DAY2.date()), (None, DAY1.date())], key=repr)
+
+
+def test_a_release_that_dies_leaves_quarantine_as_it_was(spark, drop):
+    store = RawStore(spark, scratch_path(spark, "raw"), load_rules())
+    (drop / "education.csv").write_text("candidate_id,degree,institution,year\n,BS,MIT,2010\n")
+    store.load(SOURCES["education"], str(drop / "education.csv"), DAY1)
+    aside = store.quarantined("education")
+    fixed = spark.createDataFrame(
+        [(aside.first()["quarantine_id"], "c1", "BS", "MIT", 2010)],
+        "quarantine_id string, candidate_id string, degree string, institution string, year int")
+    store.ledger.succeed, succeed = (lambda *a: 1 / 0), store.ledger.succeed
+    with pytest.raises(ZeroDivisionError):
+        store.release("education", fixed, DAY2)
+    assert store.quarantined("education").count() == 1 and store.read("education").count() == 0
+    store.ledger.succeed = succeed
+    assert store.release("education", fixed, DAY2)["rows"] == 1
+    assert store.quarantined("education").count() == 0 and store.read("education").count() == 1
 
 
 def test_layout_and_compaction_keep_all_rows(spark, tmp_path):

@@ -30,6 +30,7 @@ _LISTED = T.StructType(
         T.StructField("bucket", T.IntegerType()),
         T.StructField("low", T.StringType()),
         T.StructField("high", T.StringType()),
+        T.StructField("rows", T.LongType()),
         T.StructField("text", T.StringType()),  # of the whole: schema, note, and if all was replaced
     ]
 )
@@ -55,6 +56,7 @@ class Folder:
     bucket: int
     low: str | None = None
     high: str | None = None
+    rows: int = 0
 
     @property
     def path(self) -> str:
@@ -80,6 +82,7 @@ class State:
     note: dict = field(default_factory=dict)
     after: list[Folder] = field(default_factory=list)
     before: list[Folder] = field(default_factory=list)
+    arrived: int = 0  # rows of the batch
 
 
 class KeyedTable:
@@ -121,10 +124,11 @@ class KeyedTable:
             if r.kind == _WHOLE:
                 about = json.loads(r.text)
             else:
-                folders[r.kind].append(Folder(r.step, r.version, r.part, r.bucket, r.low, r.high))
+                place = (r.step, r.version, r.part, r.bucket)
+                folders[r.kind].append(Folder(*place, r.low, r.high, r.rows))
         return State(
             version, T.StructType.fromJson(about["schema"]), folders[_LIVE], about["replaced"],
-            about["note"], folders[_AFTER], folders[_BEFORE],
+            about["note"], folders[_AFTER], folders[_BEFORE], about["arrived"],
         )
 
     def refresh(self) -> None:
@@ -143,6 +147,20 @@ class KeyedTable:
         state = self._state()
         return {} if state is None else dict(state.note)
 
+    def counts(self, since: int = 0) -> dict[str, int]:
+        """Rows the table has, and that arrived, came and went in versions after ``since``.
+
+        From the lists alone; no data is read. A version that replaced everything counts what it wrote.
+        """
+        now = self._known()
+        later = [self._listed(v) if v != now.version else now for v in self._versions() if v > since]
+        return {
+            "rows_total": _rows(now.live),
+            "rows_arrived": sum(s.arrived for s in later),
+            "rows_written": sum(_rows(s.live if s.replaced else s.after) for s in later),
+            "rows_replaced": sum(_rows(s.before) for s in later),
+        }
+
     def _known(self) -> State:
         state = self._state()
         if state is None:
@@ -223,9 +241,9 @@ class KeyedTable:
         A row for each bucket, two after a rewrite.
         """
         key = F.col(self.bucket_by[0]).cast("string")
-        ends = [F.min(key).alias("low"), F.max(key).alias("high")]
-        found = rows.groupBy("_part", "_bucket").agg(*ends, *more).collect()
-        return [(Folder(step, version, r._part, r._bucket, r.low, r.high), r) for r in found]
+        each = [F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n")]
+        found = rows.groupBy("_part", "_bucket").agg(*each, *more).collect()
+        return [(Folder(step, version, r._part, r._bucket, r.low, r.high, r.n), r) for r in found]
 
     def _write(self, df: DataFrame, version: int, step: str, *more: Column) -> list[tuple]:
         """Write rows by ``_part`` and ``_bucket``; returns the folders that got rows, and aggregates."""
@@ -241,7 +259,8 @@ class KeyedTable:
 
     def _commit(self, state: State) -> None:
         """One task writes one file, which appears as a whole."""
-        whole = {"schema": state.schema.jsonValue(), "replaced": state.replaced, "note": state.note}
+        whole = {"schema": state.schema.jsonValue(), "replaced": state.replaced, "note": state.note,
+                 "arrived": state.arrived}
         rows = [{"kind": _WHOLE, "text": json.dumps(whole)}] + [
             asdict(folder) | {"kind": kind}
             for kind, folders in ((_LIVE, state.live), (_AFTER, state.after), (_BEFORE, state.before))
@@ -258,7 +277,9 @@ class KeyedTable:
         version = self.version() + 1
         rows = df.withColumns({"_part": F.lit(_NEW), "_bucket": self._bucket()})
         live = [folder for folder, _ in self._write(rows, version, _NEW)]
-        self._commit(State(version, _nullable(df.schema), live, True, self.note() if note is None else note))
+        note = self.note() if note is None else note
+        state = State(version, _nullable(df.schema), live, True, note, arrived=_rows(live))
+        self._commit(state)
 
     def upsert(
         self,
@@ -318,7 +339,7 @@ class KeyedTable:
         gone = set(rewritten)
         live = [f for f in state.live if f not in gone] + gained + [f for f in left if f.part == _KEPT]
         was = [f for f in left if f.part == _WAS]
-        self._commit(State(version, schema, live, False, note, gained, was))
+        self._commit(State(version, schema, live, False, note, gained, was, _rows(arrived)))
 
     def compact(self, max_folders: int = 1) -> int:
         """Rewrite buckets spread over more than ``max_folders`` folders; returns how many."""
@@ -339,6 +360,10 @@ class KeyedTable:
         return len(joined)
 
 
+def _rows(folders: list[Folder]) -> int:
+    return sum(f.rows for f in folders)
+
+
 def _near(folders: list[Folder], ranges: list[Folder]) -> list[Folder]:
     """Folders whose range of keys meets one in the same bucket."""
     by_bucket: dict[int, list[Folder]] = {}

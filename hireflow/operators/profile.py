@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from hireflow.functions.dates import date_class, parse_mixed_date
 from hireflow.operators.impacted import orphans
@@ -82,6 +82,72 @@ def column_profile_approx(df: DataFrame, file: str, rsd: float = 0.02) -> DataFr
     return _describe(figures.select(F.inline(rows)), df, file)
 
 
+#: Sizes of the sketches: 2^14 registers give a standard error of 0.8 % of the distinct count, and a
+#: quantile is off by at most about 0.7 % of the rows.
+HLL_LG, KLL_K = 14, 400
+
+
+class ColumnSketches:
+    """Sketches of a table's columns, one small row for each column and batch.
+
+    A batch is read once, when it arrives; the profile of any set of batches merges their rows. A batch
+    that is added again replaces its rows.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def add(self, df: DataFrame, batch: str) -> None:
+        """Sketch all columns of a batch in one scan; nothing but sketches is shuffled."""
+        fields = df.schema.fields
+        aggregates = []
+        for i, f in enumerate(fields):
+            number = (F.col(f.name) if isinstance(f.dataType, T.NumericType) else F.lit(None)).cast("double")
+            aggregates += [
+                F.count_if(F.col(f.name).isNull()).alias(f"n{i}"),
+                F.hll_sketch_agg(_as_text(f), HLL_LG).alias(f"d{i}"),
+                F.kll_sketch_agg_double(number, KLL_K).alias(f"q{i}"),
+            ]
+        rows = F.array(
+            *[
+                F.struct(
+                    F.lit(f.name).alias("column"),
+                    F.lit(f.dataType.simpleString()).alias("dtype"),
+                    F.col("n").alias("rows"),
+                    F.col(f"n{i}").alias("null_count"),
+                    F.col(f"d{i}").alias("distinct"),
+                    F.col(f"q{i}").alias("quantiles"),
+                )
+                for i, f in enumerate(fields)
+            ]
+        )
+        figures = df.agg(F.count(F.lit(1)).alias("n"), *aggregates).select(F.inline(rows))
+        figures.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+
+    def profile(self, file: str, batches: list[str] | None = None) -> DataFrame:
+        """(file, column, dtype, rows, null_count, distinct_count, median) of some batches, or of all.
+
+        NULL is one distinct value; ``median`` is null for columns that are no numbers.
+        """
+        stored = self.spark.read.parquet(self.path)
+        if batches is not None:
+            stored = stored.filter(F.col("batch").cast("string").isin(batches))
+        merged = stored.groupBy("column", "dtype").agg(
+            F.sum("rows").alias("rows"),
+            F.sum("null_count").alias("null_count"),
+            F.hll_union_agg("distinct").alias("distinct"),
+            F.kll_merge_agg_double("quantiles").alias("quantiles"),
+        )
+        some = F.kll_sketch_get_n_double("quantiles") > 0
+        return merged.select(
+            F.lit(file).alias("file"), "column", "dtype", "rows", "null_count",
+            (F.hll_sketch_estimate("distinct") + (F.col("null_count") > 0).cast("bigint")).alias(
+                "distinct_count"
+            ),
+            F.when(some, F.kll_sketch_get_quantile_double("quantiles", F.lit(0.5))).alias("median"),
+        )
+
+
 def _describe(counted: DataFrame, df: DataFrame, file: str) -> DataFrame:
     fields = df.schema.fields
     names = F.array(*[F.lit(f.name) for f in fields])

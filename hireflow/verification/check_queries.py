@@ -8,14 +8,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hireflow.operators import profile, quality as q
-from hireflow.operators.history import scd2
+from hireflow.operators.history import StoredHistory, scd2
 from hireflow.operators.keyed_table import KeyedTable
 from hireflow.operators.skew import hot_keys
 from hireflow.operators.impacted import ingested_on
 from hireflow.plans import marts, metrics, sharing, staging
-from hireflow.plans.build import Run, Warehouse
+from hireflow.plans.build import MODELS, Run, Warehouse
 from hireflow.plans.run import run_all
-from hireflow.plans.suite import checks, summarize
+from hireflow.plans.suite import checks, store_failures, summarize
 from hireflow.session import ensure_checkpoint_dir, scratch_path
 from hireflow.sources.schemas import SOURCES
 from hireflow.verification import canonical as c
@@ -23,7 +23,7 @@ from hireflow.verification.model_queries import (
     ENRICHED_COLUMNS, ENRICHED_SQL, FACTS_COLUMNS, FACTS_SQL, TIME_TO_HIRE_SQL,
     rounded_time_to_hire,
 )
-from hireflow.verification.registry import query
+from hireflow.verification.registry import query, written_row
 
 # -- quality -------------------------------------------------------------------------------------
 
@@ -175,6 +175,52 @@ def _(spark, sf):
     )
 
 
+# Checks that the given tables break on purpose; all others find nothing.
+_FAILING_SQL = """
+    SELECT 'stg_candidates' AS model, 'email_format' AS check_name, count(*) AS failures
+    FROM stg_candidates WHERE email LIKE '%@invalid'
+    UNION ALL SELECT 'stg_candidates', 'not_null_skills_normalized', count(*) FROM supplier
+    UNION ALL SELECT 'stg_educations', 'accepted_values_degree', count(*) FROM stg_educations
+              WHERE degree = 'DIPLOMA'
+    UNION ALL SELECT 'stg_workflow_events', 'hired_before_applied', count(*) FROM int_events
+              WHERE is_anomaly"""
+
+
+def _all_checks_sql() -> str:
+    names = ", ".join(f"('{k.model}', '{k.name}', '{k.severity}')" for k in checks())
+    return f"""
+    SELECT n.model, n.check_name, n.severity, coalesce(f.failures, 0) AS failures,
+           CASE WHEN coalesce(f.failures, 0) = 0 THEN 'pass' WHEN n.severity = 'warn' THEN 'warn'
+                ELSE 'fail' END AS status
+    FROM (VALUES {names}) n(model, check_name, severity)
+    LEFT JOIN ({_FAILING_SQL}) f ON f.model = n.model AND f.check_name = n.check_name"""
+
+
+@query("q10_suite_of_all_models", _all_checks_sql())
+def _(spark, sf):
+    """Every declared check over the twelve datasets of a build day by day, passing ones too."""
+    warehouse = three_days(spark, sf)
+    return summarize({name: warehouse.read(name) for name in MODELS})
+
+
+@query("q10_stored_failures", f"""
+    SELECT model, check_name, failures AS rows FROM ({_FAILING_SQL}) WHERE failures > 0""")
+def _(spark, sf):
+    """The failing rows of each check that has any, as they were stored."""
+    warehouse = three_days(spark, sf)
+    tables = {name: warehouse.read(name) for name in MODELS}
+    root = scratch_path(spark, "stored-failures")
+    folders = store_failures(tables, summarize(tables), root)
+    stored = [
+        spark.read.parquet(folder).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(folder.split("/")[-2]).alias("model"), F.lit(folder.split("/")[-1]).alias("check_name"),
+            "rows",
+        )
+        for folder in folders
+    ]
+    return reduce(DataFrame.unionByName, stored)
+
+
 # -- profiles ------------------------------------------------------------------------------------
 
 
@@ -216,10 +262,68 @@ def _(spark, sf):
     )
 
 
-@query("p02_column_profile_approx")
+def _close_sql(table: str, file: str, columns: dict[str, str]) -> str:
+    return f"SELECT file, \"column\", dtype, null_count, distinct_count, TRUE AS close FROM ({_profile_sql(table, file, columns)})"
+
+
+def _beside_exact(estimated: DataFrame, exact: DataFrame, bound: float) -> DataFrame:
+    """Exact figures, and whether the estimate of the distinct count is within a share of it."""
+    guess = estimated.select("column", F.col("distinct_count").alias("guess"), F.col("null_count").alias("nulls"))
+    near = F.abs(F.col("guess") - F.col("distinct_count")) <= bound * F.col("distinct_count")
+    return exact.join(guess, "column").select(
+        "file", "column", "dtype", "null_count", "distinct_count",
+        (near & (F.col("nulls") == F.col("null_count"))).alias("close"),
+    )
+
+
+_DOCUMENTS = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}
+
+
+@query("p02_column_profile_approx", _close_sql("documents", "documents", _DOCUMENTS))
+def _(spark, sf):
+    """Estimates within five standard errors (2 % each) of the exact counts."""
+    docs = c.table(spark, sf, "documents")
+    return _beside_exact(
+        profile.column_profile_approx(docs, "documents"), profile.column_profile(docs, "documents"), 0.1
+    )
+
+
+_LINES = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
+          "l_quantity": "double", "l_returnflag": "string", "l_shipdate": "timestamp_ntz"}
+
+
+def line_sketches(spark: SparkSession, sf_dir: str) -> tuple[profile.ColumnSketches, DataFrame]:
+    """Sketches of the line items, added by return flag, one of them twice."""
+    lines = c.table(spark, sf_dir, "lineitem").select(*_LINES)
+    sketches = profile.ColumnSketches(spark, scratch_path(spark, "sketches"))
+    for flag in ("A", "N", "R", "N"):
+        sketches.add(lines.filter(F.col("l_returnflag") == flag), flag)
+    return sketches, lines
+
+
+@query("p02_sketches_merged", _close_sql("lineitem", "lines", _LINES))
+def _(spark, sf):
+    """Merged over batches and within five standard errors (0.8 % each) of the exact counts."""
+    sketches, lines = line_sketches(spark, sf)
+    return _beside_exact(sketches.profile("lines"), profile.column_profile(lines, "lines"), 0.04)
+
+
+@query("p02_sketched_medians", """
+    SELECT name AS "column", n AS rows, TRUE AS close
+    FROM (SELECT count(*) AS n FROM lineitem),
+         (VALUES ('l_orderkey'), ('l_partkey'), ('l_suppkey'), ('l_linenumber'), ('l_quantity')) v(name)""")
 def _(spark, sf):
-    """Estimates, so there is no exact SQL for them."""
-    return profile.column_profile_approx(c.table(spark, sf, "documents"), "documents")
+    """Medians out of merged sketches, whose place among all rows is within 2 % of the middle."""
+    sketches, lines = line_sketches(spark, sf)
+    medians = written_row(sketches.profile("lines").where("median is not null"), scratch_path(spark, "medians"))
+    numbers = [name for name, kind in _LINES.items() if kind in ("int", "bigint", "double")]
+    values = lines.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("column"), F.col(name).cast("double").alias("value")) for name in numbers
+    ])))
+    below, upto = F.count_if(F.col("value") < F.col("median")), F.count_if(F.col("value") <= F.col("median"))
+    return values.join(F.broadcast(medians), "column").groupBy("column", "rows").agg(
+        ((below <= 0.52 * F.first("rows")) & (upto >= 0.48 * F.first("rows"))).alias("close")
+    )
 
 
 @query("p03_full_duplicate_rows", """
@@ -524,6 +628,12 @@ def _(spark, sf):
     return rounded_time_to_hire(warehouse.read("agg_time_to_hire_by_job_department"))
 
 
+@query("e01_run_all_checks", _all_checks_sql())
+def _(spark, sf):
+    """Passing checks of the run from files as well."""
+    return file_run(spark, sf)["results"].filter("check_name <> 'row_count_between'")
+
+
 @query("e01_run_failed_checks", """
     SELECT 'stg_candidates' AS model, 'email_format' AS check_name, 'error' AS severity,
            count(*) AS failures FROM stg_candidates WHERE email LIKE '%@invalid' HAVING count(*) > 0
@@ -646,6 +756,66 @@ def _(spark, sf):
     return union.withColumn("value", F.round(F.col("value").cast("double"), 9))
 
 
+@query("l07_run_figures", """
+    SELECT metric, subject, value FROM (
+        SELECT 'stg_jobs' AS subject, count(*) AS n FROM part
+        UNION ALL SELECT 'stg_candidates', count(*) FROM people
+        UNION ALL SELECT 'stg_educations', count(*) FROM customer
+        UNION ALL SELECT 'stg_applications', count(*) FROM orders
+        UNION ALL SELECT 'stg_workflow_events', count(*) FROM stg_events
+        UNION ALL SELECT 'int_workflow_events_enriched', count(*) FROM stg_events
+        UNION ALL SELECT 'dim_job', count(*) FROM part
+        UNION ALL SELECT 'dim_candidate', count(*) FROM people
+        UNION ALL SELECT 'fct_applications', count(*) FROM orders
+        UNION ALL SELECT 'fct_workflow_events', count(*) FROM stg_events
+        UNION ALL SELECT 'agg_time_to_hire_by_job_department', count(*) FROM tth
+        UNION ALL SELECT 'dq_hired_before_applied_anomalies', count(*) FROM int_events WHERE is_anomaly),
+        (VALUES ('rows_total'), ('rows_arrived'), ('rows_written'), ('rows_replaced')) m(metric),
+        LATERAL (SELECT CAST(CASE metric WHEN 'rows_replaced' THEN 0 ELSE n END AS DOUBLE) AS value)""")
+def _(spark, sf):
+    """Rows of every dataset of a run from files, as its writes counted them."""
+    return file_run(spark, sf)["metrics"].filter(
+        F.col("metric").isin("rows_total", "rows_arrived", "rows_written", "rows_replaced")
+        & F.col("subject").isin(*MODELS)
+    ).drop("measured_at")
+
+
+@query("l07_breaches", """
+    SELECT metric, subject, round(CAST(value AS DOUBLE), 9) AS value, CAST("limit" AS DOUBLE) AS "limit" FROM (
+        SELECT 'duplicate_rate' AS metric, 'jobs' AS subject, 0.5 AS value, 0.1 AS "limit"
+        UNION ALL SELECT 'duplicate_rate', 'workflow_events',
+                  (count(*) - (SELECT count(*) FROM stg_events)) / count(*), 0.1 FROM event_files
+        UNION ALL SELECT 'anomaly_count', 'hired_before_applied', count(*), 5
+                  FROM int_events WHERE is_anomaly)
+    WHERE value > "limit" """)
+def _(spark, sf):
+    parts = [
+        metrics.duplicate_rate(c.raw(spark, sf, "workflow_events"), "_event_id", "workflow_events"),
+        metrics.duplicate_rate(c.raw(spark, sf, "jobs"), "job_id", "jobs"),
+        metrics.anomaly_count(c.enriched(spark, sf).filter("is_anomaly")),
+    ]
+    limits = {"duplicate_rate": 0.1, "anomaly_count": 5.0}
+    found = metrics.breaches(reduce(DataFrame.unionByName, parts), limits)
+    return found.withColumn("value", F.round("value", 9))
+
+
+@query("l07_drifts", """
+    SELECT CAST(day AS VARCHAR) AS measured_at, CAST(n AS DOUBLE) AS value, round(usual, 6) AS usual
+    FROM (SELECT day, n, avg(n) OVER (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS usual
+          FROM (SELECT date_trunc('day', l_shipdate) AS day, count(*) AS n FROM lineitem GROUP BY 1))
+    WHERE abs(n - usual) > 0.5 * abs(usual)""")
+def _(spark, sf):
+    """Days with far more or fewer shipped lines than the seven before, as if each were a run."""
+    series = c.table(spark, sf, "lineitem").groupBy(
+        F.date_trunc("day", "l_shipdate").cast("timestamp_ntz").alias("measured_at")
+    ).agg(F.count(F.lit(1)).cast("double").alias("value")).withColumns(
+        {"metric": F.lit("rows_read"), "subject": F.lit("lineitem")}
+    )
+    return metrics.drifts(series).select(
+        "measured_at", "value", F.round("usual", 6).alias("usual")
+    )
+
+
 @query("l07_load_metrics", """
     SELECT metric, source AS subject,
            CASE WHEN metric IN ('rows_read', 'rows_written') THEN n ELSE 0 END AS value
@@ -687,6 +857,18 @@ def _(spark, sf):
     )
 
 
+@query("l08_history_merged", _HISTORY_SQL)
+def _(spark, sf):
+    """Snapshot by snapshot, out of order and one of them twice."""
+    snapshots = _repeated(c.raw(spark, sf, "jobs"))
+    history = StoredHistory(spark, scratch_path(spark, "history"), "job_id", BUCKETS)
+    hour = F.hour("_ingestion_ts") == 7
+    late = F.col("_ingestion_date") == F.lit(c.DAYS[1])
+    for part in (late & hour, ~late & ~hour, late & ~hour, ~late & hour, late & hour):
+        history.merge(snapshots.filter(part))
+    return history.read().select("job_id", "status", "valid_from", "valid_to", "is_current")
+
+
 def _repeated(raw: DataFrame) -> DataFrame:
     """Every snapshot once more an hour later, unchanged."""
     later = F.col("_ingestion_ts") + F.expr("interval 1 hour")

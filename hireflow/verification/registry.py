@@ -37,6 +37,12 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+def written_row(df: DataFrame, path: str) -> DataFrame:
+    """What a frame holds at this moment, whatever is written later."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # The hiring sources and datasets, written in SQL straight from the given tables: values are
 # taken before they are rendered as text, so cleaning and parsing are checked independently.
 _CTES = {

@@ -20,7 +20,7 @@ from hireflow.sources.quarantine import event_rules, load_rules, tag_malformed,
 from hireflow.sources.schemas import EVENTS_FILE, SOURCES
 from hireflow.streaming.events import start_event_ingestion, start_status_updates
 from hireflow.verification import canonical as c
-from hireflow.verification.registry import query
+from hireflow.verification.registry import query, written_row
 
 FIRST = datetime(2024, 2, 1, 6)
 SECOND = FIRST + timedelta(days=1)
@@ -387,12 +387,6 @@ def _(spark, sf):
     return reduce(DataFrame.unionByName, seen)
 
 
-def written_row(df: DataFrame, path: str) -> DataFrame:
-    """What a table held at this moment."""
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 @query("a18_batch_replace", """
     SELECT 'education' AS source, 'loaded' AS outcome, '2024-02-02' AS _ingestion_date,
            count(*) AS rows FROM customer
@@ -455,6 +449,36 @@ _LEDGER_SQL = """
                      '2024-02-02 06:00:00', count(*) FROM lineitem"""
 
 
+@query("a23_reset_raw", """
+    SELECT source_name, 'first' AS store, rows FROM (
+        SELECT 'jobs' AS source_name, count(*) AS rows FROM part
+        UNION ALL SELECT 'education', count(*) FROM customer)
+    UNION ALL SELECT source_name, 'new', 0 FROM (VALUES ('jobs'), ('education')) v(source_name)
+    UNION ALL SELECT source_name, 'new, loaded', rows FROM (
+        SELECT 'jobs' AS source_name, count(*) AS rows FROM part
+        UNION ALL SELECT 'education', count(*) FROM customer)""")
+def _(spark, sf):
+    """A new root is an empty store with all tables, which loads what another has loaded already."""
+    files, parts = c.source_files(spark, sf), []
+
+    def counted(store: RawStore, label: str) -> None:
+        for name in ("jobs", "education"):
+            now = store.read(name).agg(F.count(F.lit(1)).alias("rows")).select(
+                F.lit(name).alias("source_name"), F.lit(label).alias("store"), "rows"
+            )
+            parts.append(written_row(now, scratch_path(spark, "reset-seen")))
+
+    for label in ("first", "new"):
+        store = RawStore(spark, scratch_path(spark, "reset"))
+        if label == "new":
+            counted(store, label)
+        for name in ("jobs", "education"):
+            path = readers.source_path(SOURCES[name].file_name, files)
+            store.load(SOURCES[name], path, FIRST)
+        counted(store, label if label == "first" else "new, loaded")
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("a20_load_strategies", f"""
     SELECT source_name, load_strategy, rows_loaded FROM ({_LEDGER_SQL})""")
 def _(spark, sf):

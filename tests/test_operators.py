@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 from datetime import date, datetime
@@ -7,7 +8,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from hireflow.operators import profile, quality as q
-from hireflow.operators.history import scd2
+from hireflow.operators.history import StoredHistory, scd2
 from hireflow.operators.impacted import distinct_keys, history_of, orphans
 from hireflow.operators.keyed_table import KeyedTable
 from hireflow.operators.latest import newest_snapshot
@@ -327,3 +328,35 @@ def test_history_drops_repeats_and_keeps_returns(spark):
     assert rows(scd2(df, "k").select(columns)) == sorted(expected, key=repr)
     spread = scd2(df, "k", hot_keys(df, "k", 3))
     assert rows(spread.select(columns)) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_merged_history_equals_the_full_build(spark, seed):
+    pick = random.Random(seed)
+    data = {(pick.choice("ab"), pick.randrange(12)): pick.choice("xy") for _ in range(16)}
+    found = [(k, f"h{v}", datetime(2024, 1, 1, hour), v) for (k, hour), v in data.items()]
+    schema = "k string, _record_hash string, _ingestion_ts timestamp_ntz, v string"
+    everything = spark.createDataFrame(found, schema)
+    history = StoredHistory(spark, scratch_path(spark, "history"), "k", buckets=2)
+    pick.shuffle(found)
+    for part in (found[:3], found[3:7], found[7:], found[:2]):
+        history.merge(spark.createDataFrame([*part, (None, "h", datetime(2024, 1, 1), "n")], schema))
+    columns = ["k", "_record_hash", "v", "_ingestion_ts", "valid_from", "valid_to", "is_current"]
+    assert rows(history.read().select(columns)) == rows(scd2(everything, "k").select(columns))
+
+
+def test_merged_sketches(spark):
+    sketches = profile.ColumnSketches(spark, scratch_path(spark, "sketches"))
+    schema = "n int, s string, l array<string>"
+    whole = [(i, f"s{i % 7}", ["a"]) for i in range(100)] + [(None, None, None)]
+    sketches.add(spark.createDataFrame(whole[:50], schema), "1")
+    sketches.add(spark.createDataFrame(whole[:10], schema), "2")
+    sketches.add(spark.createDataFrame(whole[50:], schema), "2")
+    got = {r.column: r for r in sketches.profile("f").collect()}
+    exact = {r.column: r for r in profile.column_profile(spark.createDataFrame(whole, schema), "f").collect()}
+    for name, r in got.items():
+        assert (r.rows, r.null_count, r.distinct_count) == (101, 1, exact[name].distinct_count)
+    assert abs(got["n"].median - 50) <= 2 and got["s"].median is None
+    assert {r.rows for r in sketches.profile("f", ["1"]).collect()} == {50}
+    sketches.add(spark.createDataFrame([], schema), "3")
+    assert {r.rows for r in sketches.profile("f", ["3"]).collect()} == {0}

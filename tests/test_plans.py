@@ -189,6 +189,34 @@ def test_metrics(spark, staged):
     assert rows(age) == [("freshness_days", "jobs", 1.5)]
 
 
+def test_series_and_alerts(spark):
+    series = metrics.MetricSeries(spark, scratch_path(spark, "series"))
+    assert series.read().count() == 0
+    kind = "metric string, subject string, value double"
+    for day, (rows_read, share) in enumerate([(100.0, 0.0), (110.0, 0.0), (30.0, 0.2)]):
+        run = spark.createDataFrame([("rows_read", "jobs", rows_read), ("rejected_share", "jobs", share)], kind)
+        newest = series.append(run, NOW + timedelta(days=day))
+        found = rows(metrics.alerts(series.read(), newest))
+        if day < 2:
+            assert found == []
+    assert newest.count() == 2 and series.read().count() == 6
+    assert found == [("above limit", "rejected_share", "jobs", 0.2, 0.05),
+                     ("moved", "rejected_share", "jobs", 0.2, 0.0), ("moved", "rows_read", "jobs", 30.0, 105.0)]
+    assert rows(metrics.drifts(series.read(), look_back=1).select("value")) == [(0.2,), (30.0,)]
+
+
+def test_tables_count_what_they_write(spark):
+    t = KeyedTable(spark, scratch_path(spark, "counted"), ["k"], buckets=2)
+    t.overwrite(spark.createDataFrame([(i, "a") for i in range(10)], "k int, v string"))
+    t.upsert(spark.createDataFrame([(0, "a"), (1, "b"), (20, "c")], "k int, v string"))
+    assert t.counts(1) == {"rows_total": 11, "rows_arrived": 3, "rows_written": 2, "rows_replaced": 1}
+    assert t.counts() == {"rows_total": 11, "rows_arrived": 13, "rows_written": 12, "rows_replaced": 1}
+    found = rows(metrics.table_metrics(spark, {"t": t}, {"t": 1}))
+    assert ("rows_written", "t", 2.0) in found and len(found) == 4
+    t.compact()
+    assert t.counts(2) == {"rows_total": 11, "rows_arrived": 0, "rows_written": 0, "rows_replaced": 0}
+
+
 # -- suite ---------------------------------------------------------------------------------------
 
 

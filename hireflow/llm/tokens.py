@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes that a worker spends on words and their ids (an estimate).
-MEMO_BYTES = 64 << 20
+#: Bytes that a worker spends on words and their ids.
+MEMO_BYTES = 48 << 20
 
 #: Longer words are encoded when they come and not kept.
 MEMO_CHARS = 48
@@ -34,17 +34,31 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 class Memo:
-    """Growing table of words and their ids."""
+    """Growing table of words and their ids; words are held as one Arrow array, not as objects."""
 
     def __init__(self) -> None:
-        self.place: dict[str, int] = {}
+        self.words = pa.array([], pa.string())
         self.flat = np.empty(1 << 16, dtype=np.uint32)
         self.ends = np.zeros(1 << 14, dtype=np.int64)
         self.used = 0
-        self.spent = 0
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    @property
+    def spent(self) -> int:
+        """Bytes of the words, where they end, their ids, and where these end."""
+        return self.words.nbytes + 8 * len(self.words) + 4 * self.used
+
+    def find(self, words: pa.Array) -> np.ndarray:
+        """Place of each word, -1 for new ones."""
+        if not len(self.words):
+            return np.full(len(words), -1, dtype=np.int64)
+        found = pc.index_in(words, value_set=self.words)
+        return pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
 
     def add(self, words: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
-        n, at = len(self.place), self.used
+        n, at = len(self.words), self.used
         while self.flat.size < at + flat.size:
             self.flat = np.resize(self.flat, 2 * self.flat.size)
         while self.ends.size < n + 1 + len(words):
@@ -52,9 +66,7 @@ class Memo:
         self.flat[at : at + flat.size] = flat
         self.ends[n + 1 : n + 1 + len(words)] = at + np.cumsum(lengths)
         self.used = at + flat.size
-        self.place.update(zip(words, range(n, n + len(words))))
-        # of each word its text, its place in the table and its end
-        self.spent += sum(map(len, words)) + 200 * len(words) + flat.nbytes
+        self.words = pa.concat_arrays([self.words, pa.array(words, pa.string())])
 
     def lengths(self, places: np.ndarray) -> np.ndarray:
         return self.ends[places + 1] - self.ends[places]
@@ -100,32 +112,39 @@ class WordEncoder:
             at += len(ids)
         return flat, lengths
 
-    def _learn(self, keys: list[str]) -> None:
-        """Plain words are encoded many at a time, as one text; the rest one by one."""
-        plain = [k for k in keys if k.isalpha() and max(k) <= "ÿ"]
-        rest = [k for k in keys if not (k.isalpha() and max(k) <= "ÿ")]
+    def _learn(self, plain: list[str], rest: list[str]) -> None:
+        """Add new words in this order. Plain ones are encoded many at a time, as one text."""
+        learned: list[tuple[np.ndarray, np.ndarray]] = []
         for i in range(0, len(plain), JOINED):
             some = plain[i : i + JOINED]
             flat, _ = self.encode(["".join(map(self.separate, some))])
             lengths = self.run_lengths(flat)
             if len(lengths) != len(some):
                 flat, lengths = self.encode([self.spelled(k) for k in some])
-            self.memo.add(some, flat, lengths)
+            learned.append((flat, lengths))
         for i in range(0, len(rest), JOINED):
-            some = rest[i : i + JOINED]
-            self.memo.add(some, *self.encode([self.spelled(k) for k in some]))
+            learned.append(self.encode([self.spelled(k) for k in rest[i : i + JOINED]]))
+        if learned:
+            flat, lengths = map(np.concatenate, zip(*learned))
+            self.memo.add([*plain, *rest], flat, lengths)
 
     def separate(self, key: str) -> str:
         """A plain word with the blank that keeps it apart."""
         return " " + key
 
     def places(self, keys: list[str]) -> np.ndarray:
-        """Places in the memo of all the keys, which are encoded if they are new."""
+        """Places in the memo of all the (distinct) keys, which are encoded if they are new."""
         if self.memo.spent > MEMO_BYTES:
             self.memo = Memo()
-        place = self.memo.place
-        self._learn([k for k in keys if k not in place])
-        return np.fromiter((place[k] for k in keys), dtype=np.int64, count=len(keys))
+        at, known = self.memo.find(pa.array(keys, pa.string())), len(self.memo)
+        new = np.flatnonzero(at < 0)
+        is_plain = np.fromiter(
+            (keys[i].isalpha() and max(keys[i]) <= "ÿ" for i in new), dtype=bool, count=new.size
+        )
+        plain, rest = new[is_plain], new[~is_plain]
+        self._learn([keys[i] for i in plain], [keys[i] for i in rest])
+        at[np.concatenate([plain, rest])] = known + np.arange(new.size)
+        return at
 
 
 class WordEnds(WordEncoder):

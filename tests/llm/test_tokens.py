@@ -47,7 +47,7 @@ def test_small_memory_gives_the_same(monkeypatch):
     monkeypatch.setattr("hireflow.llm.tokens.MEMO_BYTES", 1500)
     for part in (TEXTS, TEXTS[::-1], TEXTS[5:20]):
         same(part)
-        assert all(len(e.memo.place) < 2000 for e in (encoder(WordEnds, WORDS), encoder(SpacedWords, BYTES)))
+        assert all(len(e.memo) < 2000 for e in (encoder(WordEnds, WORDS), encoder(SpacedWords, BYTES)))
 
 
 @settings(max_examples=300, deadline=None)

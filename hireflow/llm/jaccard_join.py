@@ -15,7 +15,8 @@ Copies of a text are one node. Each node is first compared with one centre only,
 posting lists. Nodes that are found alike are one component, and after that only pairs across
 components are compared: nodes near to one centre by what they differ in from it, others if nothing
 settles them. So a large group of copies or near copies costs about one comparison per node. Every
-comparison is the exact one of whole sets.
+comparison is the exact one of whole sets, but for pairs that a bitmap rules out: each token of a set
+flips one of ``BITS`` bits, so sets differ in at least as many tokens as their bitmaps differ in bits.
 
 * Null and empty texts have no shingles and are alike to nothing, not even to each other.
 * Texts of fewer words than ``WORDS`` have one shingle, the whole.
@@ -53,6 +54,9 @@ FREQUENT = 2.0
 #: Sets below this size index single tokens only; above, tokens in a group of frequent ones.
 SMALL = GROUP = 16
 
+#: Bits of a set's bitmap.
+BITS = 1024
+
 #: Counter rows that one task adds up.
 FAN_IN = 256
 
@@ -206,11 +210,20 @@ def indexed(docs: DataFrame, counters: np.ndarray) -> DataFrame:
                         part.column("node"),
                         pa.array([s.size for s in sets], pa.int64()),
                         ragged_array(found),
+                        ragged_array([bitmap(s) for s in sets]),
                     ],
-                    names=["doc_id", "node", "n", "signatures"],
+                    names=["doc_id", "node", "n", "signatures", "bitmap"],
                 )
 
-    return docs.mapInArrow(index, "doc_id long, node long, n long, signatures array<long>")
+    return docs.mapInArrow(
+        index, "doc_id long, node long, n long, signatures array<long>, bitmap array<long>"
+    )
+
+
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    """``BITS`` bits as 64-bit numbers, each set if an odd number of the distinct tokens falls on it."""
+    counts = np.bincount((tokens % np.uint64(BITS)).astype(np.int64), minlength=BITS)
+    return np.packbits(counts.astype(np.uint8) & 1).view(np.uint64)
 
 
 def ragged_array(parts: list[np.ndarray]) -> pa.Array:
@@ -259,6 +272,33 @@ class Sets:
         ).withColumnRenamed("of", "node")
 
 
+class Bitmaps:
+    """Sizes and bitmaps of all nodes."""
+
+    def __init__(self, rows: DataFrame) -> None:
+        each = rows.groupBy("node").agg(F.first("n").alias("n"), F.first("bitmap").alias("bitmap"))
+        self.of_nodes = written(each, "bitmaps")
+
+    def _joined(self, pairs: DataFrame, side: str) -> DataFrame:
+        """The pairs with size and bitmap of one side; few pairs are sent to the bitmaps."""
+        wanted = bounded(written(pairs, "bitmap-pairs"), 256)
+        own = self.of_nodes.select(
+            F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("bitmap").alias(f"bits_{side}")
+        )
+        return own.join(wanted, side)
+
+    def able(self, pairs: DataFrame, alike: int) -> DataFrame:
+        """The distinct pairs (a, b) that may share ``alike`` percent of their union, by ``able``."""
+        both = self._joined(self._joined(pairs.select("a", "b"), "a"), "b")
+        apart = F.aggregate(
+            F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+            F.lit(0),
+            lambda total, n: total + n,
+        )
+        able = apart * (100 + alike) <= (F.col("n_a") + F.col("n_b")) * (100 - alike)
+        return both.select("a", "b", F.col("n_a").alias("n"), able.alias("able"))
+
+
 def with_sets(pairs: DataFrame, sets: Sets) -> DataFrame:
     """The pairs (a, b) with both whole sets and the number of tokens in both."""
     a = sets.joined(pairs.select(F.col("a").alias("node"), "b"))
@@ -278,8 +318,9 @@ def alike(pairs: DataFrame, sets: Sets) -> DataFrame:
 
 #: Whether the sets of a pair are alike, and whether one may be alike to something alike to the
 #: other: distances of sets obey the triangle inequality, so twice the distance is allowed.
+NEARLY = 2 * ALIKE - 100
 LINKED = f"100 * shared >= {ALIKE} * either"
-NEAR = f"100 * shared >= {2 * ALIKE - 100} * either"
+NEAR = f"100 * shared >= {NEARLY} * either"
 
 
 def fits(n: Column, m: Column) -> Column:
@@ -300,14 +341,18 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     several = written(several, "signatures-of-several")
     members = written(posted.join(several, "signature").distinct(), "postings")
 
-    sets = Sets(read, rows.select("doc_id", "node"))
+    sets, bitmaps = Sets(read, rows.select("doc_id", "node")), Bitmaps(rows)
     stars_ = written(stars(members), "star-pairs")
-    comparable = 100 * F.least("n", "n_b") >= (2 * ALIKE - 100) * F.greatest("n", "n_b")
+    # sets of very different sizes are not near, nor are those that their bitmaps rule out
+    comparable = 100 * F.least("n", "n_b") >= NEARLY * F.greatest("n", "n_b")
     tried = stars_.select("a", "b")
+    judged = written(bitmaps.able(stars_.where(comparable), NEARLY), "star-bitmaps")
+    apart = stars_.where(~comparable).select("a", "b", "n").unionByName(
+        judged.where("not able").select("a", "b", "n")
+    )
     measured = written(
-        differences(stars_.where(comparable).select("a", "b"), sets).unionByName(
-            # sets of so different sizes are not near
-            stars_.where(~comparable).select(
+        differences(judged.where("able").select("a", "b"), sets).unionByName(
+            apart.select(
                 "a", "b", "n", F.lit(False).alias("linked"), F.lit(False).alias("near"),
                 F.lit(None).cast("array<long>").alias("only"),
             )
@@ -322,7 +367,8 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     ):
         found = labelled(members, labels)
         step = written(more(found).join(tried, ["a", "b"], "left_anti"), "pairs")
-        fresh = written(alike(step, sets), "links")
+        able = written(bitmaps.able(step, ALIKE).where("able").select("a", "b"), "able-pairs")
+        fresh = written(alike(able, sets), "links")
         tried = tried.unionByName(step)
         if not fresh.isEmpty():
             links = links.unionByName(fresh)

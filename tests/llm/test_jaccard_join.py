@@ -113,3 +113,28 @@ def test_alike_sets_share_a_signature():
 def test_query(spark, sf):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert rows(QUERIES["op8_jaccard_join"](spark, sf)) == brute(docs)
+
+
+def test_bitmaps_rule_out_no_alike_sets(spark):
+    """Sets differ in at least as many tokens as their bitmaps in bits; all close pairs stay."""
+    rng = np.random.default_rng(3)
+    sets, pairs = {}, []
+    for i in range(120):
+        whole = rng.choice(1 << 60, rng.integers(1, 3000), replace=False).astype(np.uint64)
+        other = whole[rng.random(whole.size) > rng.choice([0.0, 0.05, 0.1, 0.2, 0.3])]
+        more = rng.choice(1 << 60, rng.integers(0, whole.size // 8 + 1), replace=False).astype(np.uint64)
+        sets[2 * i], sets[2 * i + 1] = np.unique(whole), np.unique(np.concatenate([other, more]))
+        pairs += [(2 * i, 2 * i + 1), (2 * i, int(rng.integers(0, 2 * i + 1)))]
+    rows = [(k, k, len(v), op.bitmap(v).view(np.int64).tolist()) for k, v in sets.items()]
+    rows += rows[:5]
+    bitmaps = op.Bitmaps(spark.createDataFrame(rows, "doc_id long, node long, n long, bitmap array<long>"))
+    pairs = [p for p in set(pairs) if p[0] != p[1]]
+    able = {(r.a, r.b): r.able for r in bitmaps.able(spark.createDataFrame(pairs, "a long, b long"), 80).collect()}
+    assert set(able) == set(pairs)
+    ruled_out = 0
+    for (a, b), may in able.items():
+        shared = np.intersect1d(sets[a], sets[b]).size
+        alike = 100 * shared >= 80 * (len(sets[a]) + len(sets[b]) - shared)
+        assert may or not alike
+        ruled_out += not may
+    assert ruled_out > len(pairs) // 4

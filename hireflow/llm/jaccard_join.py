@@ -16,7 +16,7 @@ posting lists. Nodes that are found alike are one component, and after that only
 components are compared: nodes near to one centre by what they differ in from it, others if nothing
 settles them. So a large group of copies or near copies costs about one comparison per node. Every
 comparison is the exact one of whole sets, but for pairs that a bitmap rules out: each token of a set
-flips one of ``BITS`` bits, so sets differ in at least as many tokens as their bitmaps differ in bits.
+flips one of its bits, so sets differ in at least as many tokens as their bitmaps differ in bits.
 
 * Null and empty texts have no shingles and are alike to nothing, not even to each other.
 * Texts of fewer words than ``WORDS`` have one shingle, the whole.
@@ -54,8 +54,11 @@ FREQUENT = 2.0
 #: Sets below this size index single tokens only; above, tokens in a group of frequent ones.
 SMALL = GROUP = 16
 
-#: Bits of a set's bitmap.
-BITS = 1024
+#: A bitmap has as many bits as a power of two from twice the size of its set on, these at least.
+LEAST_BITS = 512
+
+#: Characters of a batch that are handled at once.
+SLICE_CHARS = 3 << 20
 
 #: Counter rows that one task adds up.
 FAN_IN = 256
@@ -111,7 +114,7 @@ def frequencies(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, chars=SLICE_CHARS):
                 tokens, _ = shingles(part.column("text"))
                 counts += np.bincount((tokens >> shift).astype(np.int64), minlength=BUCKETS)
         yield rows(TaskContext.get().partitionId(), counts)
@@ -200,7 +203,7 @@ def indexed(docs: DataFrame, counters: np.ndarray) -> DataFrame:
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, chars=SLICE_CHARS):
                 tokens, counts = shingles(part.column("text"))
                 sets = [np.unique(t) for t in np.split(tokens, np.cumsum(counts)[:-1])]
                 found = [signatures(s, shared.value, frequent) for s in sets]
@@ -221,8 +224,9 @@ def indexed(docs: DataFrame, counters: np.ndarray) -> DataFrame:
 
 
 def bitmap(tokens: np.ndarray) -> np.ndarray:
-    """``BITS`` bits as 64-bit numbers, each set if an odd number of the distinct tokens falls on it."""
-    counts = np.bincount((tokens % np.uint64(BITS)).astype(np.int64), minlength=BITS)
+    """Bits as 64-bit numbers, each set if an odd number of the distinct tokens falls on it."""
+    bits = max(LEAST_BITS, 1 << (2 * tokens.size - 1).bit_length())
+    counts = np.bincount((tokens % np.uint64(bits)).astype(np.int64), minlength=bits)
     return np.packbits(counts.astype(np.uint8) & 1).view(np.uint64)
 
 
@@ -241,7 +245,7 @@ def token_sets(docs: DataFrame) -> DataFrame:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, chars=SLICE_CHARS):
                 tokens, counts = shingles(part.column("text"))
                 sets = [np.unique(t) for t in np.split(tokens, np.cumsum(counts)[:-1])]
                 yield pa.record_batch(
@@ -288,14 +292,31 @@ class Bitmaps:
         return own.join(wanted, side)
 
     def able(self, pairs: DataFrame, alike: int) -> DataFrame:
-        """The distinct pairs (a, b) that may share ``alike`` percent of their union, by ``able``."""
+        """The pairs (a, b) and whether they may share ``alike`` percent of their union (``able``).
+
+        Sizes of those that may are so close that one bitmap has at most twice the bits of the other;
+        its halves laid over each other are the bitmap of its set with half as many bits.
+        """
         both = self._joined(self._joined(pairs.select("a", "b"), "a"), "b")
+        sizes = [F.size("bits_a"), F.size("bits_b")]
+
+        def folded(bits: str, own: Column, other: Column) -> Column:
+            half = F.floor(own / 2).cast("int")
+            upper, lower = F.slice(bits, F.lit(1), half), F.slice(bits, half + 1, half)
+            laid = F.zip_with(upper, lower, lambda x, y: x.bitwiseXOR(y))
+            return F.when(own > other, laid).otherwise(F.col(bits))
+
         apart = F.aggregate(
-            F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+            F.zip_with(
+                folded("bits_a", sizes[0], sizes[1]), folded("bits_b", sizes[1], sizes[0]),
+                lambda x, y: F.bit_count(x.bitwiseXOR(y)),
+            ),
             F.lit(0),
             lambda total, n: total + n,
         )
-        able = apart * (100 + alike) <= (F.col("n_a") + F.col("n_b")) * (100 - alike)
+        close = 100 * F.least("n_a", "n_b") >= alike * F.greatest("n_a", "n_b")
+        within = apart * (100 + alike) <= (F.col("n_a") + F.col("n_b")) * (100 - alike)
+        able = close & F.coalesce(within, F.lit(True))
         return both.select("a", "b", F.col("n_a").alias("n"), able.alias("able"))
 
 

@@ -276,10 +276,12 @@ def encoder(kind: type, path: str) -> WordEncoder:
     return _ENCODERS[kind, path]
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterable[pa.RecordBatch]:
+def slices(
+    batch: pa.RecordBatch, column: str = "text", chars: int = SLICE_CHARS
+) -> Iterable[pa.RecordBatch]:
     """Parts of a batch with bounded text, at least one row each."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    part = (np.cumsum(sizes) - sizes) // SLICE_CHARS
+    part = (np.cumsum(sizes) - sizes) // chars
     edges = np.flatnonzero(np.diff(part, prepend=-1)) if len(part) else []
     for a, b in zip(edges, [*edges[1:], batch.num_rows]):
         yield batch.slice(a, b - a)

@@ -1,9 +1,10 @@
 import hashlib
 import json
+import random
 from datetime import date, datetime
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from hireflow.operators.keyed_table import KeyedTable
 from hireflow.operators.profile import source_inventory
@@ -456,6 +457,53 @@ def test_layout_and_compaction_keep_all_rows(spark, tmp_path):
     assert len(large.inputFiles()) <= len(spark.read.parquet(path).inputFiles())
 
 
+BITS = ["a", "}", "{", '"', "\\", "[", "]", ",", "é", "\n", "}}", '\\"', '":{', "日"]
+
+
+@pytest.mark.parametrize("size", ["200", "1000", "134217728"])
+def test_one_array_file_is_read_by_many_tasks(spark, tmp_path, size):
+    """Braces, quotes and backslashes in strings, nested objects and lists, split anywhere."""
+    pick = random.Random(len(size))
+    kind = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "text", "list", "inner")])
+
+    def text():
+        return "".join(pick.choice(BITS) for _ in range(pick.randint(0, 8)))
+
+    settings = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "150"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for indent in (None, 1):
+        data = [{"id": str(i), "text": text(), "list": [text()],
+                 "inner": {"x": {"y": text()}, "z": [{}]} if i % 3 else None} for i in range(150)]
+        path = tmp_path / f"people-{indent}.json"
+        path.write_text(json.dumps(data, indent=indent, ensure_ascii=bool(indent)))
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        try:
+            got = readers.json_array_scan(spark, str(path), kind).collect()
+            tasks = spark.read.option("lineSep", "}").text(str(path)).rdd.getNumPartitions()
+        finally:
+            for key, value in before.items():
+                spark.conf.set(key, value)
+        assert tasks > 8 or size != "200"
+        assert {r["_file_name"] for r in got} == {path.name} and not any(r["_corrupt_record"] for r in got)
+        found = [(r.id, r.text, json.loads(r["list"]), json.loads(r.inner) if r.inner else None) for r in got]
+        assert sorted(found, key=repr) == sorted(((x["id"], x["text"], x["list"], x["inner"]) for x in data), key=repr)
+
+
+@pytest.mark.parametrize("text, good, bad", [
+    ("", [], []), (" [ ] \n", [], []), ('{"id":"1"}', ["1"], []), ('[{"id":"1"},\n{"id":"2"}]\n', ["1", "2"], []),
+    ('[{"id":"1"},{"id":', ["1"], ['{"id":']), ('[{"id":"1"} junk {"id":"2"}]', ["1"], [' junk {"id":"2"}']),
+    ("not json", [], ["not json"]), ('[{"id":"1"}]x', ["1"], ["]x"]), ('[{"id" "1"},{"id":"2"}]', ["2"], ['{"id" "1"}']),
+    ('{"id":"1","o":{"a":1}}\n{"id":"2"}\n', ["1", "2"], []),
+])
+def test_arrays_that_are_broken_keep_their_text(spark, tmp_path, text, good, bad):
+    (tmp_path / "f.json").write_text(text)
+    kind = T.StructType([T.StructField("id", T.StringType())])
+    found = readers.json_array_scan(spark, str(tmp_path / "f.json"), kind).collect()
+    assert sorted(r.id for r in found if r["_corrupt_record"] is None) == good
+    assert [r["_corrupt_record"] for r in found if r["_corrupt_record"] is not None] == bad
+
+
 def test_json_lines_keep_texts(spark, drop):
     df = readers.jsonl_scan(spark, str(drop / "workflow_events.jsonl"), EVENTS_FILE)
     assert df.filter(F.col("event_timestamp") == "2024-01-09T00:00:00").count() == 1

@@ -7,10 +7,11 @@ content; the text of those above one half is the main text.
 
 Weights are found by gradient ascent on the likelihood of labelled pages, whose gradient is the
 difference between the labels and the marginals. Labelled pages are built from a bounded sample of
-the given ones (``SAMPLE`` pages with the smallest content hash, none longer than ``SAMPLE_CHARS``):
-an ``article`` or ``main`` element marks what is content. Each is used as it is and with its
-landmarks renamed and with sidebars, notices, forms and comments filled with text of other pages,
-so that the model learns looks and not one tag. Without such pages the weights of ``PRIOR`` hold.
+the given ones (the ``SAMPLE`` smallest content hashes of pages with an ``article`` or ``main`` element,
+none longer than ``SAMPLE_CHARS``): that element marks what is content. Each is used as it is and with
+its landmarks renamed or without a name, with its article cut short, and with sidebars, notices, forms
+and comments filled with text of other pages, so that the model learns looks and not one tag. Without
+such pages the weights of ``PRIOR`` hold. A page without any likely element gives its likeliest ones.
 
 * Null and empty pages have an empty text. Broken markup is closed as browsers do.
 * White space within a text becomes one blank, and blocks are joined by one.
@@ -39,13 +40,29 @@ STEPS, RATE, PULL = 120, 0.4, 2e-3
 #: Elements that one pass handles together.
 BATCH_ELEMENTS = 20_000
 
-#: Names in class, id and role that speak against and for content.
-AGAINST = re.compile(
-    r"nav|menu|side|(?:^|[\W_])ads?(?:$|[\W_])|advert|promo|sponsor|foot|header|masthead|comment|discuss"
-    r"|repl(?:y|ies)|share|social|login|sign|search|subscri|newsletter|cookie|consent|notice|banner"
-    r"|popup|modal|relat|recommend|widget|breadcrumb|pagin|toolbar|copyright|alert|feedback"
+#: Words in class, id and role that speak against and for content. Names are cut at all signs but
+#: letters, and only whole words count: "research" is no search, "football" no foot.
+AGAINST = frozenset(
+    "nav navbar navigation menu menus side sidebar sidebars ad ads advert adverts advertisement"
+    " advertising promo promos promotion sponsor sponsored foot footer footers header headers masthead"
+    " comment comments discuss discussion disqus reply replies share sharing social login signin signup"
+    " sign search subscribe subscription newsletter cookie cookies consent notice notices banner banners"
+    " popup modal related recommend recommended recommendations widget widgets breadcrumb breadcrumbs"
+    " pagination pager toolbar copyright alert alerts feedback links".split()
 )
-FOR = re.compile(r"article|content|main|post|entry|story|body|prose|text")
+FOR = frozenset("article articles content contents main post posts entry entries story body prose text".split())
+_LETTERS = re.compile(r"[^\W\d_]+")
+
+#: What a name says it has, or has not, is not what it is: "has-sidebar".
+_HAS = re.compile(r"\b(?:has|with|without|no|hide|show)[-_]+\w+")
+
+#: Elements whose names say nothing about their own text.
+NAMELESS = frozenset("#page html body article main".split())
+
+
+def speaks(names: str, words: frozenset[str]) -> bool:
+    return bool(names) and not words.isdisjoint(_LETTERS.findall(_HAS.sub(" ", names)))
+
 
 #: Looks of an element; a bias comes first.
 TAGS = {
@@ -124,8 +141,9 @@ def looks(tree: Tree) -> np.ndarray:
         for kind, tags in TAGS.items():
             if tag in tags:
                 row[at[kind]] = 1
-        against = bool(names and AGAINST.search(names))
-        favour = bool(names and not against and FOR.search(names))
+        # a name like "with-sidebar" beside one like "content" tells of what else is there
+        favour = speaks(names, FOR)
+        against = speaks(names, AGAINST) and not favour and tag not in NAMELESS
         row[at["against"]], row[at["for"]] = against, favour
         if up >= 0:
             row[at["under_against"]] = bad[up]
@@ -220,10 +238,10 @@ def text_of(page: Page, content: np.ndarray) -> str:
 
 LANDMARKS = re.compile(r"<(/?)(article|main|nav|footer|aside|header)\b", re.IGNORECASE)
 
-#: Names that landmarks get when they are renamed.
+#: Names that landmarks get when they are renamed; none for content as often as not.
 RENAMED = {
-    "article": ("post-body", "article-text", "entry-content", "story"),
-    "main": ("content", "main-text"),
+    "article": ("post-body", "article-text", "entry-content", "story", "", "", "x1", "design"),
+    "main": ("content", "main-text", "", "wrap"),
     "nav": ("menu", "top-links", "breadcrumbs"),
     "footer": ("page-foot", "copyright"),
     "aside": ("sidebar", "related"),
@@ -256,8 +274,10 @@ def labelled(html: str) -> tuple[Page, np.ndarray] | None:
     for i, (up, tag) in enumerate(zip(tree.parent, tree.tag)):
         if up >= 0:
             names = tree.attrs[i]
-            barred[i] = barred[up] or tag in TAGS["boilerplate_tag"] or bool(AGAINST.search(names))
             marked = tag in TAGS["content_tag"] or "true-content" in names
+            # a landmark is content whatever its name
+            named = speaks(names, AGAINST) and not speaks(names, FOR) and tag not in NAMELESS
+            barred[i] = barred[up] or not marked and (tag in TAGS["boilerplate_tag"] or named)
             inside[i] = (inside[up] or marked) and not barred[i]
     return (page, np.array(inside, dtype=np.int64)) if any(inside) else None
 
@@ -276,7 +296,7 @@ def variants(html: str, texts: list[str], seed: int) -> Iterator[str]:
         if m[1]:
             return "</div"
         mark = " true-content" if m[2].lower() in TAGS["content_tag"] else ""
-        return f'<div class="{names[m[2].lower()]}{mark}"'
+        return f'<div class="{(names[m[2].lower()] + mark).strip()}"'
 
     for renamed in (False, True):
         page = html
@@ -287,17 +307,34 @@ def variants(html: str, texts: list[str], seed: int) -> Iterator[str]:
         if first > 0:
             part = fill(INSIDE[pick.integers(len(INSIDE))])
             page = page[: first + 4] + part + page[first + 4 :]
+        page = shortened(page, int(pick.integers(1, 5))) if pick.random() < 0.5 else page
         yield LANDMARKS.sub(rename, page) if renamed else page
 
 
+def shortened(html: str, paragraphs: int) -> str:
+    """The page with only the first paragraphs of its article."""
+    start, end = html.find("<article"), html.find("</article>")
+    place = start
+    for _ in range(paragraphs):
+        found = html.find("</p>", place, end)
+        if found < 0:
+            return html
+        place = found + 4
+    return html[:place] + html[end:]
+
+
 def trained(pages: DataFrame, html: str = "html") -> Weights:
     """Weights from a bounded sample of the pages; the same whatever their order."""
     col = F.col(html)
+    able = pages.where(col.isNotNull() & (F.char_length(col) <= SAMPLE_CHARS) & col.rlike("(?i)<(article|main)"))
+    hashes = able.select(F.xxhash64(col).alias("order")).distinct().orderBy("order").limit(SAMPLE)
+    # only hashes go through the sort; then the pages themselves, one for each of at most SAMPLE hashes
+    chosen = [r["order"] for r in hashes.collect()]
     sample = (
-        pages.where(col.isNotNull() & (F.char_length(col) <= SAMPLE_CHARS))
-        .select(col.alias("html"), F.xxhash64(col).alias("order"))
-        .orderBy("order", "html")
-        .limit(SAMPLE)
+        able.where(F.xxhash64(col).isin(chosen))
+        .groupBy(F.xxhash64(col).alias("order"))
+        .agg(F.min(col).alias("html"))
+        .orderBy("order")
         .collect()
     )
     found = [r["html"] for r in sample]
@@ -350,6 +387,31 @@ def extracted(pages: DataFrame, keep: list[str], html: str = "html") -> DataFram
 def main_texts(pages: list[Page], weights: Weights) -> list[str]:
     probability, _ = sum_product(forest(pages), weights)
     ends = np.cumsum([len(p.parent) for p in pages])
-    return [
-        text_of(p, probability[e - len(p.parent) : e] > 0.5) for p, e in zip(pages, ends)
-    ]
+    each = [(p, probability[e - len(p.parent) : e]) for p, e in zip(pages, ends)]
+    return [text_of(p, chosen(p, likely)) for p, likely in each]
+
+
+def chosen(page: Page, likely: np.ndarray) -> np.ndarray:
+    """Elements above one half; if none of them has text, the likeliest with text among its siblings.
+
+    Then all children of one element that are not much less likely than the best of the page count,
+    with what is below them and not much less likely either. Menus, footers, forms and the like are
+    never content, nor is anything in them.
+    """
+    barred = np.zeros(len(likely), dtype=bool)
+    for i, (up, tag) in enumerate(zip(page.tree.parent, page.tree.tag)):
+        barred[i] = tag in TAGS["boilerplate_tag"] or up >= 0 and barred[up]
+    likely = np.where(barred, 0, likely)
+    content = likely > 0.5
+    words = np.zeros(len(likely), dtype=np.int64)
+    for element, text in page.pieces:
+        words[element] += len(text.split())
+    if words[content].any() or not words[~barred].any():
+        return content
+    best = int(np.argmax(np.where((words > 0) & ~barred, likely, -1)))
+    enough = ~barred & (likely >= likely[best] / 2)
+    up = page.parent[best]
+    below = np.zeros(len(likely), dtype=bool)
+    for i in range(len(likely)):  # children come after their parents
+        below[i] = enough[i] and (i == up or page.parent[i] == up or page.parent[i] >= 0 and below[page.parent[i]])
+    return below

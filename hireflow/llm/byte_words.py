@@ -10,6 +10,9 @@ from typing import Iterator
 import numpy as np
 import pyarrow as pa
 
+#: Characters of a batch that are handled at once; several arrays of this length are held at a time.
+SLICE_CHARS = 3 << 20
+
 #: Rows a task sums up before it hands them on.
 PARTIAL_ROWS = 400_000
 

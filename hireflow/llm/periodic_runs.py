@@ -38,7 +38,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hireflow.llm.byte_words import SPACED, words_of
+from hireflow.llm.byte_words import SLICE_CHARS, SPACED, words_of
 from hireflow.llm.shared import whole_text, written
 from hireflow.llm.tokens import slices
 
@@ -240,7 +240,7 @@ def found_fragments(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, chars=SLICE_CHARS):
                 words, firsts = words_of(part.column("text"), SPACED)
                 coded = pc.dictionary_encode(words)
                 codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)

@@ -34,7 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hireflow.llm.byte_words import joined
+from hireflow.llm.byte_words import SLICE_CHARS, joined
 from hireflow.llm.shared import whole_text
 from hireflow.llm.tokens import ragged, slices
 
@@ -331,7 +331,7 @@ def encoded(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text"
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = codec(model)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, chars=SLICE_CHARS):
                 ids = _lists(*pieces.ids(part.column("text")))
                 yield pa.record_batch([part.column("key"), ids], names=["key", "ids"])
 

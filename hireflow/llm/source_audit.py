@@ -32,7 +32,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hireflow.llm.byte_words import LETTERS, LOWER, Partial, joined, words_of
+from hireflow.llm.byte_words import LETTERS, LOWER, SLICE_CHARS, Partial, joined, words_of
 from hireflow.llm.shared import bounded, whole_text, written
 from hireflow.llm.tokens import slices
 from hireflow.llm.transducer import Transducer
@@ -86,7 +86,7 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = Partial(["lang", "term"], "n_docs")
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, chars=SLICE_CHARS):
                 doc, term, terms = _terms(part)
                 if not len(terms):
                     continue
@@ -217,7 +217,7 @@ def recounted(docs: DataFrame, rows: list[tuple[str, str, int, bytes]]) -> DataF
         forest = Forest(held.value)
         sums = Partial(["lang", "source", "ordinal"], "n")
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, chars=SLICE_CHARS):
                 doc, term, terms = _terms(part)
                 if not len(terms):
                     continue

@@ -295,6 +295,13 @@ def test_full_duplicates_are_null_safe(spark):
     assert rows(profile.full_duplicate_rows(df, "f")) == [("f", 1)]
 
 
+def test_whole_rows_are_compared_by_a_short_digest(spark):
+    data = [("a|b", None, 1), ("a", "b", 1), ("a|b", None, 1), (None, "a|b", 1), ("-", None, 1)]
+    found = profile.full_duplicate_rows(spark.createDataFrame(data, "x string, y string, z int"), "f")
+    assert rows(found) == [("f", 1)]
+    assert re.search(r"hashpartitioning\(row#\d+, \d+\)", found._jdf.queryExecution().toString())
+
+
 def test_list_profile(spark):
     df = spark.createDataFrame([(["a", "b"],), (None,), (["a"],)], "l array<string>")
     assert rows(profile.list_stats(df, "l")) == [(0, 2, 1.0)]

@@ -13,7 +13,7 @@ from hireflow.operators.impacted import distinct_keys, history_of, orphans
 from hireflow.operators.keyed_table import KeyedTable
 from hireflow.operators.latest import newest_snapshot
 from hireflow.operators.skew import hot_keys, number_across_ranges, number_rows
-from hireflow.session import scratch_path
+from hireflow.session import folder_names, scratch_path
 from tests.conftest import rows
 
 T0, T1 = datetime(2024, 1, 1), datetime(2024, 1, 2)
@@ -205,6 +205,30 @@ def test_an_upsert_reads_whole_rows_only_of_folders_with_its_keys(spark, monkeyp
     assert t.read().count() == 101 and rows(t.read().filter("k = 120")) == [(120, "b")]
 
 
+def test_an_upsert_writes_its_rows_once(spark):
+    """New and changed rows as they come, and without a shuffle of stored rows for a few changes."""
+    t = KeyedTable(spark, scratch_path(spark, "t"), ["k"], buckets=1)
+    t.upsert(frame(spark, {i: "a" for i in range(50)}))
+    t.upsert(frame(spark, {i: "b" for i in range(40, 90)}))
+    written = spark.read.parquet(f"{t.path}/data/_v=2/_step=new").count()
+    stored = spark.read.parquet(f"{t.path}/data/_v=2/_step=kept").groupBy("_part").count()
+    assert written == 50 and sorted(map(tuple, stored.collect())) == [("kept", 40), ("was", 10)]
+    steps = [f for f in folder_names(spark, f"{t.path}/data/_v=2", "") if f.startswith("_step")]
+    assert steps == ["_step=kept", "_step=matched", "_step=new"]
+    assert dict(rows(t.read())) == {i: "a" if i < 40 else "b" for i in range(90)}
+
+
+def test_older_and_equal_rows_of_a_batch_stay_out(spark):
+    t = KeyedTable(spark, scratch_path(spark, "t"), ["k"], buckets=2)
+    first = [(1, "a", 5), (2, "a", 5), (3, "a", 5), (None, "n", 5)]
+    t.upsert(spark.createDataFrame(first, "k int, v string, at int"), newer_by="at")
+    second = [(1, "a", 5), (2, "old", 4), (3, "new", 6), (4, "new", 6), (None, "m", 5)]
+    t.upsert(spark.createDataFrame(second, "k int, v string, at int"), newer_by="at")
+    assert rows(t.read()) == [(1, "a", 5), (2, "a", 5), (3, "new", 6), (4, "new", 6),
+                              (None, "m", 5), (None, "n", 5)]
+    assert rows(t.changes(1)) == [(3, "a", 5, -1), (3, "new", 6, 1), (4, "new", 6, 1), (None, "m", 5, 1)]
+
+
 def test_lists_that_differ_in_nulls_differ(spark):
     t = table(spark, buckets=1)
     lists = [None, [], [None], ["a", None], [None, "a"], ["a"], ["a", "b"], ["ab"], [""]]

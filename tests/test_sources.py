@@ -1,7 +1,9 @@
+import gzip
 import hashlib
 import json
 import random
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -125,6 +127,22 @@ def test_checksum_of_parts_in_order_of_name(spark, tmp_path):
     assert len({drop_of("x", "a\n", "b\n"), drop_of("y", "b\n", "a\n"), drop_of("z", "a\nb\n")}) == 3
 
 
+def test_compressed_parts_may_be_empty(spark, tmp_path):
+    for name, text in (("a", b""), ("b", b"x\ny\n")):
+        (tmp_path / f"{name}.txt.gz").write_bytes(gzip.compress(text))
+    assert checksums.file_checksums(spark, str(tmp_path)).filter("checksum is not null").count() == 2
+
+
+def test_only_the_sources_asked_for_are_written(spark, sf):
+    from hireflow.verification import canonical
+
+    root = canonical.source_files(spark, f"{sf}/", "jobs")
+    assert [path.name for path in Path(root).iterdir()] == ["jobs.csv"]
+    assert {path.suffix for path in Path(root).glob("jobs.csv/part-*")} == {".gz"}
+    canonical.source_files(spark, f"{sf}/", "education")
+    assert sorted(path.name for path in Path(root).iterdir()) == ["education.csv", "jobs.csv"]
+
+
 @pytest.mark.parametrize("folder", ["a b", "50%", "a%20b", "x#y", "été ß", "a+b=c", "q?'&"])
 def test_checksum_in_folders_with_odd_names(spark, tmp_path, folder):
     (tmp_path / folder).mkdir()

@@ -205,6 +205,20 @@ def test_an_upsert_reads_whole_rows_only_of_folders_with_its_keys(spark, monkeyp
     assert t.read().count() == 101 and rows(t.read().filter("k = 120")) == [(120, "b")]
 
 
+def test_rows_are_not_shuffled_only_to_lie_by_bucket(spark):
+    """Each task writes to the few buckets there are; ``compact`` joins the files."""
+    t = KeyedTable(spark, scratch_path(spark, "t"), ["k"], buckets=2)
+    batch = spark.range(0, 300, 1, 3).selectExpr("cast(id as int) k", "'a' v")
+    t.overwrite(batch)
+    assert len(t.read().inputFiles()) == 6
+    t.upsert(batch.selectExpr("k + 1000 k", "v"))
+    assert len(t.read().inputFiles()) == 12 and t.compact() == 2
+    assert len(t.read().inputFiles()) == 2 and t.read().distinct().count() == 600
+    many = KeyedTable(spark, scratch_path(spark, "t"), ["k"], buckets=16)
+    many.overwrite(batch)
+    assert len(many.read().inputFiles()) == 16
+
+
 def test_an_upsert_writes_its_rows_once(spark):
     """New and changed rows as they come, and without a shuffle of stored rows for a few changes."""
     t = KeyedTable(spark, scratch_path(spark, "t"), ["k"], buckets=1)

@@ -6,11 +6,11 @@ from datetime import date, datetime
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import DataFrameWriter, functions as F, types as T
 
 from hireflow.operators.keyed_table import KeyedTable
 from hireflow.operators.profile import source_inventory
-from hireflow.session import scratch_path
+from hireflow.session import WRITERS, scratch_path, unsorted_writes
 from hireflow.sources import checksums, ingest, readers
 from hireflow.sources.ingest import RawStore, load_all_sources
 from hireflow.sources.layout import compact_partitions, write_events
@@ -143,6 +143,26 @@ def test_only_the_sources_asked_for_are_written(spark, sf):
     assert sorted(path.name for path in Path(root).iterdir()) == ["education.csv", "jobs.csv"]
 
 
+def test_a_load_does_not_sort_its_rows_by_folder(spark, tmp_path, monkeypatch):
+    """A sort holds or spills all rows of the task, one of which reads a whole compressed file."""
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before, write = spark.conf.get(name), DataFrameWriter.parquet
+
+    def spied(self, path, *args, **kwargs):
+        if "jobs" in path:
+            seen.append(int(spark.conf.get(name)))
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", spied)
+    (tmp_path / "jobs.csv").write_text(JOBS)
+    store = RawStore(spark, str(tmp_path / "raw"), load_rules())
+    assert store.load(SOURCES["jobs"], str(tmp_path / "jobs.csv"), DAY1)["rows"] == 2
+    assert seen == [WRITERS] and spark.conf.get(name) == before
+    with pytest.raises(RuntimeError), unsorted_writes(spark), unsorted_writes(spark):
+        raise RuntimeError
+    assert spark.conf.get(name) == before
+
+
 @pytest.mark.parametrize("folder", ["a b", "50%", "a%20b", "x#y", "été ß", "a+b=c", "q?'&"])
 def test_checksum_in_folders_with_odd_names(spark, tmp_path, folder):
     (tmp_path / folder).mkdir()

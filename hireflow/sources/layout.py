@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hireflow.operators.keyed_table import CODEC
+from hireflow.session import unsorted_writes
+
 # Target size of a data file.
 FILE_BYTES = 200 * 1024 * 1024
 
@@ -36,6 +39,7 @@ def compact_partitions(
     """
     own = spark.newSession()  # other jobs of the caller's session keep their setting
     own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes))
-    own.read.parquet(source).hint("rebalance", partition).write.partitionBy(partition).mode(
-        "overwrite"
-    ).parquet(target)
+    with unsorted_writes(own):
+        own.read.parquet(source).hint("rebalance", partition).write.partitionBy(partition).mode(
+            "overwrite"
+        ).option("compression", CODEC).parquet(target)

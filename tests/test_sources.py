@@ -163,6 +163,18 @@ def test_a_load_does_not_sort_its_rows_by_folder(spark, tmp_path, monkeypatch):
     assert spark.conf.get(name) == before
 
 
+def test_small_files_are_written_by_the_tasks_that_have_the_rows(spark, tmp_path):
+    from hireflow.verification.source_queries import write_small_files
+
+    events = spark.range(0, 1000, 1, 6).selectExpr("cast(id as string) event_id", "2020 + id % 2 event_year")
+    write_small_files(events, str(tmp_path / "small"), rows_per_file=20)
+    assert len(list((tmp_path / "small").glob("event_year=*/*.parquet"))) >= 50
+    assert len({path.name[:10] for path in (tmp_path / "small").glob("event_year=*/*.parquet")}) == 6
+    compact_partitions(spark, str(tmp_path / "small"), str(tmp_path / "large"), "event_year")
+    assert len(list((tmp_path / "large").glob("event_year=*/*.parquet"))) == 2
+    assert spark.read.parquet(str(tmp_path / "large")).distinct().count() == 1000
+
+
 @pytest.mark.parametrize("folder", ["a b", "50%", "a%20b", "x#y", "été ß", "a+b=c", "q?'&"])
 def test_checksum_in_folders_with_odd_names(spark, tmp_path, folder):
     (tmp_path / folder).mkdir()

@@ -47,7 +47,9 @@ def encoded(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "t
                 flat, lengths = words.ids(part.column("text"))
                 ends = np.cumsum(lengths + 1)
                 ids = np.full(int(ends[-1]) if ends.size else 0, END_ID, dtype=STORED)
-                ids[np.delete(np.arange(ids.size), ends - 1)] = flat
+                within = np.ones(ids.size, dtype=bool)
+                within[ends - 1] = False
+                ids[within] = flat
                 edges = pa.array(np.concatenate([[0], ends * 2]), pa.int32())
                 yield pa.record_batch(
                     [
@@ -62,6 +64,8 @@ def encoded(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "t
                     names=["doc_id", "task", "before", "n_ids", "ids"],
                 )
                 before += int(ends[-1]) if ends.size else 0
+            # a worker that waits for its next task holds what its allocator kept
+            pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(encode, "doc_id long, task int, before long, n_ids long, ids binary")
 
@@ -80,20 +84,8 @@ def packed(ids: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple] = []
-            for doc, at, n, ids in zip(*(c.to_pylist() for c in batch.columns)):
-                begin = 0
-                while begin < n:
-                    sequence, offset = divmod(at + begin, window)
-                    length = min(window - offset, n - begin)
-                    piece = ids[2 * begin : 2 * (begin + length)]
-                    crc = zlib.crc32(np.frombuffer(piece, STORED).astype("<u4").tobytes())
-                    rows.append((doc, begin, length, crc, n, sequence, offset, piece))
-                    begin += length
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 8, _PIECE.types)],
-                schema=_PIECE,
-            )
+            for part in slices(batch, "ids"):
+                yield pieces(part, window)
 
     return placed.mapInArrow(
         cut,
@@ -113,6 +105,24 @@ _PIECE = pa.schema(
 )
 
 
+def pieces(batch: pa.RecordBatch, window: int) -> pa.RecordBatch:
+    """Records of some documents (doc_id, at, n_ids, ids), cut where windows end."""
+    rows: list[tuple] = []
+    for doc, at, n, ids in zip(*(c.to_pylist() for c in batch.columns)):
+        begin = 0
+        while begin < n:
+            sequence, offset = divmod(at + begin, window)
+            length = min(window - offset, n - begin)
+            piece = ids[2 * begin : 2 * (begin + length)]
+            crc = zlib.crc32(np.frombuffer(piece, STORED).astype("<u4").tobytes())
+            rows.append((doc, begin, length, crc, n, sequence, offset, piece))
+            begin += length
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 8, _PIECE.types)],
+        schema=_PIECE,
+    )
+
+
 def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Records of all documents, each with its ids; see :func:`sequences` for whole windows."""
     return packed(written(encoded(docs, tokenizer, key, text), "pack-ids"))

@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes that a worker spends on words and their ids.
-MEMO_BYTES = 48 << 20
+#: Bytes that a worker spends on words and their ids. Looking words up takes three times as much for a while.
+MEMO_BYTES = 24 << 20
 
 #: Longer words are encoded when they come and not kept.
 MEMO_CHARS = 48
@@ -23,14 +23,16 @@ MEMO_CHARS = 48
 #: Plain words encoded in one call.
 JOINED = 4000
 
-#: Characters of a batch that are handled at once.
-SLICE_CHARS = 8 << 20
+#: Characters of a batch that are handled at once; a worker needs some thirty bytes for each.
+SLICE_CHARS = 4 << 20
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices of the runs ``starts[i] .. starts[i] + lengths[i]``, one after the other."""
     total = int(lengths.sum())
     ends = np.cumsum(lengths)
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
+    indices = np.repeat(starts - (ends - lengths), lengths)
+    indices += np.arange(total)
+    return indices
 
 
 class Memo:

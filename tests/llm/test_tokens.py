@@ -1,5 +1,7 @@
 """Ids and counts word by word against the library on whole texts."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -8,7 +10,7 @@ from tokenizers import Tokenizer
 
 from hireflow.llm import packing, token_cache
 from hireflow.llm.queries import QUERIES, tokenizer_path
-from hireflow.llm.tokens import SpacedWords, WordEnds, encoder
+from hireflow.llm.tokens import SpacedWords, WordEnds, encoder, slices
 
 BYTES, WORDS = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("word_bpe_49k.json")
 
@@ -56,6 +58,19 @@ def test_any_text(texts):
     same(texts)
 
 
+def test_memory_of_many_texts():
+    """Ids of 24 MB of text are made in parts; arrays of a part stay below 80 MB."""
+    texts = pa.record_batch([pa.array(["a few words, " * 20_000] * 92)], names=["text"])
+    words = encoder(WordEnds, WORDS)
+    words.ids(texts.column("text").slice(0, 1))
+    tracemalloc.start()
+    for part in slices(texts):
+        words.ids(part.column("text"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6
+
+
 def test_counts_through_the_cache(spark, tmp_path):
     rows = [(i, t, "x") for i, t in enumerate([None, *TEXTS, *TEXTS[:5]])]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")

@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -121,6 +122,18 @@ def test_new_keys_rewrite_nothing(spark):
     assert dict(rows(t.read())) == {1: "c", 2: "b"}
 
 
+def test_upsert_leaves_only_folders_that_a_version_lists(spark):
+    """Folders of the batch whose rows were written again go when the version counts."""
+    t = KeyedTable(spark, scratch_path(spark, "t"), ["k"], buckets=1)
+    t.upsert(spark.range(10).selectExpr("id k", "0 v"))
+    t.upsert(spark.range(5, 15).selectExpr("id k", "if(id < 8, 1, 0) v"))
+    listed = {f.path for v in (1, 2) for f in t._listed(v).live + t._listed(v).after + t._listed(v).before}
+    stored = {str(p.parent.relative_to(t.path)) for p in Path(t.path).glob("data/**/_bucket=*/*.parquet")}
+    assert stored == listed
+    assert sorted(map(tuple, t.read().collect())) == [(k, int(5 <= k < 8)) for k in range(15)]
+    assert t.changes(1).count() == 11 and t.changes(0) is None
+
+
 def test_rows_that_stay_the_same_rewrite_nothing(spark):
     t = KeyedTable(spark, scratch_path(spark, "t"), ["k"], buckets=1)
 

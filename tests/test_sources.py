@@ -163,6 +163,20 @@ def test_a_load_does_not_sort_its_rows_by_folder(spark, tmp_path, monkeypatch):
     assert spark.conf.get(name) == before
 
 
+def test_a_write_deletes_what_it_shuffled(spark, tmp_path):
+    sc = spark.sparkContext
+    place = sc._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {name for d in place.localDirsString() for name in map(str, Path(d).glob("*/shuffle_*"))}
+
+    before = shuffled()
+    rows = spark.range(0, 1000, 1, 4).repartition(3, "id")
+    with unsorted_writes(spark):
+        rows.write.parquet(str(tmp_path / "kept"))
+    assert shuffled() <= before and spark.read.parquet(str(tmp_path / "kept")).count() == 1000
+
+
 def test_small_files_are_written_by_the_tasks_that_have_the_rows(spark, tmp_path):
     from hireflow.verification.source_queries import write_small_files
 

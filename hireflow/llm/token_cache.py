@@ -15,7 +15,7 @@ encodes each distinct miss once, and appends the counts.
 from __future__ import annotations
 
 import hashlib
-from typing import Iterator
+from typing import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -27,6 +27,9 @@ from hireflow.session import path_exists
 #: Longer documents are flagged.
 LIMIT = 1024
 
+#: Characters that are counted at once, as pieces, their numbers and sums take many times their bytes.
+PART_CHARS = 1 << 20
+
 
 def tokenizer_digest(tokenizer: str) -> str:
     with open(tokenizer, "rb") as file:
@@ -37,6 +40,20 @@ def content_digest(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
+def counted(batches: Iterable[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
+    """Counts of the texts (content_digest, text), a bounded part of a batch at a time."""
+    words = encoder(SpacedWords, tokenizer)
+    for batch in batches:
+        for part in slices(batch, chars=PART_CHARS):
+            counts = words.counts(part.column("text"))
+            yield pa.record_batch(
+                [part.column("content_digest"), pa.array(counts, pa.int64())],
+                names=["content_digest", "n_tokens"],
+            )
+        # a worker that waits for its next task holds what its allocator kept
+        pa.default_memory_pool().release_unused()
+
+
 class TokenCache:
     """Stored counts below ``path``, one folder per tokenizer version."""
 
@@ -66,14 +83,7 @@ class TokenCache:
         tokenizer = self.tokenizer
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            words = encoder(SpacedWords, tokenizer)
-            for batch in batches:
-                for part in slices(batch):
-                    counts = words.counts(part.column("text"))
-                    yield pa.record_batch(
-                        [part.column("content_digest"), pa.array(counts, pa.int64())],
-                        names=["content_digest", "n_tokens"],
-                    )
+            return counted(batches, tokenizer)
 
         distinct.mapInArrow(count, self.schema).write.mode("append").parquet(self.path)
 

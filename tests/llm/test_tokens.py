@@ -71,6 +71,22 @@ def test_memory_of_many_texts():
     assert peak < 80e6
 
 
+def test_counting_takes_small_parts(monkeypatch):
+    """Counts of 6 MB of text are made in parts of little more than a megabyte, and stay those of whole texts."""
+    texts = pa.array(["word " * 5000 + "end"] * 240)
+    batch = pa.record_batch([texts, texts], names=["content_digest", "text"])
+    sizes, counts = [], SpacedWords.counts
+
+    def measured(self, part):
+        sizes.append(sum(map(len, part.to_pylist())))
+        return counts(self, part)
+
+    monkeypatch.setattr(SpacedWords, "counts", measured)
+    got = [n for part in token_cache.counted([batch], BYTES) for n in part.column("n_tokens").to_pylist()]
+    assert got == [len(whole(BYTES, [texts[0].as_py()])[0])] * 240
+    assert sum(sizes) == 240 * 25003 and max(sizes) < 1.1 * (1 << 20)
+
+
 def test_counts_through_the_cache(spark, tmp_path):
     rows = [(i, t, "x") for i, t in enumerate([None, *TEXTS, *TEXTS[:5]])]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")

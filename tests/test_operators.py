@@ -134,6 +134,24 @@ def test_upsert_leaves_only_folders_that_a_version_lists(spark):
     assert t.changes(1).count() == 11 and t.changes(0) is None
 
 
+def test_clear_deletes_what_the_newest_two_versions_do_not_read(spark):
+    t, seen = KeyedTable(spark, scratch_path(spark, "t"), ["k"], buckets=2), []
+
+    for n in range(4):
+        t.upsert(spark.range(10 + n).selectExpr("id k", f"if(id < 9, {n}, 0) v"))
+        seen.append(t.read())
+        t.clear(1 if n == 2 else None)
+        if n == 2:
+            assert t.changes(1).count() == 4 * 9 + 2  # two versions, of which the first's stayed as well
+    three, four = t._listed(3), t._listed(4)
+    stored = {str(p.parent.relative_to(t.path)) for p in Path(t.path).glob("data/**/*.parquet")}
+    assert stored == {f.path for f in three.live + four.live + four.after + four.before}
+    for df, n in ((seen[2], 2), (seen[3], 3), (KeyedTable(spark, t.path, ["k"], buckets=2).read(), 3)):
+        assert sorted(map(tuple, df.collect())) == [(k, n if k < 9 else 0) for k in range(10 + n)]
+    assert t.changes(3).count() == 2 * 9 + 1 and t.changes(2) is None and t.changes(1) is None
+    assert t.counts(1) == {"rows_total": 13, "rows_arrived": 36, "rows_written": 30, "rows_replaced": 27}
+
+
 def test_rows_that_stay_the_same_rewrite_nothing(spark):
     t = KeyedTable(spark, scratch_path(spark, "t"), ["k"], buckets=1)
 

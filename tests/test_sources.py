@@ -177,6 +177,41 @@ def test_a_write_deletes_what_it_shuffled(spark, tmp_path):
     assert shuffled() <= before and spark.read.parquet(str(tmp_path / "kept")).count() == 1000
 
 
+def test_a_build_deletes_what_it_shuffled(spark, tmp_path, monkeypatch):
+    from hireflow.plans.build import Run, Warehouse
+
+    spark.sparkContext._jvm.System.gc()
+    place = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {name for d in place.localDirsString() for name in map(str, Path(d).glob("*/shuffle_*"))}
+
+    before, counted = shuffled(), []
+    keys = spark.range(0, 1000, 1, 4).withColumn("k", F.col("id") % 7)
+    monkeypatch.setattr(
+        Warehouse, "_update", lambda self, name, run: counted.append(keys.groupBy("k").count().count())
+    )
+    Warehouse(spark, str(tmp_path), lambda s: None).build(Run(DAY1.date(), DAY1), ["stg"])
+    assert counted == [7] * 5 and shuffled() <= before
+
+
+def test_an_array_with_a_brace_is_not_scanned_to_see_that_it_is_not_empty(spark, tmp_path):
+    spec = SOURCES["candidates"]
+    path = tmp_path / spec.file_name
+
+    class Scanned:
+        def isEmpty(self):
+            raise RuntimeError("scanned")
+
+    path.write_text('[{"candidate_id": "c1"}]')
+    assert not readers.is_empty(spark, spec, str(path), Scanned())
+    for text in ("", " \n", "[]", "[ ]\n"):
+        path.write_text(text)
+        assert readers.is_empty(spark, spec, str(path), readers.read_source(spark, spec, str(path)))
+    path.write_text("[ } ]")  # no object, but a row that cannot be read
+    assert not readers.is_empty(spark, spec, str(path), readers.read_source(spark, spec, str(path)))
+
+
 def test_small_files_are_written_by_the_tasks_that_have_the_rows(spark, tmp_path):
     from hireflow.verification.source_queries import write_small_files
 

@@ -436,3 +436,73 @@ def test_merged_sketches(spark):
     assert {r.rows for r in sketches.profile("f", ["1"]).collect()} == {50}
     sketches.add(spark.createDataFrame([], schema), "3")
     assert {r.rows for r in sketches.profile("f", ["3"]).collect()} == {0}
+
+
+def test_upsert_shuffles_keys_but_no_whole_rows(spark, tmp_path, monkeypatch):
+    """Also beyond the number of keys that may be broadcast."""
+    t = KeyedTable(spark, f"{tmp_path}/t", ["id"], buckets=4)
+    rows = spark.range(450_000).select(
+        F.col("id").cast("string").alias("id"), (F.col("id") % 2).alias("v"), F.lit("wide").alias("pad")
+    )
+    t.upsert(rows)
+    plans = {}
+    write = KeyedTable._write
+
+    def watched(self, df, version, step, spread=None):
+        plans[step] = df._jdf.queryExecution().executedPlan().toString()
+        return write(self, df, version, step, spread)
+
+    monkeypatch.setattr(KeyedTable, "_write", watched)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables too big for it
+    try:
+        t.upsert(rows.withColumn("v", F.when(F.col("v") == 0, F.col("v")).otherwise(99)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for step in ("changed", "kept"):
+        assert not [line for line in plans[step].splitlines() if "Exchange" in line and "id#" in line]
+        assert "SortMergeJoin" not in plans[step]
+    assert t.read().filter("v = 99").count() == 225_000
+    assert t.read().select("id").distinct().count() == t.read().count() == 450_000
+
+
+@pytest.mark.parametrize("few", [0, 8_192])
+def test_marked_rows_are_exact_across_files_and_words(spark, tmp_path, monkeypatch, few):
+    """Every third row changes; NULL keys match nothing; files hold more rows than one bitmap."""
+    from hireflow.operators import keyed_table
+
+    monkeypatch.setattr(keyed_table, "FEW_BITMAPS", few)
+    t = KeyedTable(spark, f"{tmp_path}/t", ["id"], buckets=2)
+    ids = F.when(F.col("id") != 5, F.col("id"))
+    first = spark.range(100_000).coalesce(1).select(ids.alias("id"), F.lit(1).alias("v"))
+    second = spark.range(50_000, 150_000).select(
+        "id", F.when(F.col("id") % 3 == 0, 2).otherwise(1).alias("v")
+    )
+    t.upsert(first)
+    t.upsert(second)
+    want = spark.range(150_000).select(
+        ids.alias("id"), F.when((F.col("id") >= 50_000) & (F.col("id") % 3 == 0), 2).otherwise(1).alias("v")
+    )
+    assert t.read().exceptAll(want).count() == want.exceptAll(t.read()).count() == 0
+    moved = {(r["_change"], r["v"]): r["count"] for r in t.changes(1).groupBy("_change", "v").count().collect()}
+    replaced = len([i for i in range(50_000, 100_000) if i % 3 == 0])
+    added = len([i for i in range(100_000, 150_000) if i % 3 == 0])
+    assert moved == {(-1, 1): replaced, (1, 2): replaced + added, (1, 1): 50_000 - added}
+
+
+def test_hot_keys_are_counted_one_by_one_only_in_full_counters(spark, monkeypatch):
+    from hireflow.operators import skew
+
+    rows = spark.range(1_000).select(
+        F.when(F.col("id") < 300, "big").when(F.col("id") < 450, F.lit(None)).otherwise(
+            F.col("id").cast("string")).alias("k")
+    )
+    for counters, listed in ((1 << 14, 1000), (4, 1000), (4, 1)):
+        monkeypatch.setattr(skew, "COUNTERS", counters)
+        monkeypatch.setattr(skew, "FEW_COUNTERS", listed)
+        found = skew.hot_keys(rows, "k", 100)
+        assert {r["_hot"] for r in found.frame.collect()} == {"big", None} and found.count == 2
+        assert skew.hot_keys(rows, "k", 400) is None
+    monkeypatch.setattr(skew, "ensure_checkpoint_dir", None)  # nothing is kept where no counter is full
+    monkeypatch.setattr(skew, "COUNTERS", 1 << 14)
+    assert skew._full_counters(rows, "k", 400) == [] and skew.hot_keys(rows, "k", 400) is None

@@ -468,6 +468,27 @@ def test_a_micro_batch_that_runs_again_loads_its_events_once(store, tmp_path, mo
     assert store.read("workflow_events").select("_event_id").distinct().count() == 12
 
 
+def test_a_compressed_file_of_a_stream_is_worked_on_by_many_tasks(spark, tmp_path):
+    """One task can read it; what follows the reading, and the state, gets its lines from many."""
+    import gzip
+
+    from hireflow.streaming.events import read_event_stream
+
+    arrivals, tasks = tmp_path / "in", []
+    arrivals.mkdir()
+    with gzip.open(arrivals / "1.jsonl.gz", "wt") as f:
+        for i in range(400):
+            f.write(json.dumps(dict(EVENTS[0], application_id=f"a{i}")) + "\n")
+
+    def seen(batch, number):
+        tasks.extend(r["t"] for r in batch.groupBy(F.spark_partition_id().alias("t")).count().collect())
+        tasks.append(batch.count())
+
+    read_event_stream(spark, str(arrivals)).writeStream.foreachBatch(seen).option(
+        "checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    assert tasks[-1] == 400 and len(tasks[:-1]) == spark.sparkContext.defaultParallelism
+
+
 def test_newest_status_follows_the_stream(spark, tmp_path, monkeypatch):
     arrivals, state = tmp_path / "in", str(tmp_path / "state")
     arrivals.mkdir()

@@ -472,7 +472,7 @@ def test_a_compressed_file_of_a_stream_is_worked_on_by_many_tasks(spark, tmp_pat
     """One task can read it; what follows the reading, and the state, gets its lines from many."""
     import gzip
 
-    from hireflow.streaming.events import read_event_stream
+    from hireflow.streaming.events import dealt, read_event_stream
 
     arrivals, tasks = tmp_path / "in", []
     arrivals.mkdir()
@@ -484,7 +484,7 @@ def test_a_compressed_file_of_a_stream_is_worked_on_by_many_tasks(spark, tmp_pat
         tasks.extend(r["t"] for r in batch.groupBy(F.spark_partition_id().alias("t")).count().collect())
         tasks.append(batch.count())
 
-    read_event_stream(spark, str(arrivals)).writeStream.foreachBatch(seen).option(
+    dealt(read_event_stream(spark, str(arrivals))).writeStream.foreachBatch(seen).option(
         "checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
     assert tasks[-1] == 400 and len(tasks[:-1]) == spark.sparkContext.defaultParallelism
 
